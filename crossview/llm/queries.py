@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate
+from . import decontaminate, packing
 
-QUERIES = {"op8_decontaminate": decontaminate.query}
+QUERIES = {
+    "op5_packing": packing.query,
+    "op8_decontaminate": decontaminate.query,
+}
 ORACLES = {"op8_decontaminate": decontaminate.ORACLE}
