@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, packing
+from . import decontaminate, packing, quality_rules
 
 QUERIES = {
+    "op4_quality_rules": quality_rules.query,
     "op5_packing": packing.query,
     "op8_decontaminate": decontaminate.query,
 }
