@@ -59,19 +59,22 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 class Tokenised:
     """Ids of whole texts, as little-endian unsigned 32-bit bytes, by way of a cache of white-space words.
 
-    The tokenizer drops white space before it looks at anything else, so a
-    text's ids are those of its words one after the other. Words that the
-    cache lacks are cut into the tokenizer's own units; new units go through
-    the tokenizer in one call, whose result is cut where a word end stands.
-    Only words of printable characters below U+0250 go that way, all others are
-    encoded singly, and texts that may hold special tokens or separators
-    (U+001C to U+001F) as a whole.
+    The tokenizer lower-cases a text and drops white space before it looks at
+    anything else, so a text's ids are those of its lower-cased words one after
+    the other. Words that the cache lacks are cut into the tokenizer's own
+    units; new units go through the tokenizer in one call, whose result is cut
+    where a word end stands. Only words of printable characters below U+0250 go
+    that way, all others are encoded singly. Texts that may hold special tokens,
+    separators (U+001C to U+001F) or letters that lower-case by their
+    surroundings are encoded as a whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
+        self.bare = Tokenizer.from_file(path)  # for words that are in normal form already
+        self.bare.normalizer = None
         vocab = self.encoder.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         for token, k in vocab.items():
@@ -80,8 +83,10 @@ class Tokenised:
         letters = "".join(re.escape(c) for c in low if unicodedata.category(c)[0] == "L")
         numbers = "".join(re.escape(c) for c in low if unicodedata.category(c)[0] == "N")
         self.units = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\\s{letters}{numbers}]+")
-        self.plain = re.compile("[\x21-\x7e\xa1-įı-ɏ]{1,64}")
-        self.odd = re.compile("<\\||[\x1c-\x1f]")
+        self.letters = re.compile(f"[{letters}]{{1,64}}")
+        self.plain = re.compile("[\x21-\x7e\xa1-\u024f]{1,64}")
+        self.marks = re.compile(f"[^\\s{letters}{numbers}][.,]\\s")
+        self.odd = re.compile("<\\||[\x1c-\x1f\u0130\u03a3]")
         self.cache: dict[str, bytes] = {}
 
     def _alone(self, texts: list[str]) -> list[bytes]:
@@ -90,9 +95,13 @@ class Tokenised:
     def _learn(self, fresh: set[str]) -> dict[str, bytes]:
         """Add words to the cache; those too long for it are returned."""
         cache, once = self.cache, {}
-        cut = {u: self.units.findall(u.lower()) for u in fresh if self.plain.fullmatch(u)}
-        new = list(set().union(*cut.values()) - cache.keys()) if cut else []
-        ids = np.array(self.encoder.encode(" ".join(new), add_special_tokens=False).ids, "<u4") if new else np.empty(0, "<u4")
+        match = self.letters.fullmatch
+        new = {u for u in fresh if (u.isascii() and u.isalpha() and len(u) <= 64) or match(u)}
+        other = fresh - new
+        cut = {u: self.units.findall(u) for u in other if self.plain.fullmatch(u)}
+        new.update(*cut.values())
+        new = list(new - cache.keys())
+        ids = np.array(self.bare.encode(" ".join(new), add_special_tokens=False).ids, "<u4") if new else np.empty(0, "<u4")
         stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
         if len(stops) == len(new):
             raw, a = ids.tobytes(), 0
@@ -102,17 +111,24 @@ class Tokenised:
         else:  # a tokenizer without word ends
             cache.update(zip(new, self._alone(new), strict=True))
         for u, parts in cut.items():
-            cache[u] = cache[parts[0]] if len(parts) == 1 else b"".join([cache[p] for p in parts])
-        rest = [u for u in fresh if u not in cut]
+            cache[u] = b"".join([cache[p] for p in parts])
+        rest = [u for u in other if u not in cut]
         for u, raw in zip(rest, self._alone(rest), strict=True):
             (cache if len(u) <= 64 else once)[u] = raw
         return once
 
+    def _split(self, text: str) -> list[str]:
+        """White-space words of the lower-cased text; a full stop or comma alone between word and blank is cut off."""
+        text = text.lower()
+        if not self.marks.search(text):
+            text = text.replace(". ", " . ").replace(".\n", " . ").replace(", ", " , ")
+        return text.split()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.cache) > CACHE:
             self.cache.clear()
         odd = [bool(self.odd.search(t)) for t in texts]
-        split = [[] if o else t.split() for t, o in zip(texts, odd, strict=True)]
+        split = [[] if o else self._split(t) for t, o in zip(texts, odd, strict=True)]
         once = self._learn(set().union(*split) - self.cache.keys()) if split else {}
         get = self.cache.__getitem__ if not once else lambda u: once[u] if u in once else self.cache[u]
         return [self._alone([t])[0] if o else b"".join(map(get, s)) for t, o, s in zip(texts, odd, split, strict=True)]
