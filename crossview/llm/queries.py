@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, packing, quality_rules
+from . import decontaminate, packing, quality_rules, toxicity
 
 QUERIES = {
     "op4_quality_rules": quality_rules.query,
     "op5_packing": packing.query,
     "op8_decontaminate": decontaminate.query,
+    "op9_toxicity": toxicity.query,
 }
 ORACLES = {"op8_decontaminate": decontaminate.ORACLE}
