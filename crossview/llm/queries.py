@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, packing, quality_rules, toxicity
+from . import decontaminate, packing, quality_classifier, quality_rules, toxicity
 
 QUERIES = {
+    "op1_quality_classifier": quality_classifier.query,
     "op4_quality_rules": quality_rules.query,
     "op5_packing": packing.query,
     "op8_decontaminate": decontaminate.query,
