@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import decontaminate, license_scan, packing, quality_classifier, quality_rules, toxicity
+from . import decontaminate, html_extract, license_scan, packing, quality_classifier, quality_rules, toxicity
 
 QUERIES = {
     "op1_quality_classifier": quality_classifier.query,
     "op4_quality_rules": quality_rules.query,
     "op5_packing": packing.query,
+    "op6_html_extract": html_extract.query,
     "op7_license_scan": license_scan.query,
     "op8_decontaminate": decontaminate.query,
     "op9_toxicity": toxicity.query,
