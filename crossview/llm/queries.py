@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_extract, license_scan, packing, quality_classifier, quality_rules, toxicity
+from . import decontaminate, html_extract, license_scan, packing, quality_classifier, quality_rules, toxicity, warc
 
 QUERIES = {
     "op1_quality_classifier": quality_classifier.query,
@@ -12,5 +12,6 @@ QUERIES = {
     "op7_license_scan": license_scan.query,
     "op8_decontaminate": decontaminate.query,
     "op9_toxicity": toxicity.query,
+    "op10_warc": warc.query,
 }
 ORACLES = {"op8_decontaminate": decontaminate.ORACLE}
