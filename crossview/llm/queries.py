@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_extract, license_scan, packing, quality_classifier, quality_rules, toxicity, warc
+from ..session import shipped
+from . import decontaminate, html_extract, license_scan, lm_scoring, packing, quality_classifier, quality_rules, toxicity, warc
 
 QUERIES = {
-    "op1_quality_classifier": quality_classifier.query,
-    "op4_quality_rules": quality_rules.query,
-    "op5_packing": packing.query,
-    "op6_html_extract": html_extract.query,
-    "op7_license_scan": license_scan.query,
-    "op8_decontaminate": decontaminate.query,
-    "op9_toxicity": toxicity.query,
-    "op10_warc": warc.query,
+    name: shipped(query)
+    for name, query in {
+        "op1_quality_classifier": quality_classifier.query,
+        "op2_lm_scoring": lm_scoring.query,
+        "op4_quality_rules": quality_rules.query,
+        "op5_packing": packing.query,
+        "op6_html_extract": html_extract.query,
+        "op7_license_scan": license_scan.query,
+        "op8_decontaminate": decontaminate.query,
+        "op9_toxicity": toxicity.query,
+        "op10_warc": warc.query,
+    }.items()
 }
 ORACLES = {"op8_decontaminate": decontaminate.ORACLE}
