@@ -27,6 +27,8 @@ import heapq
 import re
 import unicodedata
 from collections.abc import Iterator
+from itertools import filterfalse
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -42,11 +44,12 @@ END_ID = 1
 #: The rest of a document is cut into pieces of at most so many ids.
 MAX_PIECE = 512
 #: Windows of one pool, and how far below their capacity the pool's total is set.
-POOL_WINDOWS, SLACK = 256, 0.004
+POOL_WINDOWS, SLACK = 128, 0.006
 #: Words whose ids a worker keeps.
 CACHE = 1_000_000
 
 _SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+_MARK = ~tb.ALNUM & tb.SPACED
 _tokenizers: dict[str, Tokenised] = {}
 
 
@@ -85,8 +88,6 @@ class Tokenised:
         self.units = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\\s{letters}{numbers}]+")
         self.letters = re.compile(f"[{letters}]{{1,64}}")
         self.plain = re.compile("[\x21-\x7e\xa1-\u024f]{1,64}")
-        self.marks = re.compile(f"[^\\s{letters}{numbers}][.,]\\s")
-        self.odd = re.compile("<\\||[\x1c-\x1f\u0130\u03a3]")
         self.cache: dict[str, bytes] = {}
 
     def _alone(self, texts: list[str]) -> list[bytes]:
@@ -95,19 +96,18 @@ class Tokenised:
     def _learn(self, fresh: set[str]) -> dict[str, bytes]:
         """Add words to the cache; those too long for it are returned."""
         cache, once = self.cache, {}
-        match = self.letters.fullmatch
-        new = {u for u in fresh if (u.isascii() and u.isalpha() and len(u) <= 64) or match(u)}
+        new = set(filter(str.isalpha, fresh))
+        points = np.frombuffer("".join(new).encode("utf-32-le"), "<u4")
+        if len(points) and (points.max() >= 0x250 or max(map(len, new)) > 64):
+            new = {u for u in new if self.letters.fullmatch(u)}
         other = fresh - new
         cut = {u: self.units.findall(u) for u in other if self.plain.fullmatch(u)}
         new.update(*cut.values())
-        new = list(new - cache.keys())
+        new = list(filterfalse(cache.__contains__, new))
         ids = np.array(self.bare.encode(" ".join(new), add_special_tokens=False).ids, "<u4") if new else np.empty(0, "<u4")
-        stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
         if len(stops) == len(new):
-            raw, a = ids.tobytes(), 0
-            for unit, b in zip(new, stops.tolist(), strict=True):
-                cache[unit] = raw[a:b]
-                a = b
+            cache.update(zip(new, map(ids.tobytes().__getitem__, map(slice, [0, *stops[:-1]], stops)), strict=True))
         else:  # a tokenizer without word ends
             cache.update(zip(new, self._alone(new), strict=True))
         for u, parts in cut.items():
@@ -117,21 +117,40 @@ class Tokenised:
             (cache if len(u) <= 64 else once)[u] = raw
         return once
 
-    def _split(self, text: str) -> list[str]:
-        """White-space words of the lower-cased text; a full stop or comma alone between word and blank is cut off."""
-        text = text.lower()
-        if not self.marks.search(text):
-            text = text.replace(". ", " . ").replace(".\n", " . ").replace(", ", " , ")
-        return text.split()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str], odd: np.ndarray, fused: np.ndarray) -> list[bytes]:
+        """``odd``, ``fused``: see :func:`flags`."""
         if len(self.cache) > CACHE:
             self.cache.clear()
-        odd = [bool(self.odd.search(t)) for t in texts]
-        split = [[] if o else self._split(t) for t, o in zip(texts, odd, strict=True)]
-        once = self._learn(set().union(*split) - self.cache.keys()) if split else {}
-        get = self.cache.__getitem__ if not once else lambda u: once[u] if u in once else self.cache[u]
-        return [self._alone([t])[0] if o else b"".join(map(get, s)) for t, o, s in zip(texts, odd, split, strict=True)]
+        split = []
+        for i, text in enumerate(texts):
+            text = "" if odd[i] else text.lower()
+            if not fused[i]:  # cut lone stops and commas off, for fewer distinct words
+                text = text.replace(". ", " . ").replace(".\n", " . ").replace(", ", " , ")
+            split.append(text.split())
+        every = set().union(*split)
+        once = self._learn(set(filterfalse(self.cache.__contains__, every)))
+        # The words of these texts alone make a small table, which stays in the processor's caches.
+        own = {u: self.cache[u] for u in every if u not in once} | once if once else dict(zip(every, map(self.cache.__getitem__, every), strict=True))
+        out = []
+        for text, o, s in zip(texts, odd, split, strict=True):
+            if o:
+                out.append(self._alone([text])[0])
+            else:
+                out.append(b"".join(itemgetter(*s)(own)) if len(s) > 1 else own[s[0]] if s else b"")
+        return out
+
+
+def flags(t: tb.Texts) -> tuple[np.ndarray, np.ndarray]:
+    """For each text whether it must be encoded as a whole, and whether a stop or comma before a blank follows another mark."""
+    d, odd, fused = t.data, np.zeros(t.n, bool), np.zeros(t.n, bool)
+    one, two = d[:-1], d[1:]
+    pairs = ((one == 0x3C) & (two == 0x7C)) | ((one == 0xCE) & (two == 0xA3)) | ((one == 0xC4) & (two == 0xB0))
+    for hit in (pairs, (d >= 0x1C) & (d <= 0x1F)):
+        odd[np.searchsorted(t.offs, np.flatnonzero(hit), "right") - 1] = True
+    if len(d) > 2:
+        hit = ((d[1:-1] == 46) | (d[1:-1] == 44)) & ~tb.SPACED[d[2:]] & _MARK[d[:-2]]
+        fused[np.searchsorted(t.offs, np.flatnonzero(hit), "right") - 1] = True
+    return odd, fused
 
 
 def differencing(sizes: list[int], windows: int) -> tuple[np.ndarray, list[list[int]]]:
@@ -268,7 +287,7 @@ def _pack(path: str, capacity: int, max_piece: int, pool_windows: int, slack: fl
             text = b.column(1)
             for t in tb.blocks(text, 2 << 20):
                 own = b.slice(t.first, t.n)
-                for doc, raw in zip(own.column(0).to_pylist(), encoder.encode([x or "" for x in own.column(1).to_pylist()]), strict=True):
+                for doc, raw in zip(own.column(0).to_pylist(), encoder.encode([x or "" for x in own.column(1).to_pylist()], *flags(t)), strict=True):
                     ids[row], tokens[row] = doc, len(raw) // 4 + 1
                     packer.add(row, raw + end)
                     row += 1

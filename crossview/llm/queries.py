@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from ..session import shipped
-from . import decontaminate, html_extract, license_scan, lm_scoring, packing, quality_classifier, quality_rules, toxicity, warc
+from . import decontaminate, html_extract, jaccard_join, license_scan, lm_scoring, packing, quality_classifier, quality_rules, toxicity, warc
 
 QUERIES = {
     name: shipped(query)
     for name, query in {
         "op1_quality_classifier": quality_classifier.query,
         "op2_lm_scoring": lm_scoring.query,
+        "op3_jaccard_join": jaccard_join.query,
         "op4_quality_rules": quality_rules.query,
         "op5_packing": packing.query,
         "op6_html_extract": html_extract.query,
