@@ -27,8 +27,6 @@ import heapq
 import re
 import unicodedata
 from collections.abc import Iterator
-from itertools import filterfalse
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +47,7 @@ POOL_WINDOWS, SLACK = 128, 0.006
 CACHE = 1_000_000
 
 _SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-_MARK = ~tb.ALNUM & tb.SPACED
+_PLAIN = np.array([chr(i).isalnum() and i < 128 for i in range(256)])
 _tokenizers: dict[str, Tokenised] = {}
 
 
@@ -60,16 +58,16 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class Tokenised:
-    """Ids of whole texts, as little-endian unsigned 32-bit bytes, by way of a cache of white-space words.
-
-    The tokenizer lower-cases a text and drops white space before it looks at
-    anything else, so a text's ids are those of its lower-cased words one after
-    the other. Words that the cache lacks are cut into the tokenizer's own
-    units; new units go through the tokenizer in one call, whose result is cut
-    where a word end stands. Only words of printable characters below U+0250 go
-    that way, all others are encoded singly. Texts that may hold special tokens,
-    separators (U+001C to U+001F) or letters that lower-case by their
-    surroundings are encoded as a whole.
+    """Ids of whole texts by way of a table of white-space words.
+
+    The tokenizer drops white space before it looks at anything else, so a
+    text's ids are those of its words one after the other. Words are found and
+    hashed for many texts at once (64 bits; A-Z lower-cased, as the tokenizer
+    does; a full stop or comma after an ASCII letter or digit counts as a word of its own), and
+    the table gives the ids of those that this worker has met before. New words
+    of letters below U+0250 go through the tokenizer in one call, whose result
+    is cut where a word end stands; other new words are encoded singly. Texts
+    that may hold special tokens are encoded as a whole.
     """
 
     def __init__(self, path: str):
@@ -82,75 +80,81 @@ class Tokenised:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         for token, k in vocab.items():
             self.ends[k] = token.endswith("</w>")
-        low = [chr(i) for i in range(0x21, 0x250)]
-        letters = "".join(re.escape(c) for c in low if unicodedata.category(c)[0] == "L")
-        numbers = "".join(re.escape(c) for c in low if unicodedata.category(c)[0] == "N")
-        self.units = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\\s{letters}{numbers}]+")
-        self.letters = re.compile(f"[{letters}]{{1,64}}")
-        self.plain = re.compile("[\x21-\x7e\xa1-\u024f]{1,64}")
-        self.cache: dict[str, bytes] = {}
-
-    def _alone(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.encoder.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, fresh: set[str]) -> dict[str, bytes]:
-        """Add words to the cache; those too long for it are returned."""
-        cache, once = self.cache, {}
-        new = set(filter(str.isalpha, fresh))
-        points = np.frombuffer("".join(new).encode("utf-32-le"), "<u4")
-        if len(points) and (points.max() >= 0x250 or max(map(len, new)) > 64):
-            new = {u for u in new if self.letters.fullmatch(u)}
-        other = fresh - new
-        cut = {u: self.units.findall(u) for u in other if self.plain.fullmatch(u)}
-        new.update(*cut.values())
-        new = list(filterfalse(cache.__contains__, new))
-        ids = np.array(self.bare.encode(" ".join(new), add_special_tokens=False).ids, "<u4") if new else np.empty(0, "<u4")
-        stops = ((np.flatnonzero(self.ends[ids]) + 1) * 4).tolist()
-        if len(stops) == len(new):
-            cache.update(zip(new, map(ids.tobytes().__getitem__, map(slice, [0, *stops[:-1]], stops)), strict=True))
-        else:  # a tokenizer without word ends
-            cache.update(zip(new, self._alone(new), strict=True))
-        for u, parts in cut.items():
-            cache[u] = b"".join([cache[p] for p in parts])
-        rest = [u for u in other if u not in cut]
-        for u, raw in zip(rest, self._alone(rest), strict=True):
-            (cache if len(u) <= 64 else once)[u] = raw
-        return once
-
-    def encode(self, texts: list[str], odd: np.ndarray, fused: np.ndarray) -> list[bytes]:
-        """``odd``, ``fused``: see :func:`flags`."""
-        if len(self.cache) > CACHE:
-            self.cache.clear()
-        split = []
-        for i, text in enumerate(texts):
-            text = "" if odd[i] else text.lower()
-            if not fused[i]:  # cut lone stops and commas off, for fewer distinct words
-                text = text.replace(". ", " . ").replace(".\n", " . ").replace(", ", " , ")
-            split.append(text.split())
-        every = set().union(*split)
-        once = self._learn(set(filterfalse(self.cache.__contains__, every)))
-        # The words of these texts alone make a small table, which stays in the processor's caches.
-        own = {u: self.cache[u] for u in every if u not in once} | once if once else dict(zip(every, map(self.cache.__getitem__, every), strict=True))
-        out = []
-        for text, o, s in zip(texts, odd, split, strict=True):
-            if o:
-                out.append(self._alone([text])[0])
-            else:
-                out.append(b"".join(itemgetter(*s)(own)) if len(s) > 1 else own[s[0]] if s else b"")
+        letters = "".join(re.escape(c) for c in map(chr, range(0x41, 0x250)) if unicodedata.category(c)[0] == "L" and c != "\u0130")
+        self.letters = re.compile(f"[{letters}]+")
+        self._clear()
+
+    def _clear(self) -> None:
+        self.keys, self.rows = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.starts, self.sizes = np.zeros(2, np.int64), np.zeros(2, np.int64)
+        self.ids, self.used, self.known = np.empty(1024, "<u4"), 0, 0
+        self.marks = [self._add(self._alone([m])) for m in (".", ",")]
+
+    def _alone(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.encoder.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _add(self, ids: list[np.ndarray]) -> int:
+        """Append words to the table; the first one's row."""
+        flat, sizes = np.concatenate(ids), np.array([len(x) for x in ids])
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.r_[self.ids, self.ids]
+        self.ids[self.used : self.used + len(flat)] = flat
+        while self.known + len(ids) > len(self.starts):
+            self.starts, self.sizes = np.r_[self.starts, self.starts], np.r_[self.sizes, self.sizes]
+        rows = slice(self.known, self.known + len(ids))
+        self.starts[rows] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[rows] = sizes
+        self.used, self.known = self.used + len(flat), self.known + len(ids)
+        return rows.start
+
+    def _encode_words(self, new: list[str]) -> list[np.ndarray]:
+        plain = [i for i, u in enumerate(new) if (u.isascii() and u.isalpha()) or self.letters.fullmatch(u)]
+        out: list[np.ndarray | None] = [None] * len(new)
+        ids = np.array(self.bare.encode(" ".join([new[i].lower() for i in plain]), add_special_tokens=False).ids, "<u4") if plain else np.empty(0, "<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) == len(plain):
+            for i, a, b in zip(plain, [0, *stops[:-1].tolist()], stops.tolist(), strict=True):
+                out[i] = ids[a:b]
+        rest = [i for i, x in enumerate(out) if x is None]  # all of them for a tokenizer without word ends
+        for i, x in zip(rest, self._alone([new[i] for i in rest]), strict=True):
+            out[i] = x
         return out
 
+    def encode(self, t: tb.Texts) -> list[bytes]:
+        """The ids of each text of a block, as little-endian unsigned 32-bit bytes."""
+        if self.known > CACHE:
+            self._clear()
+        low, w = tb.LOWER[t.data], tb.words(t, tb.SPACED)
+        end, last = w.end.copy(), low[w.end - 1] if len(w.end) else low[:0]
+        cut = ((last == 46) | (last == 44)) & (end - w.start > 1) & _PLAIN[low[np.maximum(end - 2, 0)]] if len(end) else np.zeros(0, bool)
+        end[cut] -= 1
+        every, first, where = np.unique(tb.span_hash(tb.prefix(low), w.start, end), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.keys, every)
+        fresh = np.ones(len(every), bool)
+        inside = at < len(self.keys)
+        fresh[inside] = self.keys[at[inside]] != every[inside]
+        if fresh.any():
+            raw = low.tobytes()
+            new = [raw[a:b].decode() for a, b in zip(w.start[first[fresh]].tolist(), end[first[fresh]].tolist(), strict=True)]
+            row = self._add(self._encode_words(new))
+            self.keys = np.insert(self.keys, at[fresh], every[fresh])
+            self.rows = np.insert(self.rows, at[fresh], np.arange(row, row + len(new)))
+            at = np.searchsorted(self.keys, every)
+        rows = np.repeat(self.rows[at][where], 1 + cut)
+        marks = np.cumsum(1 + cut)[cut] - 1
+        rows[marks] = np.where(last[cut] == 46, *self.marks)
+        sizes = self.sizes[rows]
+        total = np.r_[0, np.cumsum(sizes)]
+        ids = self.ids[np.arange(total[-1]) + np.repeat(self.starts[rows] - total[:-1], sizes)]
+        cuts = total[np.r_[0, np.cumsum(1 + cut)][w.woff]]
+        out = [ids[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        for i in self._odd(t):
+            out[i] = self._alone([t.data[t.offs[i] : t.offs[i + 1]].tobytes().decode()])[0].tobytes()
+        return out
 
-def flags(t: tb.Texts) -> tuple[np.ndarray, np.ndarray]:
-    """For each text whether it must be encoded as a whole, and whether a stop or comma before a blank follows another mark."""
-    d, odd, fused = t.data, np.zeros(t.n, bool), np.zeros(t.n, bool)
-    one, two = d[:-1], d[1:]
-    pairs = ((one == 0x3C) & (two == 0x7C)) | ((one == 0xCE) & (two == 0xA3)) | ((one == 0xC4) & (two == 0xB0))
-    for hit in (pairs, (d >= 0x1C) & (d <= 0x1F)):
-        odd[np.searchsorted(t.offs, np.flatnonzero(hit), "right") - 1] = True
-    if len(d) > 2:
-        hit = ((d[1:-1] == 46) | (d[1:-1] == 44)) & ~tb.SPACED[d[2:]] & _MARK[d[:-2]]
-        fused[np.searchsorted(t.offs, np.flatnonzero(hit), "right") - 1] = True
-    return odd, fused
+    def _odd(self, t: tb.Texts) -> list[int]:
+        hit = np.flatnonzero((t.data[:-1] == 0x3C) & (t.data[1:] == 0x7C))
+        return np.unique(np.searchsorted(t.offs, hit, "right") - 1).tolist()
 
 
 def differencing(sizes: list[int], windows: int) -> tuple[np.ndarray, list[list[int]]]:
@@ -287,7 +291,7 @@ def _pack(path: str, capacity: int, max_piece: int, pool_windows: int, slack: fl
             text = b.column(1)
             for t in tb.blocks(text, 2 << 20):
                 own = b.slice(t.first, t.n)
-                for doc, raw in zip(own.column(0).to_pylist(), encoder.encode([x or "" for x in own.column(1).to_pylist()], *flags(t)), strict=True):
+                for doc, raw in zip(own.column(0).to_pylist(), encoder.encode(t), strict=True):
                     ids[row], tokens[row] = doc, len(raw) // 4 + 1
                     packer.add(row, raw + end)
                     row += 1
