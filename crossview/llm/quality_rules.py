@@ -63,6 +63,8 @@ def _keys(doc: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 def _repeated(doc: np.ndarray, h: np.ndarray, later: bool) -> np.ndarray:
     """Positions whose hash occurs twice or more in their text; ``later``: all but the first of each."""
+    if not len(h):
+        return np.empty(0, np.int64)
     order = np.argsort(key := _keys(doc, h), kind="stable")
     same = key[order][1:] == key[order][:-1]
     mask = np.r_[False, same]
