@@ -53,6 +53,15 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def text_verdict(docs: DataFrame, decide, kind: str = "boolean") -> Column:
+    """A column made by ``decide`` (an Arrow array of texts to one of results) from ``docs.text``.
+
+    Only the texts go to Python and only the results come back; the other
+    columns stay where they are, so a row is never sent through Arrow as a whole.
+    """
+    return F.arrow_udf(decide, kind)(F.coalesce(F.col("text"), F.lit("")))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

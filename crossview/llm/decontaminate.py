@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textbytes as tb
-from .common import table
+from .common import table, text_verdict
 
 WINDOW = 13
 #: Windows in one broadcast hash set: about 100 bytes each in a worker.
@@ -122,13 +122,18 @@ def _scan(index: _Index, text_at: int, fields: list[pa.Field]):
     return run
 
 
+def _sliced(benchmark: DataFrame, n: int, max_windows: int) -> tuple[DataFrame, int]:
+    """The benchmark's distinct windows, and into how many slices they must be cut."""
+    own = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null")
+    windows = own.mapInArrow(_benchmark_windows(n), _WINDOWS).distinct()
+    return windows, max(1, -(-windows.count() // max_windows))
+
+
 def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """``docs`` with n_words, hit_spans (first and last hit word, merged) and hit_items (sorted ids)."""
     if n < 1:
         raise ValueError("n must be positive")
-    own = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null")
-    windows = own.mapInArrow(_benchmark_windows(n), _WINDOWS).distinct()
-    slices = max(1, -(-windows.count() // max_windows))
+    windows, slices = _sliced(benchmark, n, max_windows)
     clash = [c for c in ("n_words", "hit_spans", "hit_items", "_row") if c in docs.columns]
     docs = docs.withColumnsRenamed({c: f"_docs_{c}" for c in clash})
     if slices > 1:
@@ -174,6 +179,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     of the first hit word to the first byte of the next word that is not hit.
     """
     if remove == "documents":
+        windows, slices = _sliced(benchmark, n, max_windows)
+        if slices == 1:
+            index = _Index(windows.collect())
+
+            def clean(text: pa.Array) -> pa.Array:
+                out = [np.empty(0, bool)]
+                for t in tb.blocks(text):
+                    counts, spans, _ = index.hits(t)
+                    n_hit = np.array([sum(b - a + 1 for a, b in s) for s in spans])
+                    out.append((n_hit == 0) | (CONTAMINATED * n_hit < counts))
+                return pa.array(np.concatenate(out))
+
+            return docs.where(text_verdict(docs, clean))
         hits = find_hits(docs, benchmark, n, max_windows)
         n_hit = F.expr("aggregate(hit_spans, 0L, (a, s) -> a + s.last - s.first + 1)")
         return hits.where(~((n_hit > 0) & (F.lit(CONTAMINATED) * n_hit >= F.col("n_words")))).select(*docs.columns)

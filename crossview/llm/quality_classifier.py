@@ -37,10 +37,11 @@ from pyspark.sql import types as T
 
 from . import quality_rules as rules
 from . import textbytes as tb
-from .common import fold, stash, table
+from .common import fold, stash, table, text_verdict
 
 MAX_ROWS, BINS, HISTOGRAM = 20_000, 12, 1000
-STEPS, RATE, RIDGE = 600, 0.5, 1e-3
+#: The ridge penalty is at least RIDGE, and RIDGE_ROWS over the number of positives, for small samples.
+STEPS, RATE, RIDGE, RIDGE_ROWS = 600, 0.5, 1e-3, 6
 THRESHOLD = 0.3
 #: Of crc32(doc_id) mod 5, the fold whose labels are not learnt from.
 FOLDS, HELD_OUT = 5, 0
@@ -121,12 +122,13 @@ def _gradient(cells: np.ndarray, g: np.ndarray, size: int) -> np.ndarray:
     return np.bincount(cells.ravel(), np.repeat(g, cells.shape[1]), size)
 
 
-def _descend(basis: Basis, slope, steps: int = STEPS) -> Linear:
+def _descend(basis: Basis, slope, positives: int, steps: int = STEPS) -> Linear:
     """Momentum steps along ``slope``(weights, intercept) from zero."""
+    ridge = max(RIDGE, RIDGE_ROWS / positives)
     w, b, vw, vb = np.zeros(basis.size), 0.0, np.zeros(basis.size), 0.0
     for _ in range(steps):
         gw, gb = slope(w, b)
-        vw, vb = 0.9 * vw + gw + RIDGE * w, 0.9 * vb + gb
+        vw, vb = 0.9 * vw + gw + ridge * w, 0.9 * vb + gb
         w, b = w - RATE * 0.1 * vw, b - RATE * 0.1 * vb
     return Linear(basis, w, b)
 
@@ -144,7 +146,7 @@ def fit_known(basis: Basis, pos: np.ndarray, unl: np.ndarray) -> Linear:
         gu = _sigmoid(w[cu].sum(1) + b) / len(cu)
         return _gradient(cp, gp, basis.size) + _gradient(cu, gu, basis.size), gp.sum() + gu.sum()
 
-    return _descend(basis, slope)
+    return _descend(basis, slope, len(pos))
 
 
 def fit_nnpu(basis: Basis, pos: np.ndarray, unl: np.ndarray, prior: float) -> Linear:
@@ -161,7 +163,7 @@ def fit_nnpu(basis: Basis, pos: np.ndarray, unl: np.ndarray, prior: float) -> Li
         gu = sign * su / len(cu)
         return _gradient(cp, gp, basis.size) + _gradient(cu, gu, basis.size), gp.sum() + gu.sum()
 
-    return _descend(basis, slope)
+    return _descend(basis, slope, len(pos))
 
 
 def class_prior(pos: np.ndarray, unl: np.ndarray, failure: float = 0.1) -> float:
@@ -233,16 +235,13 @@ def score(docs: DataFrame, labels: DataFrame, keep=None) -> DataFrame:
 def drop_low_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows whose score reaches the threshold, unchanged; features are computed again where rows are kept."""
     model = fit(stash(featurised(docs), "quality"), labels, fold("doc_id", FOLDS) != HELD_OUT)
-    at = docs.columns.index("text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            parts = [features(t) for t in tb.blocks(b.column(at))]
-            if parts:
-                s = model.score(np.concatenate(parts)) if model else np.full(len(b), 0.5)
-                yield b.filter(pa.array(s >= threshold))
+    def good(text: pa.Array) -> pa.Array:
+        parts = [features(t) for t in tb.blocks(text)]
+        s = model.score(np.concatenate(parts)) if model and parts else np.full(len(text), 0.5)
+        return pa.array(s >= threshold)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(text_verdict(docs, good))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

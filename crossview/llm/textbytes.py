@@ -163,6 +163,12 @@ def windows(h: np.ndarray, w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(out[at]), at
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """The different values in ascending order, by sorting."""
+    x = np.sort(x)
+    return x[np.r_[True, x[1:] != x[:-1]]] if len(x) else x
+
+
 class HashSet:
     """Sorted 64-bit hashes with a bit table before them, for fast lookups of many values."""
 

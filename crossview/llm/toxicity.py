@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .common import fold, labelled_sample, table
+from .common import fold, labelled_sample, table, text_verdict
 
 SIZES = (3, 4, 5, 6, 7, 8)
 PER_CLASS = 2000
@@ -61,7 +61,7 @@ def text_grams(text: str, sizes: tuple[int, ...]) -> np.ndarray:
     raw = np.frombuffer(f" {text} ".encode(), np.uint8)
     t = tb.Texts(_BLANK[raw], np.array([0, len(raw)]), 0)
     acc = tb.prefix(t.data)
-    return np.unique(np.concatenate([grams(t, s, acc)[0] for s in sizes]))
+    return tb.distinct(np.concatenate([grams(t, s, acc)[0] for s in sizes]))
 
 
 @dataclass
@@ -81,7 +81,7 @@ class Model:
                 at, which = known.find(h)
                 doc = np.searchsorted(t.offs, at, "right") - 1
                 inside = at + s <= t.offs[doc + 1]
-                pair = np.unique(doc[inside] * len(self.keys) + which[inside])
+                pair = tb.distinct(doc[inside] * len(self.keys) + which[inside])
                 total += np.bincount(pair // len(self.keys), self.weights[pair % len(self.keys)], t.n)
             out.append(1 / (1 + np.exp(-np.clip(total, -40, 40))))
         return np.concatenate(out)
@@ -112,7 +112,7 @@ def train(texts: list[str], y: np.ndarray, prior: float, sizes: tuple[int, ...]
     # Which buckets of hashes hold telling n-grams at all; then these n-grams themselves.
     counts, shift = np.zeros((2, 1 << _BUCKETS), np.int32), tb.U64(64 - _BUCKETS)
     for text, k in zip(texts, y, strict=True):
-        counts[k][np.unique(text_grams(text, sizes) >> shift)] += 1
+        counts[k][tb.distinct(text_grams(text, sizes) >> shift)] += 1
     loose = np.abs(_z(counts[1], counts[0], n1, n0, smooth)[1]) >= 0.75 * min_z
     own = [(h := text_grams(text, sizes))[loose[h >> shift]] for text in texts]
     del counts
@@ -135,23 +135,23 @@ def train(texts: list[str], y: np.ndarray, prior: float, sizes: tuple[int, ...]
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 400) -> tuple[np.ndarray, float]:
     """Ridge-penalised logistic regression by accelerated gradient steps, from zero."""
-    n = len(y)
+    n, single = len(y), np.float32
     b = float(np.log((y.mean() + 1e-6) / (1 - y.mean() + 1e-6)))
     w = np.zeros(x.shape[1])
     if not x.shape[1]:
         return w, b
     v = np.random.default_rng(5).normal(size=x.shape[1])
     for _ in range(12):  # the largest eigenvalue bounds the step
-        v = x.T @ (x @ v)
+        v = x.T @ (x @ v.astype(single))
         v /= np.linalg.norm(v) or 1.0
-    rate = 1 / (0.25 * (float(np.sum((x @ v) ** 2)) / n * 1.05 + 1) + ridge)
+    rate = 1 / (0.25 * (float(np.sum((x @ v.astype(single)) ** 2)) / n * 1.05 + 1) + ridge)
     pw, pb = w.copy(), b
     for k in range(steps):
         m = k / (k + 3)
         lw, lb = w + m * (w - pw), b + m * (b - pb)
-        g = 1 / (1 + np.exp(-np.clip(x @ lw + lb, -40, 40))) - y
+        g = 1 / (1 + np.exp(-np.clip(x @ lw.astype(single) + lb, -40, 40))) - y
         pw, pb = w, b
-        w, b = lw - rate * (x.T @ g / n + ridge * lw), lb - rate * float(g.mean())
+        w, b = lw - rate * (x.T @ g.astype(single) / n + ridge * lw), lb - rate * float(g.mean())
     return w, b
 
 
@@ -179,18 +179,14 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(_score(model, 1), docs.select("doc_id").schema.add("score", "double"))
 
 
-def _verdict(model: Model, text_at: int, threshold: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(model.scores(b.column(text_at)) < threshold))
-
-    return run
-
-
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows whose score is below the threshold, unchanged."""
     model = fit(docs, labels, "toxic", fold("doc_id", FOLDS) != HELD_OUT)
-    return docs.mapInArrow(_verdict(model, docs.columns.index("text"), threshold), docs.schema)
+
+    def clean(text: pa.Array) -> pa.Array:
+        return pa.array(model.scores(text) < threshold)
+
+    return docs.where(text_verdict(docs, clean))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
