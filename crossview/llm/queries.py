@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import shipped
-from . import decontaminate, html_extract, jaccard_join, license_scan, lm_scoring, packing, quality_classifier, quality_rules, toxicity, warc
+from . import decontaminate, html_extract, jaccard_join, license_scan, lm_scoring, oracles, packing, quality_classifier, quality_rules, toxicity, warc
 
 QUERIES = {
     name: shipped(query)
@@ -20,4 +20,9 @@ QUERIES = {
         "op10_warc": warc.query,
     }.items()
 }
-ORACLES = {"op8_decontaminate": decontaminate.ORACLE}
+ORACLES = {
+    "op3_jaccard_join": oracles.JACCARD_JOIN,
+    "op7_license_scan": oracles.LICENSE_SCAN,
+    "op8_decontaminate": decontaminate.ORACLE,
+    "op10_warc": oracles.WARC,
+}
