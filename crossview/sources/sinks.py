@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def mtmc_messages(objects: DataFrame, sensors: DataFrame, topic: str = "mdx-mtmc") -> DataFrame:
-    """Kafka rows of global objects: nulls and keys of members left out, frame ids kept for network recorders only.
+def mtmc_messages(objects: DataFrame, sensors: DataFrame, recorder: str, topic: str = "mtmc") -> DataFrame:
+    """Kafka rows of global objects: nulls and keys of members left out, frame ids kept for sensors whose source is ``recorder`` only.
 
     ``objects``: global_id, object_type, start, end, matched (array of structs with sensor_id, key, start_frame, end_frame);
     ``sensors``: sensor_id, source.
     """
-    recorders = sensors.where("source = 'nvstreamer'").agg(F.collect_set("sensor_id").alias("_recorders"))
+    recorders = sensors.where(F.col("source") == recorder).agg(F.collect_set("sensor_id").alias("_recorders"))
     d = objects.crossJoin(F.broadcast(recorders))
     recorded = lambda m: F.array_contains("_recorders", m["sensor_id"])
     matched = F.transform("matched", lambda m: m.dropFields("key").withField("start_frame", F.when(recorded(m), m["start_frame"])).withField("end_frame", F.when(recorded(m), m["end_frame"])))
@@ -22,7 +22,7 @@ def mtmc_messages(objects: DataFrame, sensors: DataFrame, topic: str = "mdx-mtmc
     return d.select(F.col("global_id").cast("string").alias("key"), body.alias("value"), F.lit(topic).alias("topic"))
 
 
-def rtls_messages(rows: DataFrame, debug: bool = False, dynamic: bool = True, send_empty: bool = True, topic: str = "mdx-rtls") -> DataFrame:
+def rtls_messages(rows: DataFrame, debug: bool = False, dynamic: bool = True, send_empty: bool = True, topic: str = "rtls") -> DataFrame:
     """Kafka rows of locations: matched keys left out, ids of shadows too if ids are updated on the way."""
     keep = F.filter("locationsOfObjects", lambda o: o["id"].cast("long") >= 0) if dynamic else F.col("locationsOfObjects")
     d = rows.withColumn("locationsOfObjects", F.transform(keep, lambda o: o.dropFields("matchedBehaviorKeys")))

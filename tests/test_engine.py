@@ -223,9 +223,9 @@ def test_stream_equals_batch(spark):
 def test_sinks_and_tables(spark):
     assert W.sanitized("a/b$c") == "abc" and W.valid_path("/tmp/x.json") and not W.valid_path("../x")
     m = spark.createDataFrame([(1, "Person", ts(0), ts(1), [("s", "k", "1", "2")])], "global_id long, object_type string, start timestamp, end timestamp, matched array<struct<sensor_id:string,key:string,start_frame:string,end_frame:string>>")
-    body = W.mtmc_messages(m, spark.createDataFrame([("s", "live")], "sensor_id string, source string")).first().value
+    body = W.mtmc_messages(m, spark.createDataFrame([("s", "live")], "sensor_id string, source string"), "recorder").first().value
     assert "start_frame" not in body and "key" not in body
-    assert "start_frame" in W.mtmc_messages(m, spark.createDataFrame([("s", "nvstreamer")], "sensor_id string, source string")).first().value
+    assert "start_frame" in W.mtmc_messages(m, spark.createDataFrame([("s", "recorder")], "sensor_id string, source string"), "recorder").first().value
     runs = TB.frame_runs(spark.createDataFrame([("a", x) for x in (1, 2, 3, 7, 8)], "k string, f long"), ["k"], "f").orderBy("first_frame").collect()
     assert [(r.first_frame, r.last_frame) for r in runs] == [(1, 3), (7, 8)]
 
