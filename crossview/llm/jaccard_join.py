@@ -41,7 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
@@ -318,12 +318,17 @@ def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: float = THRESH
 
     at = reps.select("node", "sig").mapInArrow(_buckets(bands, rows), "node long, bucket long")
     pivots = at.groupBy("bucket").agg(F.min("node").alias("pivot"), F.count("*").alias("members")).where("members > 1").select("bucket", "pivot")
-    stars = at.join(pivots, "bucket").where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    stars = at.join(pivots, "bucket").where("node <> pivot").select("node", "pivot").distinct()
+    # All pivots of a representative (at most one a band) are one group: it and they point to the smallest of them,
+    # so that a large group has about an edge for each member and not one for each band.
+    stars = stars.withColumn("b", F.min("pivot").over(Window.partitionBy("node")))
+    stars = stars.select(F.explode(F.array("node", "pivot")).alias("a"), "b").where("a <> b").distinct()
     groups = connected_components(stars).select("node", F.col("label").alias("group"))
 
     sizes = reps.select("node", "n").join(groups, "node").groupBy("group").agg(F.greatest(F.ceil(F.count("*") / block), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     members = reps.join(groups, "node").join(sizes, "group").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    texts = members.join(own, members.node == own.doc_id).select("node", "key1", "group", "block", "blocks", "copies", "sig", "text")
+    # Ids meet texts by shuffle at every size: plans that change with the data's size would hide what a large run costs.
+    texts = own.join(members.hint("shuffle_hash"), F.col("node") == F.col("doc_id")).select("node", "key1", "group", "block", "blocks", "copies", "sig", "text")
     with_sets = texts.mapInArrow(_shingled(size), "node long, group long, block int, blocks int, copies long, sig binary, shingles binary")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     units = with_sets.select("*", other).select("group", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "node", "block", "copies", "sig", "shingles")
@@ -351,7 +356,7 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     release(spark)
     keep = found.where("doc_id = class_id").groupBy("doc_id").agg(F.count("*").alias("n"))
     repeated = keep.where("n > 1").limit(1).count() > 0
-    out = docs.join(keep.select("doc_id"), "doc_id", "left_semi").select(*docs.columns)
+    out = docs.join(keep.select("doc_id").hint("shuffle_hash"), "doc_id", "left_semi").select(*docs.columns)
     if repeated:
         out = out.dropDuplicates(["doc_id"])
     return out.unionByName(docs.where("doc_id is null"))
