@@ -158,6 +158,53 @@ def rtls_replay(behaviors: DataFrame, config: AppConfig, batch_sec: float) -> Da
     return behaviors.select(*columns).groupBy("place").applyInPandas(run, "place string, timestamp_us long, global_id long, x double, y double, members long")
 
 
+def _scene_assignments(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Track points of the scene, the segments of its global objects, and the true persons."""
+    lines, sensors, truth = _scene_frames(spark)
+    points, behaviors = tracked(spark, lines, sensors, SCENE_CONFIG)
+    ids = G.global_objects(behaviors.withColumn("batch", F.lit("0")), SCENE_CONFIG, "batch").select("key", "global_id")
+    segments = behaviors.select("key", "sensor_id", "object_id", "segment").join(ids, "key").drop("key")
+    return points, segments, truth
+
+
+@register
+def e07_reprojection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of the scene's calibration points."""
+    from ..operators.calibration import reprojection_errors
+
+    return reprojection_errors(spark, scene()[1])
+
+
+@register
+def e08_overlay_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes of the scene with global ids."""
+    from ..operators.tables import overlay_points
+
+    points, segments, _ = _scene_assignments(spark)
+    return overlay_points(points, segments)
+
+
+@register
+def e09_topview_trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Smoothed map pixels of the scene's global ids."""
+    from ..operators.tables import topview_trajectories
+
+    points, segments, _ = _scene_assignments(spark)
+    return topview_trajectories(points, segments, 0.0, 0.0, 50.0, 1080, 5)
+
+
+@register
+def e10_rtls_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy of the scene's positions as location rows, moved back by their windows."""
+    points, segments, truth = _scene_assignments(spark)
+    at = points.where("location is not null").select("sensor_id", "object_id", "segment", F.col("frame_id").alias("frame"), F.col("location.x").alias("x"), F.col("location.y").alias("y"))
+    seq = F.lit("RTLS").alias("seq")
+    rows = at.join(segments, ["sensor_id", "object_id", "segment"]).select(seq, F.col("frame") + 5, F.col("global_id").alias("id"), "x", "y", F.col("sensor_id").alias("row")).toDF("seq", "frame", "id", "x", "y", "row")
+    prediction = E.rtls_prediction(rows, 5.0, 1.0, 1.0)
+    real = at.join(truth, ["sensor_id", "object_id"]).groupBy(seq, "frame", F.col("person").cast("long").alias("id")).agg(F.first("x").alias("x"), F.first("y").alias("y"))
+    return E.evaluate(E.restricted_truth(real, prediction), prediction.select("seq", "frame", "id", "x", "y"), "point")
+
+
 @register
 def e04_appearance_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Density clusters of the vectors of each label's half."""
