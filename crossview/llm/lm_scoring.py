@@ -338,7 +338,7 @@ def score(docs: DataFrame, order: int = ORDER, chunk_bytes: int = CHUNK_BYTES, f
     spark = docs.sparkSession
     folder = folder or fresh_path(spark, "lm")
     docs = docs.select(F.col("doc_id").cast("long"), "text")
-    parts = max(1, min(MAX_PARTS, docs.rdd.getNumPartitions()))
+    parts = max(1, min(MAX_PARTS, 4 * docs.rdd.getNumPartitions()))
     asked = docs.mapInArrow(_ask(order, chunk_bytes, parts, folds), "part long, chunk string, level int, keys binary, train binary, dev binary")
     answers = asked.groupBy("part").applyInArrow(_answer, _ANSWER).withColumn("chunk", F.coalesce("chunk", F.lit("sums")))
     answers.repartition("chunk").write.mode("overwrite").option("compression", "zstd").partitionBy("chunk").parquet(folder)
