@@ -34,7 +34,7 @@ from .common import fold, labelled_sample, table, text_verdict
 
 SIZES = (3, 4, 5, 6, 7, 8)
 PER_CLASS = 2000
-MIN_Z, MAX_FEATURES, SMOOTH, RIDGE = 4.0, 4096, 1.0, 2e-3
+MIN_Z, MAX_FEATURES, SMOOTH, RIDGE = 3.0, 4096, 1.0, 2e-3
 THRESHOLD = 0.3
 #: Of crc32(doc_id) mod 4, the fold whose labels are not learnt from.
 FOLDS, HELD_OUT = 4, 2
