@@ -15,8 +15,9 @@ shuffle; the model is a few thousand weights.
 
 Defined results: a null or empty text scores by the intercept alone; repeated
 rows score alike; an id labelled more than once takes its largest label;
-without labels of both classes all texts score the smoothed share of toxic
-labels; other columns never enter a score.
+without labels of both classes all texts score the share of toxic labels (as
+good as 0 without any, so that nothing is dropped); other columns never enter a
+score.
 """
 
 from __future__ import annotations
@@ -157,12 +158,11 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 400) -> tu
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, keep, per_class: int = PER_CLASS, **options) -> Model:
     """Train on the labelled rows that ``keep`` selects."""
-    share = labels.where(keep & F.col(label).isNotNull()).agg(F.avg(label), F.count("*")).first()
+    share = labels.where(keep & F.col(label).isNotNull()).agg(F.avg(label)).first()
     sample = labelled_sample(labels, label, keep, per_class)
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id").collect()
     rows.sort(key=lambda r: (r.doc_id, r.text))
-    prior = ((share[0] or 0) * share[1] + 1) / (share[1] + 2)
-    return train([r.text for r in rows], np.array([r.label for r in rows], np.int64), prior, **options)
+    return train([r.text for r in rows], np.array([r.label for r in rows], np.int64), share[0] or 0.0, **options)
 
 
 def _score(model: Model, text_at: int):
