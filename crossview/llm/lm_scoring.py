@@ -201,21 +201,12 @@ def _answer(asked: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
 
-@dataclass
-class Totals:
-    """The counts of a chunk's tokens: for each level those of the n-gram and of its history, at every token."""
-
-    train: list[np.ndarray]
-    dev: list[np.ndarray]
-    history: list[np.ndarray]
-    history_dev: list[np.ndarray]
-
-
-def _totals(c: Chunk, folder: str) -> Totals:
+def _totals(c: Chunk, folder: str, kind: str, use: np.ndarray | slice = slice(None)) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The counts of a kind (train or dev) of a chunk's tokens, and of their histories, level by level, at the tokens ``use``."""
     store, path = sharedfs.resolve(f"{folder}/chunk={c.name}")
-    rows = pq.read_table(path, filesystem=store, partitioning=None, columns=["part", "level", "n", "check", "train", "dev"]).to_pylist()
+    rows = pq.read_table(path, filesystem=store, partitioning=None, columns=["part", "level", "n", "check", kind]).to_pylist()
     rows.sort(key=lambda r: (r["level"], r["part"]))
-    out, begun = Totals([], [], [], []), {}
+    totals, histories, last, begun = [], [], None, 0
     for level, grams in enumerate(c.grams):
         own = [r for r in rows if r["level"] == level]
         keys, where = np.unique(np.r_[grams, np.full(int(level == 0), _BEGIN)], return_inverse=True)
@@ -227,20 +218,18 @@ def _totals(c: Chunk, folder: str) -> Totals:
                 raise RuntimeError("the rows came in another order than before; stash the input first")
         if at != len(keys):
             raise RuntimeError("the rows came in another order than before; stash the input first")
-        for kind, store_to in (("train", out.train), ("dev", out.dev)):
-            total = np.concatenate([_unplanes(r[kind], np.int64) for r in own])[where]
-            if level == 0:
-                begun[kind], total = total[-1], total[:-1]
-            store_to.append(total)
-        for kind, values, store_to in (("train", out.train, out.history), ("dev", out.dev, out.history_dev)):
-            if level:
-                before = np.empty_like(values[level - 1])
-                before[1:] = values[level - 1][:-1]
-                before[c.first[:-1]] = begun[kind]
-                store_to.append(before)
-            else:
-                store_to.append(np.empty(0, np.int64))
-    return out
+        total = np.concatenate([_unplanes(r[kind], np.int64) for r in own])[where]
+        if level == 0:
+            begun, total = total[-1], total[:-1]
+            histories.append(np.empty(0, np.int64))
+        else:
+            before = np.empty_like(last)
+            before[1:] = last[:-1]
+            before[c.first[:-1]] = begun
+            histories.append(before[use])
+        totals.append(total[use])
+        last = total
+    return totals, histories
 
 
 def bucket(history: np.ndarray) -> np.ndarray:
@@ -264,10 +253,11 @@ def _cells(order: int, chunk_bytes: int, folder: str, folds: tuple[int, int, int
             use = np.flatnonzero((c.folds(folds[0]) == folds[2])[c.doc])
             if not len(use):
                 continue
-            t = _totals(c, folder)
-            less = lambda a, b: [x[use] - y[use] if len(x) else x for x, y in zip(a, b, strict=True)]
-            history = less(t.history, t.history_dev)
-            p = _estimates(less(t.train, t.dev), history, tokens)
+            train, history = _totals(c, folder, "train", use)
+            dev, dev_history = _totals(c, folder, "dev", use)
+            less = lambda a, b: [x - y for x, y in zip(a, b, strict=True)]
+            history = less(history, dev_history)
+            p = _estimates(less(train, dev), history, tokens)
             code = bucket(history[-1]) if order > 1 else np.zeros(len(use), np.int64)
             for x in p:
                 code = code * 1024 + np.where(x > 0, np.floor(np.log2(np.maximum(x, 1e-60)) * STEPS).astype(np.int64) + 1000, 0).clip(0, 1023)
@@ -311,19 +301,19 @@ def learn_weights(cells: list[tuple[int, int, list[float]]], order: int, uniform
 def _score(order: int, chunk_bytes: int, folder: str, folds: tuple[int, int, int], tokens: int, types: int, weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in chunks(batches, order, chunk_bytes):
-            t, doc, uniform = _totals(c, folder), c.doc, 1 / (types + 1)
-            w = weights[bucket(t.history[-1])] if order > 1 else weights[np.zeros(len(doc), np.int64)]
-            total = w[:, 0] * uniform
-            for k, x in enumerate(_estimates(t.train, t.history, tokens)):
-                total += w[:, k + 1] * x
+            (train, history), doc = _totals(c, folder, "train"), c.doc
+            own = bucket(history[-1]) if order > 1 else np.zeros(len(doc), np.int64)
+            total = weights[own, 0] / (types + 1)
+            for k, x in enumerate(_estimates(train, history, tokens)):
+                total += weights[own, k + 1] * x
             per_text = lambda x: np.bincount(doc, x, len(c.ids))
             columns = [
                 pa.array(c.ids, pa.int64()),
                 pa.array(c.folds(folds[0]) == folds[1]),
                 pa.array(np.diff(c.first)),
-                pa.array(per_text(t.train[0] > 0).astype(np.int64)),
+                pa.array(per_text(train[0] > 0).astype(np.int64)),
                 pa.array(np.full(len(c.ids), tokens, np.int64)),
-                pa.array(per_text(np.log10((t.train[0] + 1) / (tokens + types + 1)))),
+                pa.array(per_text(np.log10((train[0] + 1) / (tokens + types + 1)))),
                 pa.array(per_text(np.log10(total))),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
