@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import PreprocessingConfig
@@ -88,7 +88,7 @@ def query(sql: str | None = None, with_: str = DET):
 BOX = ("lx", "ty", "rx", "bottom")
 
 
-def us(c) -> F.Column if hasattr(F, "Column") else object:
+def us(c: Column | str) -> Column:
     return F.unix_micros(F.col(c) if isinstance(c, str) else c)
 
 

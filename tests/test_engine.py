@@ -214,10 +214,9 @@ def test_stream_equals_batch(spark):
     d = "/root/testdata/sf0.001"
     s = P.e05_stream_tracklets(spark, d)
     b = Q.tracklets(spark, d)
-    key = lambda r: (r[0], r[1], r[2])
     got = sorted((r.start_us, r.end_us, r.n) for r in s.collect())
     want = sorted((r[0], r[1], r[2]) for r in b.select(F.unix_micros("s"), F.unix_micros("e"), "n").collect())
-    assert got == want and key
+    assert got == want
 
 
 def test_sinks_and_tables(spark):
