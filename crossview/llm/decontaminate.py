@@ -103,7 +103,7 @@ class _Index:
         return w.counts, spans, items
 
 
-def _scan(index: _Index, text_at: int, fields: list[pa.Field]):
+def _scan(index: _Index, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n_words, first, last, ends, items = [], [], [], [0], []
@@ -142,7 +142,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_window
     parts = []
     for k in range(slices):
         rows = windows.where(F.pmod(F.col("hash"), F.lit(slices)) == k).collect() if slices > 1 else windows.collect()
-        parts.append(docs.mapInArrow(_scan(_Index(rows), text_at, []), schema))
+        parts.append(docs.mapInArrow(_scan(_Index(rows), text_at), schema))
     out = parts[0]
     if slices > 1:
         for p in parts[1:]:
