@@ -201,12 +201,12 @@ def _answer(asked: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
 
-def _totals(c: Chunk, folder: str, kind: str, use: np.ndarray | slice = slice(None)) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """The counts of a kind (train or dev) of a chunk's tokens, and of their histories, level by level, at the tokens ``use``."""
+def _totals(c: Chunk, folder: str, kinds: tuple[str, ...], use: np.ndarray | slice = slice(None)) -> list[tuple[list[np.ndarray], list[np.ndarray]]]:
+    """For each kind (train, dev) the counts of a chunk's tokens, and of their histories, level by level, at the tokens ``use``."""
     store, path = sharedfs.resolve(f"{folder}/chunk={c.name}")
-    rows = pq.read_table(path, filesystem=store, partitioning=None, columns=["part", "level", "n", "check", kind]).to_pylist()
+    rows = pq.read_table(path, filesystem=store, partitioning=None, columns=["part", "level", "n", "check", *kinds]).to_pylist()
     rows.sort(key=lambda r: (r["level"], r["part"]))
-    totals, histories, last, begun = [], [], None, 0
+    out, last, begun = [([], []) for _ in kinds], {}, {}
     for level, grams in enumerate(c.grams):
         own = [r for r in rows if r["level"] == level]
         keys, where = np.unique(np.r_[grams, np.full(int(level == 0), _BEGIN)], return_inverse=True)
@@ -218,18 +218,19 @@ def _totals(c: Chunk, folder: str, kind: str, use: np.ndarray | slice = slice(No
                 raise RuntimeError("the rows came in another order than before; stash the input first")
         if at != len(keys):
             raise RuntimeError("the rows came in another order than before; stash the input first")
-        total = np.concatenate([_unplanes(r[kind], np.int64) for r in own])[where]
-        if level == 0:
-            begun, total = total[-1], total[:-1]
-            histories.append(np.empty(0, np.int64))
-        else:
-            before = np.empty_like(last)
-            before[1:] = last[:-1]
-            before[c.first[:-1]] = begun
-            histories.append(before[use])
-        totals.append(total[use])
-        last = total
-    return totals, histories
+        for kind, (totals, histories) in zip(kinds, out, strict=True):
+            total = np.concatenate([_unplanes(r[kind], np.int64) for r in own])[where]
+            if level == 0:
+                begun[kind], total = total[-1], total[:-1]
+                histories.append(np.empty(0, np.int64))
+            else:
+                before = np.empty_like(last[kind])
+                before[1:] = last[kind][:-1]
+                before[c.first[:-1]] = begun[kind]
+                histories.append(before[use])
+            totals.append(total[use])
+            last[kind] = total
+    return out
 
 
 def bucket(history: np.ndarray) -> np.ndarray:
@@ -253,8 +254,7 @@ def _cells(order: int, chunk_bytes: int, folder: str, folds: tuple[int, int, int
             use = np.flatnonzero((c.folds(folds[0]) == folds[2])[c.doc])
             if not len(use):
                 continue
-            train, history = _totals(c, folder, "train", use)
-            dev, dev_history = _totals(c, folder, "dev", use)
+            (train, history), (dev, dev_history) = _totals(c, folder, ("train", "dev"), use)
             less = lambda a, b: [x - y for x, y in zip(a, b, strict=True)]
             history = less(history, dev_history)
             p = _estimates(less(train, dev), history, tokens)
@@ -301,7 +301,7 @@ def learn_weights(cells: list[tuple[int, int, list[float]]], order: int, uniform
 def _score(order: int, chunk_bytes: int, folder: str, folds: tuple[int, int, int], tokens: int, types: int, weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for c in chunks(batches, order, chunk_bytes):
-            (train, history), doc = _totals(c, folder, "train"), c.doc
+            (train, history), doc = _totals(c, folder, ("train",))[0], c.doc
             own = bucket(history[-1]) if order > 1 else np.zeros(len(doc), np.int64)
             total = weights[own, 0] / (types + 1)
             for k, x in enumerate(_estimates(train, history, tokens)):
