@@ -375,17 +375,17 @@ def q37_trimmed_height(s, d):
     return trimmed_mean(det(s, d), "sensor_id", "h", 0.7, "event_id").select("sensor_id", F.round("value", 6).alias("height"))
 
 
-@query("select l.event_id as event_id, r.event_id as log_id from (select * from det where event_type = 'view') l asof left join (select object_id, ts, event_id from det where event_type = 'click') r on l.object_id = r.object_id and l.ts >= r.ts")
+@query("select l.event_id as event_id, coalesce(r.event_id, -1) as log_id from (select * from det where event_type = 'view') l asof left join (select object_id, ts, event_id from det where event_type = 'click') r on l.object_id = r.object_id and l.ts >= r.ts")
 def q38_asof_log_lookup(s, d):
     e = det(s, d)
     views, logs = e.where("event_type = 'view'").select("event_id", "object_id", "ts"), e.where("event_type = 'click'").select("object_id", "ts", F.col("event_id").alias("log_id"))
-    return R.as_of(views, logs, ["object_id"], "ts", ["log_id"]).select("event_id", "log_id")
+    return R.as_of(views, logs, ["object_id"], "ts", ["log_id"]).select("event_id", F.coalesce("log_id", F.lit(-1)).alias("log_id"))
 
 
-@query("select event_id, first_value(case when event_type = 'click' then event_id end ignore nulls) over (partition by sensor_id order by ts, event_id rows between current row and unbounded following) as next_id from det")
+@query("select event_id, coalesce(first_value(case when event_type = 'click' then event_id end ignore nulls) over (partition by sensor_id order by ts, event_id rows between current row and unbounded following), -1) as next_id from det")
 def q39_next_fill(s, d):
     e = det(s, d).withColumns({"click": F.when(F.col("event_type") == "click", F.col("event_id")), "at": F.struct("ts", "event_id")})
-    return R.next_fill(e, ["sensor_id"], "at", "click", "next_id").select("event_id", "next_id")
+    return R.next_fill(e, ["sensor_id"], "at", "click", "next_id").select("event_id", F.coalesce("next_id", F.lit(-1)).alias("next_id"))
 
 
 @query("select object_id, event_id as latest from (select *, row_number() over (partition by object_id order by ts desc, event_id desc) as rn from det) where rn = 1")
