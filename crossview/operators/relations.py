@@ -32,10 +32,32 @@ def next_fill(rows: DataFrame, keys: list[str], order: str, value: str, out: str
     return rows.withColumn(out, F.first(value, True).over(by))
 
 
-def stabbing(intervals: DataFrame, key: str, ident: str, start: str, end: str) -> DataFrame:
-    """The sets of intervals of a key that hold at some interval's start or end: (key, at, members sorted)."""
-    points = intervals.select(key, F.explode(F.array(start, end)).alias("at")).distinct()
-    return points.join(intervals, key).where((F.col("at") >= F.col(start)) & (F.col("at") <= F.col(end))).groupBy(key, "at").agg(F.array_sort(F.collect_set(ident)).alias("members"))
+def stabbing(intervals: DataFrame, key: str, ident: str, start: str, end: str, bin_seconds: int | None = None, points: DataFrame | None = None) -> DataFrame:
+    """The sets of intervals of a key that hold at some interval's start or end: (key, at, members sorted).
+
+    With ``bin_seconds`` (for timestamps) points and intervals meet by time bin as well, an interval in every
+    bin that it touches. ``points`` (key, at) are other points to look at.
+    """
+    if points is None:
+        points = intervals.select(key, F.explode(F.array(start, end)).alias("at"))
+    points, on = points.distinct(), [key]
+    if bin_seconds:
+        bin_of = lambda c: F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / bin_seconds)
+        points, on = points.withColumn("_bin", bin_of("at")), [key, "_bin"]
+        intervals = intervals.withColumn("_bin", F.explode(F.sequence(bin_of(start), bin_of(end))))
+    return points.join(intervals, on).where((F.col("at") >= F.col(start)) & (F.col("at") <= F.col(end))).groupBy(key, "at").agg(F.array_sort(F.collect_set(ident)).alias("members"))
+
+
+def maximal_stabbing(intervals: DataFrame, key: str, ident: str, start: str, end: str, bin_seconds: int | None = None) -> DataFrame:
+    """The sets of :func:`stabbing` that are not part of another one, each once: (key, at, members sorted).
+
+    They hold at the starts that an end follows before another start: until that end no interval is lost
+    and at the next start one is gone. So sets are never compared.
+    """
+    ends = intervals.select(key, F.col(start).alias("at"), F.lit(0).alias("_end")).unionByName(intervals.select(key, F.col(end).alias("at"), F.lit(1).alias("_end")))
+    next_end = F.lead("_end").over(Window.partitionBy(key).orderBy("at", "_end"))
+    peaks = ends.withColumn("_next", next_end).where("_end = 0 and _next = 1").select(key, "at")
+    return stabbing(intervals, key, ident, start, end, bin_seconds, peaks)
 
 
 def maximal_sets(sets: DataFrame, key: str, members: str) -> DataFrame:

@@ -19,7 +19,8 @@ from ..operators import tracks as K
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-GAP = 3 * 86400
+DAY = 86400
+GAP = 3 * DAY
 WIDTH, HEIGHT = 1920, 1080
 H = [0.01, 0.0005, -3.0, -0.0002, 0.02, 1.5, 0.00001, 0.00002, 1.0]
 ROI = [(200.0, 150.0), (1500.0, 180.0), (1400.0, 900.0), (300.0, 850.0)]
@@ -287,17 +288,17 @@ _FEW = f"""{SEG}, few as (select *, 'p' || (cast(substr(sensor_id, 4) as bigint)
 ), maximal as (select * from sets a where not exists (select 1 from sets b where a.sensor_id = b.sensor_id and len(b.members) > len(a.members) and list_has_all(b.members, a.members)))"""
 
 
-def few(s, d) -> DataFrame:
-    return tracklets(s, d).where("s < timestamp '2024-01-04 00:00:00'").withColumn("place", F.concat(F.lit("p"), (F.substring("sensor_id", 4, 9).cast("long") % 2).cast("string")))
+def placed(s, d) -> DataFrame:
+    return tracklets(s, d).withColumn("place", F.concat(F.lit("p"), (F.substring("sensor_id", 4, 9).cast("long") % 2).cast("string")))
 
 
 @query("select sensor_id, epoch_us(t) as at_us, cast(len(members) as integer) as n, array_to_string(members, ',') as members from stab", _FEW)
 def q25_interval_stabbing(s, d):
-    return R.stabbing(few(s, d), "sensor_id", "tid", "s", "e").select("sensor_id", us("at").alias("at_us"), F.size("members").alias("n"), F.array_join("members", ",").alias("members"))
+    return R.stabbing(placed(s, d), "sensor_id", "tid", "s", "e", DAY).select("sensor_id", us("at").alias("at_us"), F.size("members").alias("n"), F.array_join("members", ",").alias("members"))
 
 
 def maximal(s, d) -> DataFrame:
-    return R.maximal_sets(R.stabbing(few(s, d), "sensor_id", "tid", "s", "e"), "sensor_id", "members")
+    return R.maximal_stabbing(placed(s, d), "sensor_id", "tid", "s", "e", DAY)
 
 
 @query("select sensor_id, array_to_string(members, ',') as members from maximal", _FEW)
@@ -312,8 +313,8 @@ def q27_max_group_size(s, d):
 
 @query("select a.tid as tid, count(*) as covering from few a join few b on a.place = b.place and a.sensor_id <> b.sensor_id and b.s <= a.s and b.e >= a.e group by a.tid", _FEW)
 def q28_coverage_theta_join(s, d):
-    t = few(s, d)
-    return R.covering_pairs(t.select("tid", "sensor_id", "place", "s", "e"), t.select("tid", "sensor_id", "place", "s", "e"), "place", "sensor_id", "s", "e", "s", "e", 86400).groupBy("tid").agg(F.count("*").alias("covering"))
+    t = placed(s, d)
+    return R.covering_pairs(t.select("tid", "sensor_id", "place", "s", "e"), t.select("tid", "sensor_id", "place", "s", "e"), "place", "sensor_id", "s", "e", "s", "e", DAY).groupBy("tid").agg(F.count("*").alias("covering"))
 
 
 @query("select a, b, count(*) as shared from (select distinct user_id, event_id % 7 as a from events) join (select distinct user_id, event_id % 5 as b from events) using (user_id) group by a, b", "")

@@ -12,6 +12,7 @@ from crossview.operators import evaluation as E
 from crossview.operators import relations as R
 from crossview.operators import tables as TB
 from crossview.operators import tracks as K
+from crossview.plans import catalogue as Q
 from crossview.plans import pipelines as P
 from crossview.sources import detections as S
 from crossview.sources import sinks as W
@@ -112,6 +113,33 @@ def test_relations(spark):
     assert {r.label for r in R.components(edges).collect()} == {0, 100}
 
 
+def test_tracklet_sets_are_of_the_whole_table(spark):
+    d = "/root/testdata/sf0.001"
+    rows = Q.tracklets(spark, d).collect()
+    sensors = {r.sensor_id: [x for x in rows if x.sensor_id == r.sensor_id] for r in rows}
+    micros = lambda t: round(t.replace(tzinfo=dt.timezone.utc).timestamp() * 1e6)
+    stab = {(k, micros(t)): frozenset(x.tid for x in own if x.s <= t <= x.e) for k, own in sensors.items() for r in own for t in (r.s, r.e)}
+    got = Q.q25_interval_stabbing(spark, d).collect()
+    assert len(got) == len(stab) and {(r.sensor_id, r.at_us): frozenset(r.members.split(",")) for r in got} == stab and all(r.n == len(r.members.split(",")) for r in got)
+    sets = {(k, m) for (k, _), m in stab.items()}
+    largest = {(k, m) for k, m in sets if not any(k == j and m < b for j, b in sets)}
+    groups = [(r.sensor_id, frozenset(r.members.split(","))) for r in Q.q26_maximal_groups(spark, d).collect()]
+    assert len(groups) == len(largest) and set(groups) == largest
+    assert {r.sensor_id: r.k for r in Q.q27_max_group_size(spark, d).collect()} == {k: max(len(m) for j, m in largest if j == k) for k in sensors}
+    place = lambda r: int(r.sensor_id[3:]) % 2
+    covering = {a.tid: sum(place(a) == place(b) and a.sensor_id != b.sensor_id and b.s <= a.s and b.e >= a.e for b in rows) for a in rows}
+    assert {r.tid: r.covering for r in Q.q28_coverage_theta_join(spark, d).collect()} == {k: n for k, n in covering.items() if n}
+
+
+def test_maximal_stabbing_with_ties(spark):
+    rng = np.random.default_rng(3)
+    rows = [(f"k{i % 2}", f"i{i:02d}", int(a), int(a + b)) for i, (a, b) in enumerate(zip(rng.integers(0, 12, 40), rng.integers(0, 5, 40), strict=True))]
+    iv = spark.createDataFrame(rows, "k string, id string, a int, b int")
+    want = R.maximal_sets(R.stabbing(iv, "k", "id", "a", "b"), "k", "members").collect()
+    got = R.maximal_stabbing(iv, "k", "id", "a", "b").collect()
+    assert sorted((r.k, r.members) for r in got) == sorted((r.k, r.members) for r in want)
+
+
 def test_coexisting_groups_are_maximal():
     b = lambda k, s, e, sensor="a": G.Behavior(k, sensor, "1", s, e, np.array([1.0]))
     rows = [b("x", 0, 10), b("y", 5, 15), b("z", 12, 20), b("w", 0, 30, "b")]
