@@ -432,7 +432,9 @@ def q45_anti_stale(s, d):
 union all select 'except', count(*) from (select object_id from a except select object_id from b)""", f"{DET}, a as (select object_id from det where event_id % 97 = 0), b as (select object_id from det where event_id % 89 = 0)")
 def q46_set_ops(s, d):
     e = det(s, d)
-    a, b = e.where("event_id % 97 = 0").select("object_id"), e.where("event_id % 89 = 0").select("object_id")
+    # The objects and days of views, and those of all other events.
+    one, views = ["object_id", F.floor(us("ts") / (DAY * 1_000_000)).alias("day")], F.col("event_type") == "view"
+    a, b = e.where(views).select(*one), e.where(~views).select(*one)
     n = lambda name, df: df.agg(F.lit(name).alias("op"), F.count("*").alias("n"))
     return n("union", a.union(b).distinct()).unionByName(n("intersect", a.intersect(b))).unionByName(n("except", a.subtract(b)))
 
@@ -524,8 +526,10 @@ def q57_first_last_shed(s, d):
 @query("""select node, min(label) as label from (select node, label from reach) group by node""", """recursive e as (select distinct event_id % 400 as a, (event_id * 7 + 3) % 400 as b from events where event_id % 11 = 0
 ), both_ways as (select a, b from e union select b, a from e), reach(node, label) as (select a, a from both_ways union select b.b, r.label from reach r join both_ways b on b.a = r.node)""")
 def q58_components(s, d):
-    i = F.col("event_id")
-    e = s.read.parquet(f"{d}/events.parquet").where(i % 11 == 0).select((i % 400).alias("a"), ((i * 7 + 3) % 400).alias("b")).distinct()
+    by = Window.partitionBy("object_id").orderBy("ts", "event_id")
+    e = det(s, d).withColumns({"next": F.lead("event_id").over(by), "wait": us(F.lead("ts").over(by)) - us("ts")})
+    # Each event and the next one of its object, or itself if that comes too late.
+    e = e.select(F.col("event_id").alias("a"), F.when(F.col("wait") <= GAP * 1_000_000, F.col("next")).otherwise(F.col("event_id")).alias("b"))
     return R.components(e).select("node", "label")
 
 

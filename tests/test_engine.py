@@ -131,6 +131,17 @@ def test_tracklet_sets_are_of_the_whole_table(spark):
     assert {r.tid: r.covering for r in Q.q28_coverage_theta_join(spark, d).collect()} == {k: n for k, n in covering.items() if n}
 
 
+def test_sets_and_components_are_of_the_whole_table(spark):
+    d = "/root/testdata/sf0.001"
+    e = spark.read.parquet(f"{d}/events.parquet").select("event_id", "user_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("t")).toPandas().sort_values(["user_id", "t", "event_id"])
+    a, b = ({(u, t // (Q.DAY * 1_000_000)) for u, t in zip(own.user_id, own.t, strict=True)} for own in (e[e.event_type == "view"], e[e.event_type != "view"]))
+    assert a - b and a & b
+    assert {r.op: r.n for r in Q.q46_set_ops(spark, d).collect()} == {"union": len(a | b), "intersect": len(a & b), "except": len(a - b)}
+    new = (e.user_id != e.user_id.shift()) | (e.t - e.t.shift() > Q.GAP * 1_000_000)
+    want = e.assign(label=e.groupby(new.cumsum()).event_id.transform("min")).set_index("event_id").label.to_dict()
+    assert {r.node: r.label for r in Q.q58_components(spark, d).collect()} == want
+
+
 def test_maximal_stabbing_with_ties(spark):
     rng = np.random.default_rng(3)
     rows = [(f"k{i % 2}", f"i{i:02d}", int(a), int(a + b)) for i, (a, b) in enumerate(zip(rng.integers(0, 12, 40), rng.integers(0, 5, 40), strict=True))]
