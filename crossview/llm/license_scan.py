@@ -11,6 +11,8 @@ Two scans, neither with a shuffle of texts:
   apart: words put in or left out) are merged; and each merged span is verified:
   the template's words that its matches cover must make ``min_cover`` of the
   template, and the text's words that they cover ``min_dense`` of the span.
+  Where a template holds the name of its licence (``NAMES``), the name's words
+  must be there as well, in a row: notices of a family differ in it alone.
 
 The template side is broadcast up to ``MAX_BROADCAST`` positions; a larger
 set of templates is joined without that hint. Only matches are shuffled, and
@@ -62,6 +64,18 @@ TEMPLATES = [
     ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software"),
 ]
 
+# The words that tell a licence from others of its family, by label.
+NAMES = {
+    "apache-2": "the Apache License, Version 2",
+    "gpl": "GNU General Public License",
+    "lgpl": "GNU Lesser General Public License",
+    "agpl": "GNU Affero General Public License",
+    "mpl-2": "the Mozilla Public License",
+    "cc-by": "Creative Commons Attribution 4.0",
+    "cc-by-sa": "Creative Commons Attribution ShareAlike 4.0",
+    "cc-by-nc": "Creative Commons Attribution NonCommercial 4.0",
+}
+
 _BASE = T.StructType().add("n_words", "long").add("n_base", "long").add("first_word", "long").add("last_word", "long").add("base_labels", T.ArrayType(T.StringType()))
 
 
@@ -127,26 +141,36 @@ def _rolling(k: int, text_at: int):
     return run
 
 
-def template_grams(spark: SparkSession, templates: list[tuple[str, str]], k: int) -> DataFrame:
-    """Template number, its words and label, and the hash and position of each of its k-grams."""
+def _named(words: list[int], name: list[int], k: int) -> list[int]:
+    """The positions of the k-grams that make up the first place of a name, or hold it if it is shorter; none without it."""
+    at = next((i for i in range(len(words) - len(name) + 1) if name and words[i : i + len(name)] == name), None)
+    if at is None:
+        return []
+    first = at if len(name) >= k else min(at, len(words) - k)
+    return list(range(max(first, 0), max(at + len(name) - k, first, 0) + 1))
+
+
+def template_grams(spark: SparkSession, templates: list[tuple[str, str]], k: int, names: dict[str, str] = NAMES) -> DataFrame:
+    """Template number, its words and label, the positions of its name's k-grams, and the hash and position of each of its k-grams."""
     rows = []
     for i, (label, text) in enumerate(templates):
         _, w, h = _one(text)
-        rows += [(i, label, int(w.counts[0]), int(x), at) for at, x in enumerate(tb.windows(h, w, k)[0].view(np.int64))]
-    return spark.createDataFrame(rows, "template int, label string, template_words int, hash long, t_at int")
+        named = _named(h.tolist(), _one(names.get(label, ""))[2].tolist(), k)
+        rows += [(i, label, int(w.counts[0]), named, int(x), at) for at, x in enumerate(tb.windows(h, w, k)[0].view(np.int64))]
+    return spark.createDataFrame(rows, "template int, label string, template_words int, named array<int>, hash long, t_at int")
 
 
-def matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, k: int = K, max_gap: int = MAX_GAP, min_cover: float = MIN_COVER, min_dense: float = MIN_DENSE) -> DataFrame:
+def matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, k: int = K, max_gap: int = MAX_GAP, min_cover: float = MIN_COVER, min_dense: float = MIN_DENSE, names: dict[str, str] = NAMES) -> DataFrame:
     """Verified spans: doc_id, key (of the text), label, first and last word, cover (of the template's words)."""
     own = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
     grams = own.mapInArrow(_rolling(k, 2), own.schema.__class__(own.schema.fields[:2]).add("grams", T.ArrayType(T.LongType())))
     grams = grams.select("doc_id", "key", F.posexplode("grams").alias("at", "hash"))
-    known = template_grams(docs.sparkSession, templates, k)
+    known = template_grams(docs.sparkSession, templates, k, names)
     if sum(len(t.split()) for _, t in templates) <= MAX_BROADCAST:
         known = F.broadcast(known)
     votes = (
         grams.join(known, "hash")
-        .groupBy("doc_id", "key", "template", "label", "template_words", (F.col("at") - F.col("t_at")).alias("diagonal"))
+        .groupBy("doc_id", "key", "template", "label", "template_words", "named", (F.col("at") - F.col("t_at")).alias("diagonal"))
         .agg(F.collect_set("at").alias("ats"), F.collect_set("t_at").alias("t_ats"))
     )
     by = Window.partitionBy("doc_id", "key", "template").orderBy("diagonal")
@@ -154,7 +178,7 @@ def matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, k: in
     spans = (
         votes.withColumn("new", apart.cast("int"))
         .withColumn("span", F.sum("new").over(by))
-        .groupBy("doc_id", "key", "template", "label", "template_words", "span")
+        .groupBy("doc_id", "key", "template", "label", "template_words", "named", "span")
         .agg(F.flatten(F.collect_list("ats")).alias("ats"), F.flatten(F.collect_list("t_ats")).alias("t_ats"))
     )
     covered = lambda c: F.array_distinct(F.flatten(F.transform(F.array_distinct(c), lambda x: F.sequence(x, x + (k - 1)))))
@@ -163,6 +187,7 @@ def matches(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, k: in
         .withColumn("first", F.array_min("words"))
         .withColumn("last", F.array_max("words"))
         .withColumn("cover", F.size(covered(F.col("t_ats"))) / F.col("template_words"))
+        .where(F.size(F.array_except("named", "t_ats")) == 0)
         .where((F.col("cover") >= min_cover) & (F.size("words") >= min_dense * (F.col("last") - F.col("first") + 1)))
         .select("doc_id", "key", "label", "first", "last", "cover")
     )

@@ -167,6 +167,23 @@ def test_license_scan(spark):
     assert license_scan.scan(docs_of(spark, []).limit(0)).count() == 0
 
 
+def test_license_families(spark):
+    own = license_scan.TEMPLATES
+    work = "This work is licensed under"
+    others = [
+        (f"{work} the GNU Free Documentation License", []),
+        (f"{work} a Creative Commons Attribution NonCommercial ShareAlike 4.0 International License", []),
+        ("Licensed under the Educational Community License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at", []),
+        (own[8][1].replace("Lesser ", ""), ["gpl"]),
+        (own[6][1].replace("GNU General", "GNU Lesser General"), ["lgpl"]),
+        (f"{own[13][1]}. {own[11][1]}.", ["cc-by", "cc-by-nc"]),
+    ]
+    texts = [(text, [label]) for label, text in own] + others
+    rows = {r.doc_id: r.labels for r in license_scan.scan(docs_of(spark, [t for t, _ in texts]).select("doc_id", "text")).collect()}
+    assert [rows[i] for i in range(len(texts))] == [x for _, x in texts]
+    assert license_scan._named([1, 2, 3, 4, 5, 6], [2, 3, 4, 5, 6], 4) == [1, 2] and license_scan._named([1, 2, 3, 4, 5], [4, 5], 4) == [1] and license_scan._named([1, 2], [3], 4) == []
+
+
 def test_html(spark):
     page = """<html><head><title>T</title><style>p{}</style><script>var a="</p><p>no";</script></head><body class="has-sidebar"><header><h2>Site</h2></header><nav><ul><li><a href=x>Home</a></nav>
     <div id="cookie-notice"><p>We use cookies, ok, yes, fine, really, truly.</p></div><main><article><h1>Title &amp; more</h1><div class="post-body"><p>First, a paragraph, of &lt;some&gt; length,
