@@ -205,6 +205,25 @@ def e10_rtls_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.evaluate(E.restricted_truth(real, prediction), prediction.select("seq", "frame", "id", "x", "y"), "point")
 
 
+def event_behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tracklets of all events with the unit sums of their events' vectors and their place; without locations."""
+    from ..functions import columns as C
+
+    vectors = Q.vectors(spark, sf_dir).where("vec_id < 500").select("vec_id", "embedding")
+    rows = Q.segmented(spark, sf_dir).withColumn("vec_id", F.col("event_id") % 500).join(vectors, "vec_id")
+    sums = K.vector_sum(rows, ["sensor_id", "object_id", "segment"], "embedding", "embedding")
+    return Q.placed(spark, sf_dir).join(sums, ["sensor_id", "object_id", "segment"]).select(
+        F.col("tid").alias("key"), "sensor_id", F.col("object_id").cast("string").alias("object_id"), F.col("s").alias("start"), F.col("e").alias("end"), C.normalized(F.col("embedding")).alias("embedding"),
+        F.lit(None).cast("array<array<double>>").alias("locations"), F.lit(None).cast("array<timestamp>").alias("location_times"), "place",
+    )
+
+
+@register
+def e11_mtmc_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identities of all tracklets of the events, a place at a time."""
+    return G.global_objects(event_behaviors(spark, sf_dir), SCENE_CONFIG, "place")
+
+
 @register
 def e04_appearance_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Density clusters of the vectors of each label's half."""

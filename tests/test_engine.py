@@ -142,6 +142,14 @@ def test_sets_and_components_are_of_the_whole_table(spark):
     assert {r.node: r.label for r in Q.q58_components(spark, d).collect()} == want
 
 
+def test_identities_are_of_all_tracklets(spark):
+    d = "/root/testdata/sf0.001"
+    rows = P.e11_mtmc_events(spark, d).collect()
+    want = {r.tid: (f"p{int(r.sensor_id[3:]) % 2}", r.sensor_id, str(r.object_id), r.s, r.e) for r in Q.tracklets(spark, d).collect()}
+    assert len(rows) == len(want) and {r.key: (r.place, r.sensor_id, r.object_id, r.start, r.end) for r in rows} == want
+    assert 1 < len({(r.place, r.global_id) for r in rows}) < len(rows)
+
+
 def test_maximal_stabbing_with_ties(spark):
     rng = np.random.default_rng(3)
     rows = [(f"k{i % 2}", f"i{i:02d}", int(a), int(a + b)) for i, (a, b) in enumerate(zip(rng.integers(0, 12, 40), rng.integers(0, 5, 40), strict=True))]
