@@ -11,7 +11,8 @@ benchmark is cut into slices of that size by hash; the documents are then
 scanned once for each slice and the hits are merged by row.
 
 Defined results: a null or word-free text has no words and no hits; null or
-word-free items have no window; repeated rows are judged one by one; items that
+word-free items have no window; windows of items without an id hit, but count as
+no item; repeated rows are judged one by one; items that
 share an id count as one item; an empty benchmark hits nothing; extra columns
 of the documents are kept as they are, other columns of the benchmark ignored.
 """
@@ -93,7 +94,7 @@ class _Index:
                 if found:
                     edge[i] += 1
                     edge[i + size] -= 1
-                    items[doc[i]].update(found)
+                    items[doc[i]].update(x for x in found if x is not None)
         covered = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
         spans: list[list[tuple[int, int]]] = [[] for _ in range(t.n)]
         if len(covered):
@@ -124,7 +125,7 @@ def _scan(index: _Index, text_at: int):
 
 def _sliced(benchmark: DataFrame, n: int, max_windows: int) -> tuple[DataFrame, int]:
     """The benchmark's distinct windows, and into how many slices they must be cut."""
-    own = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null")
+    own = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     windows = own.mapInArrow(_benchmark_windows(n), _WINDOWS).distinct()
     return windows, max(1, -(-windows.count() // max_windows))
 

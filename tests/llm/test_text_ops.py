@@ -81,6 +81,17 @@ def test_decontaminate(spark, max_windows):
     assert decontaminate.digest(decontaminate.find_hits(docs, bench.limit(0))).where("n_hit > 0").count() == 0
 
 
+@pytest.mark.parametrize("max_windows", [1000, 3])
+def test_decontaminate_items_without_id(spark, max_windows):
+    words = [f"w{i}" for i in range(20)]
+    docs = docs_of(spark, ["a " + " ".join(words) + " b", "c " + " ".join(words[:13])]).select("doc_id", "text")
+    benchmark = spark.createDataFrame([(None, " ".join(words)), (7, " ".join(words[5:18]))], "item_id long, text string")
+    rows = {r.doc_id: r for r in decontaminate.digest(decontaminate.find_hits(docs, benchmark, max_windows=max_windows)).collect()}
+    assert [(rows[i].n_hit, rows[i].n_items, rows[i].contaminated) for i in (0, 1)] == [(20, 1, True), (13, 0, True)]
+    assert rows[1].items_sha256 == hashlib.sha256(b"").hexdigest()
+    assert decontaminate.decontaminate(docs, benchmark, max_windows=max_windows).count() == 0
+
+
 def test_packing_round_trip(spark):
     from tokenizers import Tokenizer
 
