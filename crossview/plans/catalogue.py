@@ -281,9 +281,9 @@ def q24_place_grouping(s, d):
     return det(s, d).groupBy("place").agg(F.count("*").alias("n"), F.countDistinct("sensor_id").alias("sensors"))
 
 
-_FEW = f"""{SEG}, few as (select *, 'p' || (cast(substr(sensor_id, 4) as bigint) % 2) as place from tracklet where s < timestamp '2024-01-04 00:00:00'
-), points as (select distinct sensor_id, unnest([s, e]) as t from few
-), stab as (select p.sensor_id, t, list_sort(list(distinct tid)) as members from points p join few f on p.sensor_id = f.sensor_id and t between s and e group by p.sensor_id, t
+_PLACED = f"""{SEG}, placed as (select *, 'p' || (cast(substr(sensor_id, 4) as bigint) % 2) as place from tracklet
+), points as (select distinct sensor_id, unnest([s, e]) as t from placed
+), stab as (select p.sensor_id, t, list_sort(list(distinct tid)) as members from points p join placed f on p.sensor_id = f.sensor_id and t between s and e group by p.sensor_id, t
 ), sets as (select distinct sensor_id, members from stab
 ), maximal as (select * from sets a where not exists (select 1 from sets b where a.sensor_id = b.sensor_id and len(b.members) > len(a.members) and list_has_all(b.members, a.members)))"""
 
@@ -292,7 +292,7 @@ def placed(s, d) -> DataFrame:
     return tracklets(s, d).withColumn("place", F.concat(F.lit("p"), (F.substring("sensor_id", 4, 9).cast("long") % 2).cast("string")))
 
 
-@query("select sensor_id, epoch_us(t) as at_us, cast(len(members) as integer) as n, array_to_string(members, ',') as members from stab", _FEW)
+@query("select sensor_id, epoch_us(t) as at_us, cast(len(members) as integer) as n, array_to_string(members, ',') as members from stab", _PLACED)
 def q25_interval_stabbing(s, d):
     return R.stabbing(placed(s, d), "sensor_id", "tid", "s", "e", DAY).select("sensor_id", us("at").alias("at_us"), F.size("members").alias("n"), F.array_join("members", ",").alias("members"))
 
@@ -301,17 +301,17 @@ def maximal(s, d) -> DataFrame:
     return R.maximal_stabbing(placed(s, d), "sensor_id", "tid", "s", "e", DAY)
 
 
-@query("select sensor_id, array_to_string(members, ',') as members from maximal", _FEW)
+@query("select sensor_id, array_to_string(members, ',') as members from maximal", _PLACED)
 def q26_maximal_groups(s, d):
     return maximal(s, d).select("sensor_id", F.array_join("members", ",").alias("members"))
 
 
-@query("select sensor_id, cast(max(len(members)) as integer) as k from maximal group by sensor_id", _FEW)
+@query("select sensor_id, cast(max(len(members)) as integer) as k from maximal group by sensor_id", _PLACED)
 def q27_max_group_size(s, d):
     return maximal(s, d).groupBy("sensor_id").agg(F.max(F.size("members")).alias("k"))
 
 
-@query("select a.tid as tid, count(*) as covering from few a join few b on a.place = b.place and a.sensor_id <> b.sensor_id and b.s <= a.s and b.e >= a.e group by a.tid", _FEW)
+@query("select a.tid as tid, count(*) as covering from placed a join placed b on a.place = b.place and a.sensor_id <> b.sensor_id and b.s <= a.s and b.e >= a.e group by a.tid", _PLACED)
 def q28_coverage_theta_join(s, d):
     t = placed(s, d)
     return R.covering_pairs(t.select("tid", "sensor_id", "place", "s", "e"), t.select("tid", "sensor_id", "place", "s", "e"), "place", "sensor_id", "s", "e", "s", "e", DAY).groupBy("tid").agg(F.count("*").alias("covering"))
@@ -428,8 +428,9 @@ def q45_anti_stale(s, d):
     return e.select("object_id").distinct().join(stale, "object_id", "left_anti")
 
 
-@query("""select 'union' as op, count(*) as n from (select object_id from a union select object_id from b) union all select 'intersect', count(*) from (select object_id from a intersect select object_id from b)
-union all select 'except', count(*) from (select object_id from a except select object_id from b)""", f"{DET}, a as (select object_id from det where event_id % 97 = 0), b as (select object_id from det where event_id % 89 = 0)")
+@query("""select 'union' as op, count(*) as n from (select * from a union select * from b) union all select 'intersect', count(*) from (select * from a intersect select * from b)
+union all select 'except', count(*) from (select * from a except select * from b)""", f"""{DET}, a as (select object_id, epoch_us(ts) // 86400000000 as day from det where event_type = 'view'
+), b as (select object_id, epoch_us(ts) // 86400000000 as day from det where event_type <> 'view')""")
 def q46_set_ops(s, d):
     e = det(s, d)
     # The objects and days of views, and those of all other events.
@@ -523,8 +524,9 @@ def q57_first_last_shed(s, d):
     return R.first_and_last(det(s, d), ["sensor_id"], ["ts", "event_id"], 7).select("event_id")
 
 
-@query("""select node, min(label) as label from (select node, label from reach) group by node""", """recursive e as (select distinct event_id % 400 as a, (event_id * 7 + 3) % 400 as b from events where event_id % 11 = 0
-), both_ways as (select a, b from e union select b, a from e), reach(node, label) as (select a, a from both_ways union select b.b, r.label from reach r join both_ways b on b.a = r.node)""")
+@query("""select a as node, min(a) over (partition by object_id, run) as label from (select *, sum(cut) over (partition by object_id order by ts, event_id rows unbounded preceding) as run from chain)""", f"""{DET}, waits as (
+select event_id as a, object_id, ts, event_id, date_diff('microsecond', lag(ts) over (partition by object_id order by ts, event_id), ts) as wait from det
+), chain as (select *, case when wait <= {GAP}::bigint * 1000000 then 0 else 1 end as cut from waits)""")
 def q58_components(s, d):
     by = Window.partitionBy("object_id").orderBy("ts", "event_id")
     e = det(s, d).withColumns({"next": F.lead("event_id").over(by), "wait": us(F.lead("ts").over(by)) - us("ts")})
