@@ -50,7 +50,7 @@ def brute_groups(docs):
     return {i: (find(i), len(texts[i]), linked[i]) for i in sets}
 
 
-@pytest.mark.parametrize("block", [2048, 7])
+@pytest.mark.parametrize("block", [512, 7])
 def test_jaccard_join(spark, block):
     rng = random.Random(11)
     base = [prose(rng, n) for n in (3, 5, 12, 60, 150)]
@@ -77,6 +77,17 @@ def test_jaccard_filter(spark):
     assert jaccard_join.near_duplicates(d.limit(0)).count() == 0
 
 
+def test_jaccard_texts_that_share_an_id(spark):
+    rng = random.Random(8)
+    a, b = prose(rng, 60), prose(rng, 60)
+    rows = [(1, a), (1, b), (2, b + " word"), (3, a + " word"), (1, a), (None, a), (4, prose(rng, 60))]
+    d = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, row int")
+    got = sorted(((r.doc_id, r.class_id, r.n_copies, r.n_links, r.n_linked_docs) for r in jaccard_join.near_duplicates(d).collect()), key=str)
+    assert got == sorted([(1, 1, 2, 1, 2), (1, 1, 2, 1, 2), (1, 1, 1, 1, 1), (2, 1, 1, 1, 1), (3, 1, 1, 1, 2), (None, 1, 2, 1, 2), (4, 4, 1, 0, 0)], key=str)
+    kept = jaccard_join.drop_near_duplicates(d).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(1, a), (1, b), (0, a), (4, rows[6][1])])
+
+
 def test_pruning_keeps_likely_pairs():
     from crossview.llm.jaccard_join import least_matches, surviving
 
