@@ -152,8 +152,9 @@ def _buckets(rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keys = _bands(_stack(b.column(2).to_pylist()), rows)
+            salt = np.arange(1, keys.shape[1] + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)
             for band in range(keys.shape[1]):
-                bucket = tb.mix(keys[:, band] + np.uint64(band + 1) * np.uint64(0xA0761D6478BD642F)) & ~np.uint64(_BAND_BITS) | np.uint64(band)
+                bucket = tb.mix(keys[:, band] + salt[band]) & ~np.uint64(_BAND_BITS) | np.uint64(band)
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(bucket.view(np.int64))], ["node", "n", "bucket"])
 
     return run

@@ -121,7 +121,8 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _power(kind: str, n: int) -> np.ndarray:
+def powers(kind: str, n: int) -> np.ndarray:
+    """The first ``n`` powers of the hash's base (``up``) or of its inverse (``down``)."""
     have = _powers[kind]
     if len(have) < n:
         base = U64(_MULT if kind == "up" else _MULT_INV)
@@ -133,16 +134,26 @@ def _power(kind: str, n: int) -> np.ndarray:
     return have[:n]
 
 
-def prefix(data: np.ndarray) -> np.ndarray:
-    """Prefix sums of a polynomial hash, for :func:`span_hash`."""
-    out = np.zeros(len(data) + 1, U64)
-    np.cumsum(_BYTE[data] * _power("up", len(data)), out=out[1:])
+def byte_values(data: np.ndarray) -> np.ndarray:
+    """The value of each byte in a polynomial hash."""
+    return _BYTE[data]
+
+
+def prefix_of(values: np.ndarray) -> np.ndarray:
+    """Prefix sums of a polynomial hash of any values."""
+    out = np.zeros(len(values) + 1, U64)
+    np.cumsum(values * powers("up", len(values)), out=out[1:])
     return out
 
 
+def prefix(data: np.ndarray) -> np.ndarray:
+    """Prefix sums of a polynomial hash of bytes, for :func:`span_hash`."""
+    return prefix_of(_BYTE[data])
+
+
 def span_hash(acc: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of every span's bytes, the same wherever the bytes stand."""
-    return mix((acc[end] - acc[start]) * _power("down", len(acc))[start] + (end - start).astype(U64))
+    return mix((acc[end] - acc[start]) * powers("down", len(acc))[start] + (end - start).astype(U64))
 
 
 def word_hashes(t: Texts, w: Words, lower: bool = True) -> np.ndarray:

@@ -220,6 +220,58 @@ def test_toxicity_heldout_accuracy(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_by_brute_force(spark):
+    """Features, weights and scores of a plain version: character n-grams as strings, a dense matrix."""
+    rng = random.Random(16)
+    words = ["naïve", "日本", "été", *WORDS[:30]]
+    texts, y = [], []
+    for k in range(240):
+        w = rng.choices(words, k=rng.randint(3, 40 if k else 4000))
+        y.append(int(rng.random() < 0.4))
+        texts.append(" ".join(w + (["Ürgß\tvex 悪い"] if y[-1] and rng.random() < 0.8 else [])))
+    texts += ["", None]
+    y += [0, 1]
+    docs = docs_of(spark, texts, extra=True)
+    docs = docs.unionByName(docs.where("doc_id < 5"))
+    labels = labels_of(spark, list(enumerate(y)), "toxic").where("toxic is not null")
+    sizes = (2, 3, 5)
+    model = toxicity.fit(docs, labels, "toxic", F.lit(True), sizes=sizes)
+    blank = {ord(c): " " for c in "\t\n\x0b\x0c\r"} | UP
+    have = []
+    for t in texts:
+        c = f" {(t or '').translate(blank)} "
+        have.append({c[i : i + n] for n in sizes for i in range(len(c) - n + 1)})
+    lab = np.array(y)
+    n1, n0 = lab.sum(), len(lab) - lab.sum()
+    counts = collections.Counter(g for h in have for g in h)
+    ones = collections.Counter(g for h, k in zip(have, y) for g in h if k)
+    ratio = {}
+    for g, n in counts.items():
+        one, zero = ones[g], n - ones[g]
+        r, z = toxicity._z(np.array([one]), np.array([zero]), n1, n0, 1.0)
+        if abs(z[0]) >= toxicity.MIN_Z:
+            ratio[g] = r[0]
+    assert len(ratio) == len(model.keys) > 20
+    grams = sorted(ratio)
+    x = np.array([[ratio[g] * (g in h) for g in grams] for h in have])
+    w, b = np.zeros(len(grams)), 0.0
+    for _ in range(60):  # Newton steps
+        p = 1 / (1 + np.exp(-(x @ w + b)))
+        xb = np.c_[x, np.ones(len(x))]
+        ridge = np.diag([toxicity.RIDGE] * len(grams) + [0])
+        step = np.linalg.solve(xb.T @ (xb * (p * (1 - p))[:, None]) / len(x) + ridge + 1e-9 * np.eye(len(grams) + 1), xb.T @ (p - lab) / len(x) + ridge @ np.r_[w, b])
+        w, b = w - step[:-1], b - step[-1]
+    share = labels.groupBy().agg(F.avg("toxic")).first()[0]
+    b += np.log(share / (1 - share)) - np.log(n1 / n0)
+    want = 1 / (1 + np.exp(-(x @ w + b)))
+    rows = collections.defaultdict(set)
+    for r in toxicity.score(docs, model).collect():
+        rows[r.doc_id].add(r.score)
+    assert all(len(v) == 1 for v in rows.values())
+    got = np.array([rows[i].pop() for i in range(len(texts))])
+    assert np.abs(got - want).max() < 0.02
+
+
 def test_quality_on_held_out_rows(spark):
     docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
     rows = quality_classifier.score(docs, labels).join(labels, "doc_id").where(common.fold("doc_id", 5) == 0).collect()
