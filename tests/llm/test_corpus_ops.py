@@ -283,6 +283,74 @@ def test_quality_on_held_out_rows(spark):
     assert quality_classifier.score(odd.limit(0), labels).count() == 0
 
 
+def _in_memory(basis, x, known, unlabelled):
+    cells = basis.cells(x)
+
+    def passes(w, curves):
+        total = quality_classifier.Sums.none(len(w))
+        for kind, use in enumerate((known, unlabelled)):
+            total.add(cells[use], w, kind, curves[kind])
+        return total
+
+    return cells, passes
+
+
+@pytest.mark.parametrize(("prior", "ridge"), [(0.4, 1e-2), (0.95, 1e-3)])
+def test_quality_risk_has_its_minimum(prior, ridge):
+    """No step in any direction lowers the convex risk; with a prior far too large its second part ends at zero."""
+    rng = np.random.default_rng(9)
+    good = rng.random(900) < 0.4
+    x = np.abs(rng.normal(size=(900, len(quality_classifier.FEATURES))) + good[:, None] * 0.8).astype(np.float32)
+    x[:, 3] *= rng.random(900) < 0.2
+    counts = np.stack([np.bincount(v, minlength=1 << 16) for v in quality_classifier.levels(x).T])
+    basis, known, every = quality_classifier.Basis.of(counts), good & (rng.random(900) < 0.5), np.ones(900, bool)
+    cells, passes = _in_memory(basis, x, known, every)
+    w = quality_classifier.fit_nnpu(passes, basis.size, (known.sum(), 900), prior, ridge)
+
+    def parts(w):
+        z = w[cells].sum(1)
+        return prior * np.logaddexp(0, -z[known]).mean() + ridge / 2 * (w[:-1] @ w[:-1]), np.logaddexp(0, z).mean() - prior * np.logaddexp(0, z[known]).mean()
+
+    risk = lambda w: (p := parts(w))[0] + max(0.0, p[1])
+    assert (abs(parts(w)[1]) <= 2 * quality_classifier.SLACK) if prior > 0.9 else parts(w)[1] > 0
+    least = min(risk(w + size * d / np.linalg.norm(d)) for size in (0.003, 0.03, 0.3, 1) for d in rng.normal(size=(300, len(w))))
+    assert risk(w) <= least + 1e-3
+    known_w = quality_classifier.fit_known(passes, basis.size, (known.sum(), 900), ridge)
+    z = known_w[cells].sum(1)
+    slope = np.bincount(cells[known].ravel(), np.repeat((1 / (1 + np.exp(-z[known])) - 1) / known.sum(), cells.shape[1]), basis.size)
+    slope += np.bincount(cells.ravel(), np.repeat(1 / (1 + np.exp(-z)) / 900, cells.shape[1]), basis.size)
+    slope[:-1] += ridge * known_w[:-1]
+    assert np.abs(slope).max() < 2e-3
+
+
+def test_quality_counts_every_row(spark):
+    """Scores equal those of the same fit on all rows in memory, repeated rows and rows of a hundred kB included."""
+    rng = random.Random(12)
+    texts = list(AWKWARD) + [prose(rng, 30_000)] + [prose(rng, rng.randint(1, 80)) + ("!!! # | " * rng.randint(0, 9)) for _ in range(400)]
+    docs = docs_of(spark, texts, extra=True)
+    docs = docs.unionByName(docs.where("doc_id % 5 = 1"))
+    quality = {i: int("#" not in (t or "")) for i, t in enumerate(texts) if i % 2}
+    labels = labels_of(spark, list(quality.items()), "quality")
+    keep = lambda i: zlib.crc32(str(i).encode()) % 5 != 0
+    rows = quality_classifier.featurised(docs).collect()
+    x = np.array([r.x for r in rows], np.float32)
+    unl = np.array([keep(r.doc_id) for r in rows])
+    known = np.array([quality.get(r.doc_id) == 1 and keep(r.doc_id) for r in rows])
+    counts = np.stack([np.bincount(v, minlength=1 << 16) for v in quality_classifier.levels(x[unl]).T])
+    basis, n = quality_classifier.Basis.of(counts), (known.sum(), unl.sum())
+    for c, e in zip(x[unl].T, basis.edges, strict=True):  # edges are quantiles, to 1 part in 256
+        assert all(abs(np.sort(c)[int(np.ceil((c < v).mean() * len(c))) - 1] - v) <= max(v, 1e-3) for v in e)
+    _, passes = _in_memory(basis, x, known, unl)
+    ridge = max(quality_classifier.RIDGE, quality_classifier.RIDGE_ROWS / n[0])
+    first = quality_classifier.Linear(basis, quality_classifier.fit_known(passes, basis.size, n, ridge)).score(x)
+    cell = np.minimum((first * quality_classifier.HISTOGRAM).astype(int), quality_classifier.HISTOGRAM - 1)
+    tally = np.stack([np.bincount(cell[m], minlength=quality_classifier.HISTOGRAM) for m in (~known, known)])
+    prior = quality_classifier.class_prior(tally[1], tally.sum(0))
+    want = quality_classifier.Linear(basis, quality_classifier.fit_nnpu(passes, basis.size, n, prior, ridge)).score(x)
+    got = {r.doc_id: r.score for r in quality_classifier.score(docs, labels).collect()}
+    assert max(abs(got[r.doc_id] - s) for r, s in zip(rows, want, strict=True)) < 1e-6
+
+
 def test_class_prior():
     pos, unl = np.zeros(100), np.zeros(100)
     pos[60:] = 500
