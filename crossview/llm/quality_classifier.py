@@ -247,16 +247,17 @@ def fit_nnpu(passes, size: int, n: tuple[int, int], prior: float, ridge: float)
         mean = s.loss / np.maximum(n, 1)
         return w, float(mean[1] - prior * mean[0])
 
-    w, at_high = solve(1.0, np.zeros(size))
-    if at_high >= 0:
-        return w
-    low, high = 0.0, 1.0
-    w, at_low = solve(low, np.zeros(size))
-    for _ in range(MAX_HALVINGS):  # a secant between the ends, the end that stays counting half
-        k = low + (high - low) * at_low / (at_low - at_high)
-        w, negative = solve(k, w)
+    w, negative = solve(1.0, np.zeros(size))
+    low = high = 1.0
+    while negative < 0 and low > 1e-9:  # downwards to a k at which N is positive; weights shrink with k
+        low, high, at_high = low / 4, low, negative
+        w, negative = solve(low, w / 4)
+    at_low = negative
+    for _ in range(MAX_HALVINGS if high > low else 0):  # a secant between the ends, the end that stays counting half
         if abs(negative) <= SLACK:
             break
+        k = low + (high - low) * at_low / (at_low - at_high)
+        w, negative = solve(k, w)
         if negative > 0:
             low, at_low, at_high = k, negative, at_high / 2
         else:
