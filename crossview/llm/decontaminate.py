@@ -6,20 +6,29 @@ window is ``n`` consecutive words of a benchmark item; an item with fewer words
 shuffle: all their windows are hashed, hits in the hash set are verified word by
 word, and a document's words inside any verified hit count as hit.
 
-The hash set is broadcast only up to ``max_windows`` windows. A larger
-benchmark is cut into slices of that size by hash; the documents are then
-scanned once for each slice and the hits are merged by row.
+The hash set is broadcast only if the benchmark has at most ``max_windows``
+windows and ``max_bytes`` of words, which is counted first: 24 bytes a window in
+a worker, and each item's words once. A larger benchmark stays a table of
+windows. The documents are then written once with a row number; their windows
+that pass a bit table of the benchmark's hashes (8 MB at every size) are joined
+to it by two 64-bit hashes, the second of the words themselves and salted by row
+against windows that very many documents share; only rows with hits are put
+together again by number. Both ways give the same rows.
 
 Defined results: a null or word-free text has no words and no hits; null or
 word-free items have no window; windows of items without an id hit, but count as
-no item; repeated rows are judged one by one; items that
-share an id count as one item; an empty benchmark hits nothing; extra columns
-of the documents are kept as they are, other columns of the benchmark ignored.
+no item; repeated rows are judged one by one; items that share an id count as
+one item; an empty benchmark hits nothing; an empty table gives no rows; other
+columns of the documents are kept, those named like a new column (n_words,
+hit_spans, hit_items) as ``docs_<name>``; other columns of the benchmark are
+ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -28,141 +37,242 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textbytes as tb
-from .common import table, text_verdict
+from .common import stash, table, text_verdict
 
 WINDOW = 13
-#: Windows in one broadcast hash set: about 100 bytes each in a worker.
-MAX_WINDOWS = 400_000
+#: Windows, and bytes of words, in a broadcast hash set.
+MAX_WINDOWS, MAX_BYTES = 1_000_000, 64 << 20
 #: A document is contaminated if hit words are at least 1 / CONTAMINATED of its words.
 CONTAMINATED = 20
-
-_WINDOWS = "length int, hash long, words binary, item string"
-_HITS = T.StructType(
-    [
-        T.StructField("n_words", T.LongType()),
-        T.StructField("hit_spans", T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))),
-        T.StructField("hit_items", T.ArrayType(T.StringType())),
-    ]
-)
-
-
-def _benchmark_windows(n: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids, out = b.column(0).to_pylist(), {"length": [], "hash": [], "words": [], "item": []}
-            for t in tb.blocks(b.column(1)):
-                low, w = tb.LOWER[t.data], tb.words(t, tb.ALNUM)
-                h, doc, raw = tb.word_hashes(t, w), w.doc, low.tobytes()
-                spelled = [raw[s:e] for s, e in zip(w.start, w.end, strict=True)]
-                for size in {n, *(int(c) for c in w.counts if 0 < c < n)}:
-                    wh, at = tb.windows(h, w, size)
-                    for x, k in zip(wh.view(np.int64), at, strict=True):
-                        if size == n or w.counts[doc[k]] == size:
-                            out["length"].append(size)
-                            out["hash"].append(int(x))
-                            out["words"].append(b" ".join(spelled[k : k + size]))
-                            out["item"].append(ids[t.first + doc[k]])
-            yield pa.RecordBatch.from_arrays([pa.array(out["length"], pa.int32()), pa.array(out["hash"], pa.int64()), pa.array(out["words"], pa.binary()), pa.array(out["item"], pa.string())], ["length", "hash", "words", "item"])
-
-    return run
-
-
-class _Index:
-    """The windows of one slice: by length a hash set, and for each hash its spellings with their items."""
-
-    def __init__(self, rows: list):
-        self.by_length: dict[int, tuple[tb.HashSet, list[dict[bytes, list[str]]]]] = {}
-        for size in {r.length for r in rows}:
-            own = [r for r in rows if r.length == size]
-            known = tb.HashSet(np.array([r.hash for r in own], np.int64).view(np.uint64))
-            spelled: list[dict[bytes, list[str]]] = [{} for _ in known.values]
-            for r in own:
-                k = int(np.searchsorted(known.values, np.int64(r.hash).view(np.uint64)))
-                spelled[k].setdefault(bytes(r.words), []).append(r.item)
-            self.by_length[size] = (known, spelled)
+#: Beyond the bound: bits of a hash that index the bit table, and copies of each window for hot ones.
+TABLE_BITS, SALT = 26, 16
+
+_ADDED = ("n_words", "hit_spans", "hit_items")
+_SPANS = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("last", T.LongType())]))
+_HITS = [T.StructField("n_words", T.LongType()), T.StructField("hit_spans", _SPANS), T.StructField("hit_items", T.ArrayType(T.StringType()))]
+
+
+def _normal(t: tb.Texts, w: tb.Words) -> list[bytes]:
+    """Each text's lower-cased words, joined by blanks."""
+    raw = tb.LOWER[t.data].tobytes()
+    spelled = [raw[s:e] for s, e in zip(w.start, w.end, strict=True)]
+    return [b" ".join(spelled[a:b]) for a, b in zip(w.woff[:-1], w.woff[1:], strict=True)]
+
+
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Items (item, text) with words: item, words, n."""
+    for b in batches:
+        for t in tb.blocks(b.column(1)):
+            w = tb.words(t, tb.ALNUM)
+            some = np.flatnonzero(w.counts)
+            words = _normal(t, w)
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(t.first, t.n).take(pa.array(some)), pa.array([words[i] for i in some], pa.binary()), pa.array(w.counts[some], pa.int64())], ["item", "words", "n"])
+
+
+def _item_windows(words: list[bytes], n: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """By length of window: the window's hash, its item's index, and where its words begin and end in all items' bytes put together."""
+    raw = b"".join(words)
+    offs = np.r_[0, np.cumsum([len(x) for x in words])].astype(np.int64)
+    t = tb.Texts(np.frombuffer(raw, np.uint8), offs, 0)
+    w = tb.words(t, tb.ALNUM)
+    h, doc = tb.word_hashes(t, w), w.doc
+    for size in sorted({n, *(int(c) for c in np.unique(w.counts) if 0 < c < n)}):
+        wh, at = tb.windows(h, w, size)
+        if size < n:
+            short = w.counts[doc[at]] == size
+            wh, at = wh[short], at[short]
+        if len(at):
+            yield size, wh, doc[at], w.start[at], w.end[at + size - 1]
+
+
+@dataclass
+class Index:
+    """The windows of all items: by length a hash set, and for each hash the places in ``raw`` where its windows stand."""
+
+    ids: list[str | None]
+    raw: bytes
+    by_length: dict[int, tuple[tb.HashSet, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+
+    @classmethod
+    def of(cls, rows: list[tuple[str | None, bytes]], n: int) -> Index:
+        by_length = {}
+        for size, h, item, start, end in _item_windows([w for _, w in rows], n):
+            order = np.argsort(h, kind="stable")
+            known = tb.HashSet(h)
+            first = np.searchsorted(h[order], known.values).astype(np.int32)
+            by_length[size] = (known, np.r_[first, np.int32(len(h))], item[order].astype(np.int32), start[order].astype(np.int32), end[order].astype(np.int32))
+        return cls([i for i, _ in rows], b"".join(w for _, w in rows), by_length)
 
     def hits(self, t: tb.Texts) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[set[str]]]:
         """Words of each text, its hit words as merged spans (first and last word), and its items."""
         w = tb.words(t, tb.ALNUM)
         h, low, doc = tb.word_hashes(t, w), tb.LOWER[t.data].tobytes(), w.doc
         edge, items = np.zeros(len(h) + 1, np.int32), [set() for _ in range(t.n)]
-        for size, (known, spelled) in self.by_length.items():
+        for size, (known, first, item, start, end) in self.by_length.items():
             wh, at = tb.windows(h, w, size)
             where, which = known.find(wh)
             for i, k in zip(at[where], which, strict=True):
-                found = spelled[k].get(b" ".join([low[s:e] for s, e in zip(w.start[i : i + size], w.end[i : i + size], strict=True)]))
+                own = b" ".join([low[s:e] for s, e in zip(w.start[i : i + size], w.end[i : i + size], strict=True)])
+                found = [item[j] for j in range(first[k], first[k + 1]) if self.raw[start[j] : end[j]] == own]
                 if found:
                     edge[i] += 1
                     edge[i + size] -= 1
-                    items[doc[i]].update(x for x in found if x is not None)
-        covered = np.flatnonzero(np.cumsum(edge[:-1]) > 0)
-        spans: list[list[tuple[int, int]]] = [[] for _ in range(t.n)]
-        if len(covered):
-            new = np.flatnonzero(np.r_[True, (np.diff(covered) > 1) | (doc[covered[1:]] != doc[covered[:-1]])])
-            for a, b in zip(covered[new], covered[np.r_[new[1:], len(covered)] - 1], strict=True):
-                spans[doc[a]].append((int(a - w.woff[doc[a]]), int(b - w.woff[doc[a]])))
-        return w.counts, spans, items
+                    items[doc[i]].update(self.ids[j] for j in found if self.ids[j] is not None)
+        return w.counts, _merged(edge, w), items
+
+
+def _merged(edge: np.ndarray, w: tb.Words) -> list[list[tuple[int, int]]]:
+    """The spans (first and last word) of each text at which the running sum of ``edge`` is above zero."""
+    covered, doc = np.flatnonzero(np.cumsum(edge[:-1]) > 0), w.doc
+    spans: list[list[tuple[int, int]]] = [[] for _ in range(len(w.woff) - 1)]
+    if len(covered):
+        new = np.flatnonzero(np.r_[True, (np.diff(covered) > 1) | (doc[covered[1:]] != doc[covered[:-1]])])
+        for a, b in zip(covered[new], covered[np.r_[new[1:], len(covered)] - 1], strict=True):
+            spans[doc[a]].append((int(a - w.woff[doc[a]]), int(b - w.woff[doc[a]])))
+    return spans
 
 
-def _scan(index: _Index, text_at: int):
+def _added(n_words: list[np.ndarray], spans: list[list[tuple[int, int]]], items: list[list[str]]) -> list[pa.Array]:
+    ends = np.r_[0, np.cumsum([len(s) for s in spans])]
+    span = pa.StructArray.from_arrays([pa.array([s[k] for own in spans for s in own], pa.int64()) for k in (0, 1)], ["first", "last"])
+    return [pa.array(np.concatenate(n_words) if n_words else [], pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), span), pa.array(items, pa.list_(pa.string()))]
+
+
+def _scan(index: Index, text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n_words, first, last, ends, items = [], [], [], [0], []
+            n_words, spans, items = [], [], []
             for t in tb.blocks(b.column(text_at)):
-                counts, spans, found = index.hits(t)
+                counts, own, found = index.hits(t)
                 n_words.append(counts)
-                for s in spans:
-                    first += [x for x, _ in s]
-                    last += [x for _, x in s]
-                    ends.append(len(first))
+                spans += own
                 items += [sorted(x) for x in found]
-            span = pa.StructArray.from_arrays([pa.array(first, pa.int64()), pa.array(last, pa.int64())], ["first", "last"])
-            more = [pa.array(np.concatenate(n_words) if n_words else [], pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), span), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*b.columns, *more], [*b.schema.names, "n_words", "hit_spans", "hit_items"])
+            yield pa.RecordBatch.from_arrays([*b.columns, *_added(n_words, spans, items)], [*b.schema.names, *_ADDED])
+
+    return run
+
+
+def _benchmark(benchmark: DataFrame, n: int, max_windows: int, max_bytes: int) -> tuple[DataFrame, Index | None]:
+    """The items' words, and the hash set of their windows if these are within the bounds."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").mapInArrow(_items, "item string, words binary, n long")
+    size = items.agg(F.sum(F.greatest(F.lit(1), F.col("n") - (n - 1))).alias("windows"), F.sum(F.length("words")).alias("bytes")).first()
+    if (size.windows or 0) > max_windows or (size.bytes or 0) > max_bytes:
+        return items, None
+    return items, Index.of(sorted(((r.item, bytes(r.words)) for r in items.select("item", "words").collect()), key=lambda r: (r[0] is None, r)), n)
+
+
+# Beyond the bounds.
+_WINDOWS = "length int, hash long, check long, item string"
+
+
+def _check(words: bytes) -> int:
+    return int.from_bytes(blake2b(words, digest_size=8).digest(), "big", signed=True)
+
+
+def _window_rows(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, words = b.column(0).to_pylist(), b.column(1).to_pylist()
+            raw = b"".join(words)
+            for size, h, item, start, end in _item_windows(words, n):
+                columns = [pa.array(np.full(len(h), size), pa.int32()), pa.array(h.view(np.int64)), pa.array([_check(raw[s:e]) for s, e in zip(start, end, strict=True)], pa.int64()), pa.array([ids[i] for i in item], pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["length", "hash", "check", "item"])
 
     return run
 
 
-def _sliced(benchmark: DataFrame, n: int, max_windows: int) -> tuple[DataFrame, int]:
-    """The benchmark's distinct windows, and into how many slices they must be cut."""
-    own = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
-    windows = own.mapInArrow(_benchmark_windows(n), _WINDOWS).distinct()
-    return windows, max(1, -(-windows.count() // max_windows))
+def _bits(table: pa.Table) -> pa.Table:
+    """The bits of a part of the bit table."""
+    bits = np.zeros(1 << 16, np.uint8)
+    bits[np.asarray(table.column("low"))] = 1
+    return pa.Table.from_arrays([table.column("part").slice(0, 1), pa.array([np.packbits(bits).tobytes()], pa.binary())], ["part", "bits"])
 
 
-def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
+def _candidates(bits: bytes, sizes: list[int], row_at: int, text_at: int):
+    """Windows (row, at, length, hash, check) whose hash is in the bit table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lut = np.frombuffer(bits, np.uint8)
+        for b in batches:
+            rows = np.asarray(b.column(row_at))
+            for t in tb.blocks(b.column(text_at)):
+                w = tb.words(t, tb.ALNUM)
+                h, low, doc = tb.word_hashes(t, w), tb.LOWER[t.data].tobytes(), w.doc
+                for size in sizes:
+                    wh, at = tb.windows(h, w, size)
+                    cell = wh >> tb.U64(64 - TABLE_BITS)
+                    use = np.flatnonzero((lut[cell >> tb.U64(3)] >> (7 - (cell & tb.U64(7))).astype(np.uint8)) & 1)
+                    if len(use):
+                        where = at[use]
+                        check = [_check(b" ".join([low[s:e] for s, e in zip(w.start[i : i + size], w.end[i : i + size], strict=True)])) for i in where]
+                        columns = [pa.array(rows[t.first + doc[where]]), pa.array(where - w.woff[doc[where]]), pa.array(np.full(len(use), size), pa.int32()), pa.array(wh[use].view(np.int64)), pa.array(check, pa.int64())]
+                        yield pa.RecordBatch.from_arrays(columns, ["row", "at", "length", "hash", "check"])
+
+    return run
+
+
+def _joined(text_at: int):
+    """Rows with their hits (lists at, length, items; null if none) in place of these the columns of :data:`_HITS`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = b.num_columns - 2
+            places, found = b.column(keep).to_pylist(), b.column(keep + 1).to_pylist()
+            n_words, spans, items = [], [], [sorted(x or []) for x in found]
+            for t in tb.blocks(b.column(text_at)):
+                w = tb.words(t, tb.ALNUM)
+                edge = np.zeros(len(w.start) + 1, np.int32)
+                for k in range(t.n):
+                    for p in places[t.first + k] or ():
+                        edge[w.woff[k] + p["at"]] += 1
+                        edge[w.woff[k] + p["at"] + p["length"]] -= 1
+                n_words.append(w.counts)
+                spans += _merged(edge, w)
+            yield pa.RecordBatch.from_arrays([*b.columns[:keep], *_added(n_words, spans, items)], [*b.schema.names[:keep], *_ADDED])
+
+    return run
+
+
+def _by_join(docs: DataFrame, items: DataFrame, n: int) -> DataFrame:
+    """``docs`` with the columns of :data:`_HITS`, by a join of windows."""
+    windows = stash(items.select("item", "words").mapInArrow(_window_rows(n), _WINDOWS).distinct(), "windows")
+    docs = stash(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")  # stored: a row keeps its number
+    top = F.shiftrightunsigned("hash", 64 - TABLE_BITS)
+    cells = windows.select(F.shiftrightunsigned(top, 16).alias("part"), top.bitwiseAND(F.lit(0xFFFF)).alias("low")).distinct()
+    parts = {r.part: bytes(r.bits) for r in cells.groupBy("part").applyInArrow(_bits, "part long, bits binary").collect()}
+    bits = b"".join(parts.get(k, bytes(1 << 13)) for k in range(1 << (TABLE_BITS - 16)))
+    sizes = sorted(r.length for r in windows.select("length").distinct().collect())
+    names = docs.columns
+    asked = docs.select("_row", "text").mapInArrow(_candidates(bits, sizes, 0, 1), "row long, at long, length int, hash long, check long")
+    salted = windows.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    found = asked.withColumn("salt", F.pmod(F.col("row"), F.lit(SALT)).cast("int")).join(salted, ["hash", "check", "length", "salt"]).select("row", "at", "length", "item")
+    found = stash(found, "hits")
+    places = found.groupBy("row").agg(F.collect_set(F.struct("at", "length")).alias("_places"))
+    named = found.where("item is not null").select("row", "item").distinct().groupBy("row").agg(F.collect_list("item").alias("_items"))
+    hits = places.join(named, "row", "left").withColumnRenamed("row", "_row")
+    kept = [c for c in names if c != "_row"]
+    out = docs.join(hits, "_row", "left").select(*kept, "_places", "_items")
+    schema = T.StructType([*(docs.schema[c] for c in kept), *_HITS])
+    return out.mapInArrow(_joined(kept.index("text")), schema)
+
+
+def find_hits(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, max_windows: int = MAX_WINDOWS, max_bytes: int = MAX_BYTES) -> DataFrame:
     """``docs`` with n_words, hit_spans (first and last hit word, merged) and hit_items (sorted ids)."""
     if n < 1:
         raise ValueError("n must be positive")
-    windows, slices = _sliced(benchmark, n, max_windows)
-    clash = [c for c in ("n_words", "hit_spans", "hit_items", "_row") if c in docs.columns]
-    docs = docs.withColumnsRenamed({c: f"_docs_{c}" for c in clash})
-    if slices > 1:
-        docs = docs.withColumn("_row", F.monotonically_increasing_id())
-    schema, text_at = T.StructType([*docs.schema.fields, *_HITS.fields]), docs.columns.index("text")
-    parts = []
-    for k in range(slices):
-        rows = windows.where(F.pmod(F.col("hash"), F.lit(slices)) == k).collect() if slices > 1 else windows.collect()
-        parts.append(docs.mapInArrow(_scan(_Index(rows), text_at), schema))
-    out = parts[0]
-    if slices > 1:
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        keep = [F.first(c).alias(c) for c in docs.columns if c != "_row"]
-        places = F.flatten(F.collect_list(F.expr("flatten(transform(hit_spans, s -> sequence(s.first, s.last)))")))
-        out = out.groupBy("_row").agg(
-            *keep,
-            F.max("n_words").alias("n_words"),
-            F.array_sort(F.array_distinct(places)).alias("_at"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_items")))).alias("hit_items"),
-        )
-        out = out.withColumn("hit_spans", F.expr("transform(_at, p -> named_struct('first', p, 'last', p))")).select(*[c for c in docs.columns if c != "_row"], "n_words", "hit_spans", "hit_items")
-    return out.withColumnsRenamed({f"_docs_{c}": f"docs_{c}" for c in clash if c != "_row"})
+    items, index = _benchmark(benchmark, n, max_windows, max_bytes)
+    docs = docs.withColumnsRenamed({c: f"docs_{c}" for c in _ADDED if c in docs.columns})
+    if index is None:
+        return _by_join(docs, items, n)
+    return docs.mapInArrow(_scan(index, docs.columns.index("text")), T.StructType([*docs.schema.fields, *_HITS]))
+
+
+_N_HIT = "aggregate(hit_spans, 0L, (a, s) -> a + s.last - s.first + 1)"
 
 
 def digest(hits: DataFrame) -> DataFrame:
     """The query's columns from :func:`find_hits`."""
-    n_hit = F.expr("aggregate(hit_spans, 0L, (a, s) -> a + s.last - s.first + 1)")
+    n_hit = F.expr(_N_HIT)
     return hits.select(
         "doc_id",
         "n_words",
@@ -173,34 +283,35 @@ def digest(hits: DataFrame) -> DataFrame:
     )
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", n: int = WINDOW, max_windows: int = MAX_WINDOWS) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", n: int = WINDOW, max_windows: int = MAX_WINDOWS, max_bytes: int = MAX_BYTES) -> DataFrame:
     """Drop contaminated documents, or (``remove="spans"``) cut the hit words out of every text.
 
     Without hit words a text stays as it is. Spans are cut from the first byte
     of the first hit word to the first byte of the next word that is not hit.
     """
-    if remove == "documents":
-        windows, slices = _sliced(benchmark, n, max_windows)
-        if slices == 1:
-            index = _Index(windows.collect())
-
-            def clean(text: pa.Array) -> pa.Array:
-                out = [np.empty(0, bool)]
-                for t in tb.blocks(text):
-                    counts, spans, _ = index.hits(t)
-                    n_hit = np.array([sum(b - a + 1 for a, b in s) for s in spans])
-                    out.append((n_hit == 0) | (CONTAMINATED * n_hit < counts))
-                return pa.array(np.concatenate(out))
-
-            return docs.where(text_verdict(docs, clean))
-        hits = find_hits(docs, benchmark, n, max_windows)
-        n_hit = F.expr("aggregate(hit_spans, 0L, (a, s) -> a + s.last - s.first + 1)")
-        return hits.where(~((n_hit > 0) & (F.lit(CONTAMINATED) * n_hit >= F.col("n_words")))).select(*docs.columns)
-    if remove != "spans":
+    if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
-    hits = find_hits(docs, benchmark, n, max_windows)
-    schema = T.StructType(docs.schema.fields)
-    return hits.select(*docs.columns, "hit_spans").mapInArrow(_cut(docs.columns.index("text")), schema)
+    if n < 1:
+        raise ValueError("n must be positive")
+    items, index = _benchmark(benchmark, n, max_windows, max_bytes)
+    if remove == "documents" and index is not None:
+
+        def clean(text: pa.Array) -> pa.Array:
+            out = [np.empty(0, bool)]
+            for t in tb.blocks(text):
+                counts, spans, _ = index.hits(t)
+                n_hit = np.array([sum(b - a + 1 for a, b in s) for s in spans])
+                out.append((n_hit == 0) | (CONTAMINATED * n_hit < counts))
+            return pa.array(np.concatenate(out))
+
+        return docs.where(text_verdict(docs, clean))
+    own = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    schema = T.StructType([*own.schema.fields, *_HITS])
+    hits = _by_join(own, items, n) if index is None else own.mapInArrow(_scan(index, 1), schema)
+    if remove == "documents":
+        n_hit = F.expr(_N_HIT)
+        return hits.where(~((n_hit > 0) & (F.lit(CONTAMINATED) * n_hit >= F.col("n_words")))).select("row.*")
+    return hits.select("row.*", "hit_spans").mapInArrow(_cut(docs.columns.index("text")), T.StructType(docs.schema.fields))
 
 
 def _cut(text_at: int):
