@@ -3,6 +3,8 @@
 import base64
 import collections
 import hashlib
+import html.parser
+import itertools
 import random
 import re
 import zlib
@@ -218,6 +220,71 @@ def test_html(spark):
     assert [r.n_chars for r in rows] == [len(want), len(want), 0] and html_extract.extract(d.limit(0)).count() == 0
 
 
+def test_html_keeps_what_belongs_to_the_article():
+    kept = ['<h1 class="article-header">A long headline</h1>', '<p class="related-work">Related work, by others, is this one.</p>', '<div class="notice-of-research"><p>A notice, of research, here.</p></div>',
+            '<blockquote class="share">A quote, to share, with all.</blockquote>', "<ul><li><a href=1>First ref</a></li><li><a href=2>Second ref</a></li><li><a href=3>Third ref</a></li></ul>"]
+    body = "<p>" + "Some words, of a text, that is long enough. " * 6 + "</p>"
+    gone = ['<div class="ad">Buy this, now, for less, today only, as long as we have it.</div>', '<div id="comments"><p>Great, really great, thank you, very much.</p></div>', '<div class="share-buttons"><a href=x>Tweet</a></div>', '<p class="advert">An advert, in a paragraph.</p>', "<aside><p>Aside, of it all.</p></aside>", '<section class="related-articles"><p>Another one, to read, of ours.</p></section>', '<div class="cookie-notice">We use cookies, ok, yes.</div>', '<form><p>Your name, please</p></form>', '<div role="navigation"><p>Here, there, and back</p></div>', "<div hidden><p>not, to be, seen</p></div>"]
+    text = lambda x: " ".join(re.sub("<[^>]*>", " ", x).split())
+    for wrap in ("<article>{}</article>", "<main><div class=post>{}</div></main>", "<div class='post-body'>{}</div>"):
+        parts = [body, *(x for pair in itertools.zip_longest(kept[:4], gone, fillvalue="") for x in pair), body]
+        page = f"<html><body><header><p>Site, of ours</p></header>{wrap.format(''.join(parts))}<div class=sidebar><p>{'Side, text, and more. ' * 9}</p></div><footer>end</footer></body></html>"
+        want = [text(x) for x in parts if x and x not in gone]
+        assert html_extract.main_text(page).split("\n") == want, wrap
+    listed = f"<article>{body}{kept[4]}{body}</article>"
+    assert html_extract.main_text(listed).split("\n")[1:4] == ["First ref", "Second ref", "Third ref"]
+    assert html_extract.main_text(f"<body><ul><li><a href=1>Home</a><li><a href=2>News</a><li><a href=3>About</a></ul>{body}{body}</body>").split("\n") == [text(body)] * 2
+    # A box with a suspect name that holds the article itself.
+    assert html_extract.main_text(f"<body><div class='notice'>{body * 3}</div><p>x</p></body>").split("\n")[:3] == [text(body)] * 3
+
+
+def test_html_takes_time_in_proportion():
+    import time
+
+    for make in (lambda n: "<div>text, of it " * n, lambda n: "<b>" * n + "x" + "<li>y" * n, lambda n: "<a " * n, lambda n: "<p><i>" * n, lambda n: "<!" * n, lambda n: "<ul><li>a" * n + "</ul>" * n):
+        t = time.perf_counter()
+        out = html_extract.main_text(make(40_000))
+        assert time.perf_counter() - t < 3 and isinstance(out, str)
+    deep = html_extract.main_text("<div>" * 50 + "<p>one, two, three</p>" * 3 + "</div>" * 50)
+    assert deep == "one, two, three\n" * 2 + "one, two, three"
+
+
+class _Second(html.parser.HTMLParser):
+    """A second, plain reading of the test pages: the blocks of their article element."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.inside, self.blocks = False, [""]
+
+    def handle_starttag(self, tag, attrs):
+        self.inside = self.inside or tag == "article"
+        if tag in ("p", "h1", "h2", "article", "li", "ul"):
+            self.blocks.append("")
+        elif tag == "br" and self.inside:
+            self.blocks[-1] += " "
+
+    def handle_endtag(self, tag):
+        if tag in ("p", "h1", "h2", "article", "li", "ul"):
+            self.blocks.append("")
+        self.inside = self.inside and tag != "article"
+
+    def handle_data(self, data):
+        if self.inside:
+            self.blocks[-1] += data
+
+
+def test_html_against_a_second_reading(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    want = {}
+    for r in pages.collect():
+        second = _Second()
+        second.feed(r.html)
+        second.close()
+        want[r.page_id] = "\n".join(x for b in second.blocks if (x := " ".join(b.split())))
+    got = {r.page_id: (r.text, r.n_chars) for r in html_extract.extract(pages).collect()}
+    assert got == {k: (v, len(v)) for k, v in want.items()}
+
+
 def test_warc_round_trip(spark, tmp_path):
     rows = [(i, f"http://h{i % 3}.example.com/p?q={i}", f"<p>{i % 7}</p>" if i % 2 else f"unique é {i}") for i in range(60)]
     rows += [(100, None, None), (101, "", ""), (102, "http://x/a b\r\n", "<p>1</p>"), (5, "http://again", "<p>5</p>"), (5, rows[5][1], rows[5][2]), (None, "http://n", "lonely")]
