@@ -49,6 +49,8 @@ from .common import fresh_path, stash, table
 
 MIN_BYTES, BLOCK_LINES, ARCHIVE_BYTES = 0, 3000, 256 << 20
 DATE = "1970-01-01T00:00:00Z"
+#: What a task of a lookup searches and reads.
+TASK_KEYS, TASK_BYTES = 20_000, 16 << 20
 _SLICE, _READ, _GAP = 512, 4 << 20, 64 << 10
 _REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -326,10 +328,16 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def lookup(archive: Archive, wanted: DataFrame) -> DataFrame:
-    """The captures of every distinct (url, page_id) of ``wanted``, read through the index."""
-    keys = wanted.select(F.col("url"), F.col("page_id").cast("long")).mapInArrow(_keys, "key string").distinct()
-    places = keys.repartitionByRange("key").sortWithinPartitions("key").mapInArrow(_locate(archive.shards), "file string, start long, length long")
-    return places.repartitionByRange("file", "start").sortWithinPartitions("file", "start").mapInArrow(_fetch, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+    """The captures of every distinct (url, page_id) of ``wanted``, read through the index.
+
+    Numbers of tasks are given, as Spark would judge them by the small rows that name a capture and not by what is read.
+    """
+    keys = stash(wanted.select(F.col("url"), F.col("page_id").cast("long")).mapInArrow(_keys, "key string").distinct(), "keys")
+    tasks = -(-keys.count() // TASK_KEYS) or 1
+    places = keys.repartitionByRange(tasks, "key").sortWithinPartitions("key").mapInArrow(_locate(archive.shards), "file string, start long, length long")
+    places = stash(places, "places")
+    tasks = -(-(places.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES) or 1
+    return places.repartitionByRange(tasks, "file", "start").sortWithinPartitions("file", "start").mapInArrow(_fetch, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
