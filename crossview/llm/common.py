@@ -46,6 +46,12 @@ def stash(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a folder below the shared folder once nothing reads it any more."""
     jvm = spark.sparkContext._jvm

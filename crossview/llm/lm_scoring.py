@@ -15,7 +15,9 @@ of a scan's partition with at most ``CHUNK_BYTES`` of text:
    training and deleted-fold counts, to the part that owns its range of hashes.
    A word that is everywhere is one entry from each chunk, so no part is hot.
 2. A part adds up and answers each chunk with the totals, in the order asked;
-   the answers are written to the shared folder by chunk.
+   the answers are written to the shared folder by the scan's partition, in the
+   order of its chunks. The sums of all tokens and types stand apart, so the
+   driver lists one folder whatever the number of partitions.
 3. The scan is repeated. A chunk reads its answers, knows all counts of all its
    tokens, and gives first the held-out statistics (numbers of tokens in cells
    of rounded estimates, a bounded table), then, once the weights are known,
@@ -45,7 +47,7 @@ from pyspark.sql import functions as F
 
 from . import sharedfs
 from . import textbytes as tb
-from .common import fresh_path, table
+from .common import fresh_path, path_exists, table
 
 ORDER, CHUNK_BYTES, MAX_PARTS = 2, 8 << 20, 1 << 16
 #: Of crc32(doc_id) mod FOLDS, the fold that is scored only, and the training fold deleted to learn the weights.
@@ -81,7 +83,8 @@ def _keys_in(raw: bytes) -> np.ndarray:
 class Chunk:
     """Some whole texts as tokens: ``grams[k]`` are the hashes of the (k + 1)-grams that end at each token."""
 
-    name: str
+    name: tuple[int, int]
+    """The partition, and the chunk's number in it."""
     ids: list
     first: np.ndarray
     """The index of each text's first token, and the number of tokens at the end."""
@@ -104,7 +107,7 @@ def _tokens(t: tb.Texts) -> tuple[np.ndarray, np.ndarray]:
     return out, w.counts + 1
 
 
-def _chunk(name: str, ids: list, tokens: list[np.ndarray], counts: list[np.ndarray], order: int) -> Chunk:
+def _chunk(name: tuple[int, int], ids: list, tokens: list[np.ndarray], counts: list[np.ndarray], order: int) -> Chunk:
     grams = [np.concatenate(tokens)]
     first = np.r_[0, np.cumsum(np.concatenate(counts))]
     for _ in range(1, order):
@@ -124,7 +127,7 @@ def chunks(batches: Iterator[pa.RecordBatch], order: int, chunk_bytes: int) -> I
         own = b.column(0).to_pylist()
         for t in tb.blocks(b.column(1)):
             if size and size + len(t.data) > chunk_bytes:
-                yield _chunk(f"{where}-{n}", ids, tokens, counts, order)
+                yield _chunk((where, n), ids, tokens, counts, order)
                 ids, tokens, counts, size, n = [], [], [], 0, n + 1
             h, c = _tokens(t)
             ids += own[t.first : t.first + t.n]
@@ -132,7 +135,7 @@ def chunks(batches: Iterator[pa.RecordBatch], order: int, chunk_bytes: int) -> I
             counts.append(c)
             size += len(t.data) + 1
     if ids:
-        yield _chunk(f"{where}-{n}", ids, tokens, counts, order)
+        yield _chunk((where, n), ids, tokens, counts, order)
 
 
 def _part(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -168,43 +171,44 @@ def _ask(order: int, chunk_bytes: int, parts: int, folds: tuple[int, int, int]):
                     k = np.searchsorted(keys, _BEGIN)
                     train[k], dev[k] = (fold != held).sum(), (fold == deleted).sum()
                 cut = np.searchsorted(_part(keys, parts), np.arange(parts + 1, dtype=np.uint64))
-                rows = [(p, c.name, level, _keys_out(keys[a:b]), _planes(train[a:b]), _planes(dev[a:b])) for p, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if a < b]
-                kinds = [pa.int64(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["part", "chunk", "level", "keys", "train", "dev"])
+                rows = [(p, *c.name, level, _keys_out(keys[a:b]), _planes(train[a:b]), _planes(dev[a:b])) for p, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if a < b]
+                kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["part", "place", "chunk", "level", "keys", "train", "dev"])
 
     return run
 
 
-_ANSWER = "part long, chunk string, level int, n long, check long, train binary, dev binary, tokens long, types long, dev_tokens long"
+_SUMS = -1
+_ANSWER = "part long, place int, chunk int, level int, n long, check long, train binary, dev binary, tokens long, types long, dev_tokens long"
 
 
 def _answer(asked: pa.Table) -> pa.Table:
-    """Totals for one part: a row for each chunk and level, and one (chunk null) with the part's token and type counts."""
+    """Totals for one part: a row for each chunk and level, and one (place -1) with the part's token and type counts."""
     part, out = asked.column("part")[0].as_py(), []
     levels = np.asarray(asked.column("level"))
     for level in np.unique(levels):
         own = asked.filter(pa.array(levels == level))
-        names = own.column("chunk").to_pylist()
+        names = list(zip(own.column("place").to_pylist(), own.column("chunk").to_pylist(), strict=True))
         keys = [_keys_in(x.as_py()) for x in own.column("keys")]
         every, where = np.unique(np.concatenate(keys), return_inverse=True)
         train, dev = (np.bincount(where, np.concatenate([_unplanes(x.as_py(), np.uint32) for x in own.column(c)]), len(every)).astype(np.int64) for c in ("train", "dev"))
         if level == 0:
             word = every != _BEGIN
-            out.append((part, None, 0, 0, 0, b"", b"", int(train[word].sum()), int((train[word] > 0).sum()), int(dev[word].sum())))
+            out.append((part, _SUMS, 0, 0, 0, 0, b"", b"", int(train[word].sum()), int((train[word] > 0).sum()), int(dev[word].sum())))
         at = 0
         for name, k in zip(names, keys, strict=True):
             mine = where[at : at + len(k)]
             at += len(k)
-            out.append((part, name, int(level), len(k), int(np.bitwise_xor.reduce(k).view(np.int64)), _planes(train[mine]), _planes(dev[mine]), 0, 0, 0))
-    kinds = [pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-    names = ["part", "chunk", "level", "n", "check", "train", "dev", "tokens", "types", "dev_tokens"]
+            out.append((part, *name, int(level), len(k), int(np.bitwise_xor.reduce(k).view(np.int64)), _planes(train[mine]), _planes(dev[mine]), 0, 0, 0))
+    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+    names = ["part", "place", "chunk", "level", "n", "check", "train", "dev", "tokens", "types", "dev_tokens"]
     return pa.Table.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
 
 def _totals(c: Chunk, folder: str, kinds: tuple[str, ...], use: np.ndarray | slice = slice(None)) -> list[tuple[list[np.ndarray], list[np.ndarray]]]:
     """For each kind (train, dev) the counts of a chunk's tokens, and of their histories, level by level, at the tokens ``use``."""
-    store, path = sharedfs.resolve(f"{folder}/chunk={c.name}")
-    rows = pq.read_table(path, filesystem=store, partitioning=None, columns=["part", "level", "n", "check", *kinds]).to_pylist()
+    store, path = sharedfs.resolve(f"{folder}/place={c.name[0]}")
+    rows = pq.read_table(path, filesystem=store, partitioning=None, columns=["part", "level", "n", "check", *kinds], filters=[("chunk", "=", c.name[1])]).to_pylist()
     rows.sort(key=lambda r: (r["level"], r["part"]))
     out, last, begun = [([], []) for _ in kinds], {}, {}
     for level, grams in enumerate(c.grams):
@@ -329,12 +333,15 @@ def score(docs: DataFrame, order: int = ORDER, chunk_bytes: int = CHUNK_BYTES, f
     folder = folder or fresh_path(spark, "lm")
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     parts = max(1, min(MAX_PARTS, 4 * docs.rdd.getNumPartitions()))
-    asked = docs.mapInArrow(_ask(order, chunk_bytes, parts, folds), "part long, chunk string, level int, keys binary, train binary, dev binary")
-    answers = asked.groupBy("part").applyInArrow(_answer, _ANSWER).withColumn("chunk", F.coalesce("chunk", F.lit("sums")))
-    answers.repartition("chunk").write.mode("overwrite").option("compression", "zstd").partitionBy("chunk").parquet(folder)
-    schema = answers.schema
-    sums = spark.read.schema(schema).parquet(folder).where("chunk = 'sums'").agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in ("tokens", "types", "dev_tokens"))).first()
-    tokens, types, dev = int(sums[0]), int(sums[1]), int(sums[2])
+    asked = docs.mapInArrow(_ask(order, chunk_bytes, parts, folds), "part long, place int, chunk int, level int, keys binary, train binary, dev binary")
+    answers = asked.groupBy("part").applyInArrow(_answer, _ANSWER)
+    # Small row groups in the order of chunks: a chunk reads its own.
+    answers = answers.repartition("place").sortWithinPartitions("place", "chunk", "level", "part")
+    answers.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", 8 << 20).partitionBy("place").parquet(folder)
+    tokens = types = dev = 0
+    if path_exists(spark, f"{folder}/place={_SUMS}"):
+        sums = spark.read.schema(answers.schema).parquet(f"{folder}/place={_SUMS}").agg(*(F.sum(c) for c in ("tokens", "types", "dev_tokens"))).first()
+        tokens, types, dev = (int(x or 0) for x in sums)
     cells = docs.mapInArrow(_cells(order, chunk_bytes, folder, folds, tokens - dev), "cell long, n long, sums array<double>")
     added = cells.groupBy("cell").agg(F.sum("n").alias("n"), *(F.sum(F.col("sums")[k]).alias(f"s{k}") for k in range(order))).collect()
     weights = learn_weights(sorted((r.cell, r.n, [r[f"s{k}"] for k in range(order)]) for r in added), order, 1 / (types + 1))
