@@ -16,13 +16,15 @@ good ones; ties go to the laxest. A stratum with too few holdouts certifies
 nothing and rejects nothing.
 
 The labels count through histograms over the grid, taken from all labelled
-documents; nothing but those histograms (a row for each stratum, label and
-rule) reaches the driver.
+documents. Each stratum's histograms (612 numbers at most) are judged by a task;
+the table of cutoffs, which has only strata with hundreds of holdouts, is
+broadcast up to ``MAX_STRATA`` rows and joined by shuffle beyond.
 
 Defined results: a null text counts as empty; a document without words has
 zero in every rule value; a null stratum is a stratum of its own; an id
 labelled more than once takes its smallest label; repeated rows are judged one
-by one; without labels nothing is rejected but by the base rule.
+by one; without labels nothing is rejected but by the base rule; an empty table
+gives no rows; other columns of the documents are not looked at.
 """
 
 from __future__ import annotations
@@ -31,15 +33,18 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textbytes as tb
-from .common import stash, table
+from .common import fresh_path, stash, table
 
 ALPHA, DELTA, GOOD_WEIGHT = 0.06, 0.05, 10.0
+#: Rows of the table of cutoffs that are broadcast.
+MAX_STRATA = 100_000
 #: Rule values run from 0 to 1; a cutoff is GRID[k], the laxest rejects nothing.
 GRID = [round(1 - k / 50, 2) for k in range(51)]
 RULES = ("symbols", "capitals", "bare_words", "stutter", "shouting", "repeated_lines")
@@ -155,41 +160,60 @@ def certified(above: list[int], n: int, alpha: float, level: float) -> int:
     return len(above)
 
 
-def cutoffs(values: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, good_weight: float = GOOD_WEIGHT) -> list[dict]:
+def chosen_cutoffs(counts: dict[tuple[str, int], list[int]], strata: int, alpha: float, delta: float, good_weight: float) -> list[dict]:
+    """A stratum's cutoff for each rule; ``counts`` by rule and label: documents in each cell of the grid."""
+    out = []
+    for rule in RULES:
+        good, bad = (counts.get((rule, k), [0] * len(GRID)) for k in (1, 0))
+        # A value in cell c (just at or below c / 50) lies above GRID[i] = 1 - i / 50 if c > 50 - i.
+        over = lambda cells: [sum(cells[len(GRID) - i :]) for i in range(len(GRID))]
+        n, a, b = sum(good), over(good), over(bad)
+        ok = certified(a, n, alpha / len(RULES), delta / (len(RULES) * strata))
+        best = max(range(ok), key=lambda i: (b[i] - good_weight * a[i], -i), default=0)
+        out.append({"rule": rule, "cutoff": GRID[best] if ok else 1.0, "holdouts": n, "good_above": a[best] if ok else 0, "bad_above": b[best] if ok else 0, "certified": ok})
+    return out
+
+
+_CUTOFFS = "lang string, rule string, cutoff double, holdouts long, good_above long, bad_above long, certified int"
+
+
+def cutoffs(values: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA, good_weight: float = GOOD_WEIGHT) -> DataFrame:
     """A row for each stratum and rule: the cutoff used, the holdouts, and what lies above it."""
     own = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     cells = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.ceil(F.col(r) * (len(GRID) - 1)).cast("int").alias("cell")) for r in RULES])).alias("c")
-    rows = values.join(own, "doc_id").select("lang", "quality", cells).groupBy("lang", "quality", "c.rule", "c.cell").count().collect()
-    counts: dict[tuple, list[int]] = {}
-    for r in rows:
-        counts.setdefault((r.lang, r.rule, int(r.quality == 1)), [0] * len(GRID))[r.cell] += r["count"]
-    strata, out = sorted({k[0] for k in counts}, key=lambda x: (x is None, x)), []
-    for lang in strata:
-        for rule in RULES:
-            good, bad = (counts.get((lang, rule, k), [0] * len(GRID)) for k in (1, 0))
-            # A value in cell c (just at or below c / 50) lies above GRID[i] = 1 - i / 50 if c > 50 - i.
-            over = lambda cells: [sum(cells[len(GRID) - i :]) for i in range(len(GRID))]
-            n, a, b = sum(good), over(good), over(bad)
-            ok = certified(a, n, alpha / len(RULES), delta / (len(RULES) * len(strata)))
-            best = max(range(ok), key=lambda i: (b[i] - good_weight * a[i], -i), default=0)
-            out.append({"lang": lang, "rule": rule, "cutoff": GRID[best] if ok else 1.0, "holdouts": n, "good_above": a[best] if ok else 0, "bad_above": b[best] if ok else 0, "certified": ok})
-    return out
+    label = (F.col("quality") == 1).cast("int").alias("label")
+    rows = values.join(own, "doc_id").select("lang", label, cells).groupBy("lang", "label", "c.rule", "c.cell").agg(F.count("*").alias("n"))
+    path = fresh_path(values.sparkSession, "histograms")
+    rows = stash(rows, "histograms", path)
+    strata = rows.select("lang").distinct().count()
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        counts: dict[tuple[str, int], list[int]] = {}
+        for r in pdf.itertuples():
+            counts.setdefault((r.rule, r.label), [0] * len(GRID))[r.cell] += r.n
+        out = pd.DataFrame(chosen_cutoffs(counts, strata, alpha, delta, good_weight))
+        out.insert(0, "lang", pdf.lang.iloc[0])
+        return out
 
+    return rows.groupBy("lang").applyInPandas(run, _CUTOFFS)
 
-def judged(values: DataFrame, chosen: list[dict]) -> DataFrame:
+
+def judged(values: DataFrame, chosen: DataFrame) -> DataFrame:
     """``values`` with base_failed, rejected_by (the rules whose cutoff a document exceeds) and kept."""
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    hits = []
-    for rule in RULES:
-        limit = F.lit(1.0)
-        for row in chosen:
-            if row["rule"] == rule and row["cutoff"] < 1:
-                limit = F.when(F.col("lang").eqNullSafe(F.lit(row["lang"])), F.lit(row["cutoff"])).otherwise(limit)
-        hits.append(F.when(F.ceil(F.col(rule) * (len(GRID) - 1)) > F.round(limit * (len(GRID) - 1)), F.lit(rule)))
+    steps = len(GRID) - 1
+    limits = chosen.where("cutoff < 1").groupBy(F.col("lang").alias("_lang")).agg(*[F.max(F.when(F.col("rule") == r, F.round(F.col("cutoff") * steps))).alias(f"_{r}") for r in RULES])
+    path = fresh_path(values.sparkSession, "cutoffs")
+    limits = stash(limits, "cutoffs", path)
+    if limits.count() <= MAX_STRATA:
+        limits = F.broadcast(limits)
+    hits = [F.when(F.ceil(F.col(r) * steps) > F.col(f"_{r}"), F.lit(r)) for r in RULES]
     return (
-        values.withColumn("base_failed", failed)
+        values.join(limits, F.col("lang").eqNullSafe(F.col("_lang")), "left")
+        .withColumn("base_failed", failed)
         .withColumn("rejected_by", F.array_compact(F.array(*hits)))
         .withColumn("kept", ~F.col("base_failed") & (F.size("rejected_by") == 0))
+        .select(*values.columns, "base_failed", "rejected_by", "kept")
     )
 
 

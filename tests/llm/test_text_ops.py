@@ -5,6 +5,7 @@ import collections
 import hashlib
 import html.parser
 import itertools
+import math
 import random
 import re
 import zlib
@@ -174,6 +175,50 @@ def test_binomial_and_cutoffs(spark):
     assert all(r.kept for r in none)
 
 
+def test_quality_verdicts_by_brute_force(spark):
+    """Cutoffs by plain counting over the labelled rows of each stratum, nulls as a stratum, rows that occur twice."""
+    rng = random.Random(15)
+    texts, langs, y = [], [], []
+    for _ in range(2600):
+        bad = rng.random() < 0.2
+        words = rng.choices(["word", "Word,", "is", "A", "ok!", "#x" if bad else "x", "$$" if bad else "y", "same" if bad else "z"], k=rng.randint(22, 60))
+        texts.append(" ".join(words))
+        langs.append(rng.choice(["en", "en", "de", None]))
+        y.append(int(not bad) if rng.random() < 0.97 else int(bad))
+    texts[:5], langs[:5] = ["", None, "x " * 30, "short text", "a"], ["en", None, "xx", "xx", None]
+    docs = spark.createDataFrame([(i, t, k, -1.0) for i, (t, k) in enumerate(zip(texts, langs))], "doc_id long, text string, lang string, symbols double")
+    labels = spark.createDataFrame([(i, k) for i, k in enumerate(y) if i % 10], "doc_id long, quality int")
+    values = {r.doc_id: r for r in quality_rules.measured(docs).collect()}
+    held = [i for i in values if i % 10]
+    strata = {langs[i] for i in held}
+    limit = {}
+    for lang in strata:
+        for rule in quality_rules.RULES:
+            good = [getattr(values[i], rule) for i in held if langs[i] == lang and y[i] == 1]
+            bad = [getattr(values[i], rule) for i in held if langs[i] == lang and y[i] == 0]
+            best = None
+            for cut in quality_rules.GRID:
+                above = lambda v: sum(math.ceil(x * 50) > round(cut * 50) for x in v)  # noqa: E731, B023
+                a, n, p = above(good), len(good), quality_rules.ALPHA / 6
+                tail = sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(a + 1))
+                if not n or tail > quality_rules.DELTA / (6 * len(strata)):
+                    break
+                gain = above(bad) - quality_rules.GOOD_WEIGHT * a
+                if best is None or gain > best[0]:
+                    best = (gain, cut)
+            limit[lang, rule] = best[1] if best else 1.0
+    twice = docs.unionByName(docs.where("doc_id < 50"))
+    rows = quality_rules.filter_quality(twice, labels).collect()
+    assert len(rows) == len(texts) + 50 and any(v < 1 for v in limit.values())
+    for r in rows:
+        v = values[r.doc_id]
+        out = [x for x in quality_rules.RULES if math.ceil(getattr(v, x) * 50) > round(limit.get((langs[r.doc_id], x), 1.0) * 50)]
+        failed = v.n_words < 20 or 100 * v.n_repeat_words > 30 * v.n_words
+        assert (r.rejected_by, r.base_failed, r.kept) == (out, failed, not failed and not out)
+    assert sum(not r.kept and not r.base_failed for r in rows) > 100
+    assert quality_rules.filter_quality(docs.limit(0), labels).count() == 0
+
+
 def test_license_scan(spark):
     notice = license_scan.TEMPLATES[5][1]
     mit = license_scan.TEMPLATES[0][1].split()
