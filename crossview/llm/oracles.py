@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from . import license_scan
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -24,7 +26,9 @@ select rep.doc_id as doc_id, class_id, rep_id, n_copies, coalesce(n_links, 0) as
 
 def _license_scan() -> str:
     quote = lambda x: "'" + x.replace("'", "''") + "'"
-    templates = ", ".join(f"({i}, {quote(label)}, {quote(text)})" for i, (label, text) in enumerate(license_scan.TEMPLATES))
+    words = lambda text: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", text.lower())
+    need = lambda label, text: [i + 1 for i in license_scan._named(words(text), words(license_scan.NAMES.get(label, "")), license_scan.K)]
+    templates = ", ".join(f"({i}, {quote(label)}, {quote(text)}, {need(label, text)}::bigint[])" for i, (label, text) in enumerate(license_scan.TEMPLATES))
     phrases = ", ".join(f"({quote(p)}, {quote(label)}, {len(p.split())})" for p, label in license_scan.PHRASES.items())
     k, gap, cover, dense = license_scan.K, license_scan.MAX_GAP, license_scan.MIN_COVER, license_scan.MIN_DENSE
     return f"""
@@ -32,15 +36,15 @@ with d as (select row_number() over () as r, doc_id, {_WORDS} as w from document
 ), phrase(p, label, n) as (values {phrases}
 ), base as (select r, i, label from (select r, w, n, p, label, unnest(range(1, len(w) - n + 2)) as i from d, phrase where len(w) >= n) where array_to_string(list_slice(w, i, i + n - 1), ' ') = p
 ), based as (select r, count(*) as n_base, min(i) - 1 as first_word, max(i) - 1 as last_word, list(distinct label) as labels from base group by r
-), template(t, label, text) as (values {templates}
-), tw as (select t, label, {_WORDS} as w from template
-), tg as (select t, label, len(w) as n, i as t_at, array_to_string(list_slice(w, i, i + {k - 1}), ' ') as g from (select t, label, w, unnest(range(1, len(w) - {k - 2})) as i from tw)
+), template(t, label, text, need) as (values {templates}
+), tw as (select t, label, need, {_WORDS} as w from template
+), tg as (select t, label, need, len(w) as n, i as t_at, array_to_string(list_slice(w, i, i + {k - 1}), ' ') as g from (select t, label, need, w, unnest(range(1, len(w) - {k - 2})) as i from tw)
 ), dg as (select r, i as pos, array_to_string(list_slice(w, i, i + {k - 1}), ' ') as g from (select r, w, unnest(range(1, len(w) - {k - 2})) as i from d)
-), hit as (select r, t, label, n, pos, t_at, pos - t_at as diagonal from dg join tg using (g)
+), hit as (select r, t, label, need, n, pos, t_at, pos - t_at as diagonal from dg join tg using (g)
 ), diag as (select r, t, diagonal, coalesce(diagonal - lag(diagonal) over (partition by r, t order by diagonal) > {gap}, true) as new from (select distinct r, t, diagonal from hit)
 ), span as (select r, t, diagonal, sum(cast(new as int)) over (partition by r, t order by diagonal rows unbounded preceding) as s from diag
-), whole as (select r, t, s, any_value(label) as label, any_value(n) as n, list_distinct(flatten(list(range(pos, pos + {k})))) as ws, list_distinct(flatten(list(range(t_at, t_at + {k})))) as ts from hit join span using (r, t, diagonal) group by r, t, s
-), good as (select r, label, len(ts) / cast(n as double) as cover from whole where len(ts) / cast(n as double) >= {cover} and len(ws) >= {dense} * (list_max(ws) - list_min(ws) + 1)
+), whole as (select r, t, s, any_value(label) as label, any_value(need) as need, list(distinct t_at) as t_ats, any_value(n) as n, list_distinct(flatten(list(range(pos, pos + {k})))) as ws, list_distinct(flatten(list(range(t_at, t_at + {k})))) as ts from hit join span using (r, t, diagonal) group by r, t, s
+), good as (select r, label, len(ts) / cast(n as double) as cover from whole where list_has_all(t_ats, need) and len(ts) / cast(n as double) >= {cover} and len(ws) >= {dense} * (list_max(ws) - list_min(ws) + 1)
 ), method as (select r, list(distinct label) as labels, max(cover) as best from good group by r)
 select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_base, 0) as n_base, first_word, last_word, array_to_string(list_sort(coalesce(based.labels, [])), ',') as base_labels,
   array_to_string(list_sort(list_distinct(list_concat(coalesce(based.labels, []), coalesce(method.labels, [])))), ',') as labels, case when n_base > 0 then 1.0::double else least(coalesce(best, 0), 1.0::double) end as score

@@ -234,6 +234,24 @@ def test_license_scan(spark):
     assert license_scan.scan(docs_of(spark, []).limit(0)).count() == 0
 
 
+def test_license_scan_of_awkward_rows(spark):
+    """Against its SQL on a fixture: families, repeated rows, ids that are null or shared, clashing columns."""
+    import duckdb
+
+    from crossview.llm import oracles
+
+    own = [t for _, t in license_scan.TEMPLATES]
+    texts = [own[0], own[8], own[8].replace("Lesser ", ""), own[11] + ". " + own[13], own[13], "x " + own[2][:150], "under the MIT license " * 3, None, "", own[5]]
+    rows = [(k // 2 if k != 9 else None, t) for k, t in enumerate(texts)] * 2 + [(3, own[0]), (3, own[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"labels": F.lit("clash"), "n_words": F.lit(-1), "key": F.lit(7)})
+    got = license_scan.scan(docs).select("doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("b"), F.array_join("labels", ",").alias("l"), F.round("score", 9).alias("s")).collect()
+    con = duckdb.connect()
+    documents = docs.select("doc_id", "text").toPandas()  # noqa: F841
+    documents["doc_id"] = documents["doc_id"].astype("Int64")
+    want = con.execute(f"select doc_id, n_words, n_base, first_word, last_word, base_labels, labels, round(score, 9) from ({oracles.LICENSE_SCAN})").fetchall()
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, want))
+
+
 def test_license_families(spark):
     own = license_scan.TEMPLATES
     work = "This work is licensed under"
