@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 PACKAGE = Path(__file__).resolve().parent
 
@@ -26,6 +26,23 @@ def ship_package(spark: SparkSession) -> None:
     sc._crossview_shipped = True
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder that the session names, so that its lineage ends there.
+
+    Only a local session without that setting gets a temporary folder.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if not context._jsc.sc().getCheckpointDir().isDefined():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local["):
+                raise ValueError("set spark.checkpoint.dir to a shared folder")
+            folder = tempfile.mkdtemp(prefix="checkpoint-")
+        context.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def shipped(query):
     """The query, with the package sent to the executors first."""
 

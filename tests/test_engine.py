@@ -1,7 +1,9 @@
+import collections
 import datetime as dt
+import itertools
+import random
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -183,24 +185,111 @@ def test_stitching():
     assert ids[0] in (5, 6) and ids[1] == 7 and ids[2] == 8 and nxt == 9
 
 
-def seq(rows):
-    return pd.DataFrame(rows, columns=["frame", "gt_id", "pr_id", "sim"]).assign(seq="s")
-
-
-def test_metrics_by_hand():
-    perfect = E.sequence_metrics(seq([(f, 1, 9, 1.0) for f in range(1, 6)]))
-    assert perfect["HOTA"] == pytest.approx(1) and perfect["MOTA"] == 1 and perfect["IDF1"] == 1 and perfect["IDSW"] == 0
-    switch = E.sequence_metrics(seq([(f, 1, 9 if f < 3 else 8, 1.0) for f in range(1, 5)]))
-    assert switch["IDSW"] == 1 and switch["MOTA"] == 0.75 and switch["IDF1"] == 0.5
-    assert switch["AssA"] == pytest.approx(0.5)
-    nothing = E.sequence_metrics(seq([(f, 1, None, None) for f in range(1, 5)]))
-    assert nothing["CLR_FN"] == 4 and nothing["HOTA"] == 0 and nothing["IDF1"] == 0
-    only = E.sequence_metrics(seq([(f, None, 3, None) for f in range(1, 5)]))
-    assert only["CLR_FP"] == 4 and only["GT_Dets"] == 0
-    gap = E.sequence_metrics(seq([(1, 1, 9, 1.0), (2, 1, 8, 0.1), (3, 1, 9, 1.0)]))
-    assert gap["Frag"] == 1 and gap["IDSW"] == 0
-    half = E.sequence_metrics(seq([(1, 1, 9, 0.5)]))
-    assert half["CLR_TP"] == 1 and half["IDTP"] == 1
+def measured(spark, sequences, lengths=None):
+    """Measures of sequences given as rows (frame, truth, predicted, similarity); rows without a partner have None."""
+    rows = [(s, *r) for s, own in sequences.items() for r in own]
+    pairs = spark.createDataFrame([(s, f, g, p, float(x)) for s, f, g, p, x in rows if g is not None and p is not None], "seq string, frame long, gt_id long, pr_id long, sim double")
+    side = lambda k: spark.createDataFrame(sorted({(r[0], r[1], r[k]) for r in rows if r[k] is not None}), "seq string, frame long, id long")
+    out = {}
+    for r in E.measures(pairs, side(2), side(3), lengths).collect():
+        out.setdefault(r.seq, {})[r.metric] = r.value
+    return out
+
+
+def test_metrics_by_hand(spark):
+    lengths = spark.createDataFrame([("perfect", 10)], "seq string, length long")
+    m = measured(
+        spark,
+        {
+            "perfect": [(f, 1, 9, 1.0) for f in range(1, 6)],
+            "switch": [(f, 1, 9 if f < 3 else 8, 1.0) for f in range(1, 5)],
+            "nothing": [(f, 1, None, None) for f in range(1, 5)],
+            "only": [(f, None, 3, None) for f in range(1, 5)],
+            "gap": [(1, 1, 9, 1.0), (2, 1, 8, 0.1), (3, 1, 9, 1.0)],
+            "half": [(1, 1, 9, 0.5)],
+            "alone": [(1, 1, 9, 1.0), (2, 1, None, None), (3, 1, 9, 1.0)],
+        },
+        lengths,
+    )
+    assert m["perfect"]["HOTA"] == pytest.approx(1) and m["perfect"]["MOTA"] == 1 and m["perfect"]["IDF1"] == 1 and m["perfect"]["IDSW"] == 0
+    assert m["perfect"]["Frames"] == m["perfect"]["CLR_Frames"] == 10 and m["perfect"]["MT"] == 1
+    assert m["switch"]["IDSW"] == 1 and m["switch"]["MOTA"] == 0.75 and m["switch"]["IDF1"] == 0.5 and m["switch"]["AssA"] == pytest.approx(0.5)
+    assert m["nothing"]["CLR_FN"] == 4 and m["nothing"]["HOTA"] == 0 and m["nothing"]["IDF1"] == 0 and m["nothing"]["MLR"] == 1 and m["nothing"]["ML"] == 1 and m["nothing"]["LocA"] == 1
+    assert m["only"]["CLR_FP"] == 4 and m["only"]["GT_Dets"] == 0 and m["only"]["MLR"] == 1 and m["only"]["MODA"] == 0 and m["only"]["CLR_Frames"] == 0 and m["only"]["Frames"] == 4
+    assert m["gap"]["Frag"] == 1 and m["gap"]["IDSW"] == 0 and m["gap"]["LocA___90"] == 1
+    assert m["half"]["CLR_TP"] == 1 and m["half"]["IDTP"] == 1
+    assert m["alone"]["Frag"] == 0  # a frame without any prediction is no turn
+    assert m["COMBINED"]["CLR_TP"] == 14 and m["COMBINED"]["GT_Dets"] == 20 and m["COMBINED"]["Frames"] == sum(m[s]["Frames"] for s in m if s != "COMBINED")
+
+
+def brute_measures(rows):
+    """All measures of one sequence by trying every matching of every frame."""
+    frames = sorted({r[0] for r in rows})
+    sim = {(f, g, p): x for f, g, p, x in rows if g is not None and p is not None}
+    gts = {f: sorted({r[1] for r in rows if r[0] == f and r[1] is not None}) for f in frames}
+    prs = {f: sorted({r[2] for r in rows if r[0] == f and r[2] is not None}) for f in frames}
+    in_gt = collections.Counter(g for f in frames for g in gts[f])
+    in_pr = collections.Counter(p for f in frames for p in prs[f])
+
+    def best(left, right, score):
+        """The matching of the largest sum of positive scores."""
+        top, out = 0.0, []
+        small, large, flip = (left, right, False) if len(left) <= len(right) else (right, left, True)
+        for chosen in itertools.permutations(large, len(small)):
+            own = [(b, a) if flip else (a, b) for a, b in zip(small, chosen)]
+            own = [x for x in own if score.get(x, 0) > 0]
+            if (total := sum(score[x] for x in own)) > top:
+                top, out = total, own
+        return out
+
+    potential = collections.Counter()
+    for (f, g, p), x in sim.items():
+        whole = sum(sim.get((f, g, q), 0) for q in prs[f]) + sum(sim.get((f, h, p), 0) for h in gts[f]) - x
+        potential[g, p] += x / whole if whole > 0 else 0
+    aligned = {k: v / (in_gt[k[0]] + in_pr[k[1]] - v) for k, v in potential.items()}
+    hits = [(f, g, p) for f in frames for g, p in best(gts[f], prs[f], {(g, p): aligned[g, p] * sim[f, g, p] for g in gts[f] for p in prs[f]})]
+    out, curve = {}, []
+    for alpha in E.ALPHAS:
+        own = [h for h in hits if sim[h] >= alpha - 1e-12]
+        n, pairs = len(own), collections.Counter((g, p) for _, g, p in own)
+        ass = sum(c * c / (in_gt[g] + in_pr[p] - c) for (g, p), c in pairs.items()) / max(1, n)
+        det = n / (sum(in_gt.values()) + sum(in_pr.values()) - n)
+        curve.append(((det * ass) ** 0.5, det, ass, sum(sim[h] for h in own) / n if n else 0.0))
+    out["HOTA"], out["DetA"], out["AssA"], out["LocA"] = (float(np.mean([c[k] for c in curve])) for k in range(4))
+    last, ever, runs, seen, switches, total = {}, {}, collections.Counter(), collections.Counter(), 0, 0.0
+    for f in frames:
+        if not gts[f] or not prs[f]:
+            continue
+        own = best(gts[f], prs[f], {(g, p): sim[f, g, p] + 1000 * (last.get(g) == p) for g in gts[f] for p in prs[f] if sim[f, g, p] >= 0.5})
+        for g, p in own:
+            switches += g in ever and ever[g] != p
+            runs[g] += g not in last
+            seen[g] += 1
+            total += sim[f, g, p]
+        last = dict(own)
+        ever |= last
+    share = [seen[g] / n for g, n in in_gt.items()]
+    out |= {"CLR_TP": sum(seen.values()), "IDSW": switches, "Frag": sum(r - 1 for r in runs.values()), "MOTP": total / max(1, sum(seen.values())), "MT": sum(x > 0.8 for x in share), "ML": sum(x < 0.2 for x in share)}
+    out["MOTA"] = (out["CLR_TP"] - (sum(in_pr.values()) - out["CLR_TP"]) - switches) / sum(in_gt.values())
+    over = collections.Counter((g, p) for (f, g, p), x in sim.items() if x >= 0.5)
+    tp = sum(over[k] for k in best(sorted(in_gt), sorted(in_pr), over))
+    return out | {"IDTP": tp, "IDF1": tp / (0.5 * sum(in_gt.values()) + 0.5 * sum(in_pr.values()))}
+
+
+def test_metrics_by_brute_force(spark):
+    rng, sequences = random.Random(13), {}
+    for s in range(6):
+        rows = []
+        for f in range(1, 30):
+            g, p = rng.sample(range(4), rng.randint(0, 4)), rng.sample(range(10, 14), rng.randint(0, 4))
+            near = {x: 10 + (x + (f > 15) * (s % 3)) % 4 for x in g}
+            rows += [(f, x, y, (0.3 + 0.7 * rng.random()) if near[x] == y else rng.random() * 0.7) for x in g for y in p]
+            rows += [(f, x, None, None) for x in g] + [(f, None, y, None) for y in p]
+        sequences[f"s{s}"] = rows
+    got = measured(spark, sequences)
+    for s, rows in sequences.items():
+        for k, v in brute_measures(rows).items():
+            assert got[s][k] == pytest.approx(v, abs=1e-9), (s, k)
 
 
 def test_duplicate_ids_are_an_error(spark):
