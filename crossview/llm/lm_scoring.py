@@ -40,7 +40,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -205,10 +207,26 @@ def _answer(asked: pa.Table) -> pa.Table:
     return pa.Table.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
 
+def _answers(folder: str, chunk: int, columns: list[str]) -> Iterator[dict]:
+    """A chunk's rows; of a partition's file only the row groups that hold the chunk are read, one at a time."""
+    store, path = sharedfs.resolve(folder)
+    for info in store.get_file_info(fs.FileSelector(path)):
+        if not info.path.endswith(".parquet"):
+            continue
+        with store.open_input_file(info.path) as f:
+            file = pq.ParquetFile(f, pre_buffer=False)
+            at = file.schema_arrow.names.index("chunk")
+            for g in range(file.num_row_groups):
+                held = file.metadata.row_group(g).column(at).statistics
+                if held is not None and held.has_min_max and not held.min <= chunk <= held.max:
+                    continue
+                rows = file.read_row_group(g, columns=["chunk", *columns], use_threads=False)
+                yield from rows.filter(pc.equal(rows.column("chunk"), chunk)).select(columns).to_pylist()
+
+
 def _totals(c: Chunk, folder: str, kinds: tuple[str, ...], use: np.ndarray | slice = slice(None)) -> list[tuple[list[np.ndarray], list[np.ndarray]]]:
     """For each kind (train, dev) the counts of a chunk's tokens, and of their histories, level by level, at the tokens ``use``."""
-    store, path = sharedfs.resolve(f"{folder}/place={c.name[0]}")
-    rows = pq.read_table(path, filesystem=store, partitioning=None, columns=["part", "level", "n", "check", *kinds], filters=[("chunk", "=", c.name[1])]).to_pylist()
+    rows = list(_answers(f"{folder}/place={c.name[0]}", c.name[1], ["part", "level", "n", "check", *kinds]))
     rows.sort(key=lambda r: (r["level"], r["part"]))
     out, last, begun = [([], []) for _ in kinds], {}, {}
     for level, grams in enumerate(c.grams):
