@@ -13,9 +13,10 @@ from .config import AppConfig, load_config
 from .operators import clustering as G
 from .operators import evaluation as E
 from .operators.calibration import calibrate
-from .plans.pipelines import rtls_replay, tracked
+from .plans.pipelines import flagged, tracked
 from .session import ship_package
 from .sources import detections as S
+from .streaming.live import live_points, replay_locations
 
 
 def main(args: list[str] | None = None) -> None:
@@ -35,11 +36,12 @@ def main(args: list[str] | None = None) -> None:
         rows = lambda path: S.read_mot_rows(spark, path, columns).select(F.lit("all").alias("seq"), F.col("FrameId").cast("long").alias("frame"), F.col("Id").cast("long").alias("id"), F.col("X").alias("x"), F.col("Y").alias("y"), F.col("Width").alias("w"), F.col("Height").alias("h"))
         out = E.summary(E.evaluate(rows(a.ground_truth), rows(a.input)))
     else:
-        _, behaviors = tracked(spark, spark.read.text(a.input), calibrate(spark, a.calibration), config)
+        lines, sensors = spark.read.text(a.input), calibrate(spark, a.calibration)
         if a.command == "mtmc-batch":
+            _, behaviors = tracked(spark, lines, sensors, config)
             out = G.mtmc_objects(G.global_objects(behaviors.withColumn("batch", F.lit(config.io.batchId)), config, "batch"), "batch")
         else:
-            out = rtls_replay(behaviors, config, config.streaming.mtmcPlusFrameBatchSizeMs / 1000)
+            out = replay_locations(live_points(flagged(lines, sensors, config)), config)
     out.write.mode("overwrite").json(a.output)
 
 

@@ -32,6 +32,10 @@ class Behavior:
     embedding: np.ndarray
     times: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     path: np.ndarray = field(default_factory=lambda: np.empty((0, 2)))
+    weights: np.ndarray | None = None
+    """Of each place in ``path``; None: all count alike."""
+    object_type: str = ""
+    end_frame: int = 0
 
     @property
     def order(self) -> tuple:

@@ -19,6 +19,7 @@ from ..operators import tracks as K
 from ..operators.calibration import sensor_states
 from ..schema import SENSOR_STATE
 from ..sources import detections as S
+from ..streaming import live as V
 from . import catalogue as Q
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,10 +92,16 @@ SCENE_CONFIG = AppConfig(
 )
 
 
+def flagged(lines: DataFrame, sensors: DataFrame, config: AppConfig) -> DataFrame:
+    """Detections of log lines with their places and flags; with ``timestampThreshMin`` only recent frames."""
+    rows = S.detections(S.frames_from_text(lines, config))
+    as_of = F.lit(config.as_of).cast("timestamp") if config.as_of else F.current_timestamp()
+    return K.with_flags(K.recent(rows, config.preprocessing.timestampThreshMin, as_of), sensors, config)
+
+
 def tracked(spark: SparkSession, lines: DataFrame, sensors: DataFrame, config: AppConfig) -> tuple[DataFrame, DataFrame]:
     """From log lines to track points and behaviors that pass the filters."""
-    flagged = K.with_flags(S.detections(S.frames_from_text(lines, config)), sensors, config)
-    points = K.track_points(flagged, config)
+    points = K.track_points(flagged(lines, sensors, config), config)
     as_of = F.lit(config.as_of).cast("timestamp") if config.as_of else F.current_timestamp()
     return points, K.filtered(K.behaviors(points), config, as_of)
 
@@ -130,32 +137,9 @@ def e02_mtmc_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def e03_rtls_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Locations of the scene by batches of two seconds, in one state for each place."""
+    """Locations of the scene, batch of frames by batch, in one state for each place."""
     lines, sensors, _ = _scene_frames(spark)
-    _, behaviors = tracked(spark, lines, sensors, SCENE_CONFIG)
-    return rtls_replay(behaviors, SCENE_CONFIG, 2.0)
-
-
-def rtls_replay(behaviors: DataFrame, config: AppConfig, batch_sec: float) -> DataFrame:
-    """Replay behaviors of each place in batches through the online tracker."""
-    from ..streaming import online as O
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows, state, out = G.behaviors_of(pdf), O.PlaceState(), []
-        start, end, width = min(b.start for b in rows), max(b.end for b in rows), int(batch_sec * 1e6)
-        for now in range(start + width, end + width, width):
-            live = []
-            for b in rows:
-                n = int(np.searchsorted(b.times, now, "right"))
-                if b.start <= now and n:
-                    live.append(G.Behavior(b.key, b.sensor, b.object_id, b.start, min(b.end, now), b.embedding, b.times[:n], b.path[:n]))
-            row = O.step(state, live, config) if live else None
-            if row:
-                out += [(pdf.place.iloc[0], row["timestamp_us"], g, x, y, len(row["keys"][g])) for g, (x, y) in row["locations"].items()]
-        return pd.DataFrame(out, columns=["place", "timestamp_us", "global_id", "x", "y", "members"])
-
-    columns = ["place", "key", "sensor_id", "object_id", "start", "end", "embedding", "locations", "location_times"]
-    return behaviors.select(*columns).groupBy("place").applyInPandas(run, "place string, timestamp_us long, global_id long, x double, y double, members long")
+    return V.replay_locations(V.live_points(flagged(lines, sensors, SCENE_CONFIG)), SCENE_CONFIG)
 
 
 def _scene_assignments(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:

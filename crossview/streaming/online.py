@@ -25,7 +25,7 @@ class Tracked:
     embedding: np.ndarray
     keys: set[str] = field(default_factory=set)
     locations: dict[int, tuple[float, float]] = field(default_factory=dict)
-    since: int = 0
+    object_type: str | None = None
 
 
 @dataclass
@@ -176,57 +176,90 @@ def update_means(state: PlaceState, rows: list[Behavior], ids: dict[str, int], r
             state.tracked[g] = Tracked(total / n)
 
 
-def located(rows: list[Behavior], ids: dict[str, int], window_us: int) -> tuple[int, dict[int, tuple[float, float]]]:
-    """The newest end, and each id's mean of its members' points in the window before it (the older end not included)."""
+@dataclass
+class Located:
+    """Where the ids of a batch are: the newest end and frame, and each id's place, type and members."""
+
+    newest: int
+    frame_id: int
+    places: dict[int, tuple[float, float]]
+    types: dict[int, str]
+    keys: dict[int, list[str]]
+
+
+def located(rows: list[Behavior], ids: dict[str, int], window_us: int) -> Located:
+    """Each id's weighted mean of its members' points in the window before the newest end (the older end not included)."""
     newest = max((b.end for b in rows), default=0)
-    points: dict[int, list] = defaultdict(list)
-    for b in rows:
-        if b.key in ids:
-            use = (b.times > newest - window_us) & (b.times <= newest)
-            points[ids[b.key]] += list(b.path[use])
-    return newest, {g: tuple(np.mean(p, axis=0)) for g, p in points.items() if p}
+    points: dict[int, list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)
+    types: dict[int, str] = {}
+    keys: dict[int, list[str]] = defaultdict(list)
+    for b in sorted(rows, key=lambda b: b.order):
+        if b.key not in ids:
+            continue
+        g = ids[b.key]
+        if types.setdefault(g, b.object_type) != b.object_type:
+            raise ValueError(f"id {g} has objects of two types: {types[g]} and {b.object_type}")
+        keys[g].append(b.key)
+        use = (b.times > newest - window_us) & (b.times <= newest)
+        weights = np.ones(len(b.path)) if b.weights is None else b.weights
+        points[g].append((b.path[use], weights[use]))
+    places = {}
+    for g, parts in points.items():
+        path, weights = np.concatenate([p for p, _ in parts]), np.concatenate([w for _, w in parts])
+        if len(path) and weights.sum() > 0:
+            places[g] = tuple(float(x) for x in weights @ path / weights.sum())
+    return Located(newest, max((b.end_frame for b in rows), default=0), places, {g: types[g] for g in places}, {g: keys[g] for g in places})
 
 
 def step(state: PlaceState, live: list[Behavior], config: AppConfig) -> dict | None:
     """One batch of a place: (re-)initialise or match, move the state on, and give the row of locations.
 
-    None while a first clustering waits for enough behaviors.
+    None while a first clustering waits for enough behaviors. Ids without a place in this batch have none in its row.
     """
-    s, p = config.streaming, config.preprocessing
+    s, p, c = config.streaming, config.preprocessing, config.clustering
     if needs_init(state, live, config):
-        if not buffer_ready(live, config) or len(live) < (config.clustering.overwrittenNumClusters or 1):
+        if not buffer_ready(live, config) or len(live) < (c.overwrittenNumClusters or 1):
             return None
         initialise(state, live, config)
         ids = {k: g for g, t in state.tracked.items() for k in t.keys}
     else:
         ids = match(state, live, config)
-        update_means(state, live, ids, config.clustering.meanEmbeddingsUpdateRate, config.clustering.enableOnlineDynamicUpdate)
+        update_means(state, live, ids, c.meanEmbeddingsUpdateRate, c.enableOnlineDynamicUpdate)
         for t in state.tracked.values():
             t.keys = set()
         for key, g in ids.items():
             if g in state.tracked:
                 state.tracked[g].keys.add(key)
-    newest, places = located(live, ids, int(s.mtmcPlusLocationWindowSec * 1e6))
-    for g in list(state.tracked):
-        if g in places:
-            t = state.tracked[g]
-            t.since = t.since or newest
-            t.locations[newest] = places[g]
-            if g < 0 and newest - t.since >= config.clustering.dynamicUpdateLengthThreshSec * 1e6:
-                state.tracked[state.next_id] = state.tracked.pop(g)  # a shadow that has lasted becomes an id
-                state.next_id += 1
+    matched = {k for k, g in ids.items() if g >= 0}
+    at = located(live, ids, int(s.mtmcPlusLocationWindowSec * 1e6))
+    current: dict[int, int] = {}  # the ids of this batch, and what they are called from now on
+    for g in sorted(at.places):
+        if g not in state.tracked:
+            continue
+        t = state.tracked[g]
+        if t.object_type is None:
+            t.object_type = at.types[g]
+        if t.object_type != at.types[g]:
+            raise ValueError(f"id {g} changed its type: {t.object_type}, then {at.types[g]}")
+        t.locations[at.newest] = at.places[g]
+        current[g] = g
+        if c.enableOnlineDynamicUpdate and g < 0 and at.newest > min(t.locations) + c.dynamicUpdateLengthThreshSec * 1e6:
+            current[g] = state.next_id  # a shadow that has lasted becomes an id
+            state.tracked[state.next_id] = state.tracked.pop(g)
+            state.next_id += 1
+    rows, counts = {}, defaultdict(int)
+    smooth = int(s.mtmcPlusSmoothingWindowSec * 1e6)
+    for old, g in sorted(current.items(), key=lambda x: x[1]):
+        t = state.tracked[g]
+        if g >= 0:
+            recent = [v for k, v in t.locations.items() if k > max(t.locations) - smooth]
+            rows[g] = {"type": t.object_type, "at": tuple(float(x) for x in np.mean(recent, axis=0)), "keys": at.keys[old]}
+            counts[t.object_type] += 1
     keep = int(p.mtmcPlusRetentionInStateSec * 1e6)
     for g in list(state.tracked):
         t = state.tracked[g]
-        t.locations = {k: v for k, v in t.locations.items() if newest - k <= keep}
+        t.locations = {k: v for k, v in t.locations.items() if at.newest - k <= keep}
         if not t.locations and not t.keys:
             del state.tracked[g]
-    smooth = int(s.mtmcPlusSmoothingWindowSec * 1e6)
-    rows = {}
-    for g, t in sorted(state.tracked.items()):
-        recent = [v for k, v in t.locations.items() if newest - smooth < k <= newest]
-        if g >= 0 and recent:
-            rows[g] = tuple(float(x) for x in np.mean(recent, axis=0))
-    matched = {k for g, t in state.tracked.items() if g >= 0 for k in t.keys}
     state.assigned_ratio = len(matched & {b.key for b in live}) / max(1, len(live))
-    return {"timestamp_us": newest, "count": len(rows), "locations": rows, "keys": {g: sorted(state.tracked[g].keys) for g in rows}}
+    return {"timestamp_us": at.newest, "frame_id": at.frame_id, "counts": dict(sorted(counts.items())), "objects": rows}

@@ -317,14 +317,25 @@ def test_online_places_and_shadows():
     assert O.step(state, [at("a", "s1", "1", e[0], 0, 5, 0)], c) is None  # the buffer is not full
     live = [at("a", "s1", "1", e[0], 0, 12, 0), at("b", "s2", "1", e[0], 0, 12, 0), at("c", "s1", "2", e[1], 0, 12, 50)]
     row = O.step(state, live, c)
-    assert row["count"] == 2 and sorted(len(k) for k in row["keys"].values()) == [1, 2]
+    assert row["counts"] == {"": 2} and sorted(len(o["keys"]) for o in row["objects"].values()) == [1, 2]
     live = [at(b.key, b.sensor, b.object_id, b.embedding, 0, 13, b.path[0][0]) for b in live]
     more = [*live, at("d", "s1", "3", e[2], 11, 13, 200)]
-    assert O.step(state, more, c)["count"] == 2 and any(g < 0 for g in state.tracked)
-    for t in (15, 18, 21, 24):
+    assert O.step(state, more, c)["counts"] == {"": 2} and any(g < 0 for g in state.tracked)
+    start = min(next(t.locations for g, t in state.tracked.items() if g < 0))
+    wait = c.clustering.dynamicUpdateLengthThreshSec
+    for t, n in ((15, 2), (18, 2), (start / 1e6 + wait, 2), (start / 1e6 + wait + 0.5, 3)):  # strictly later than the first place and the wait
         live = [at(b.key, b.sensor, b.object_id, b.embedding, b.start / 1e6, t, b.path[0][0]) for b in more]
         row = O.step(state, live, c)
-    assert row["count"] == 3 and all(g > 0 for g in row["locations"])
+        assert row["counts"] == {"": n}, t
+    assert all(g > 0 for g in row["objects"])
+
+
+def test_weighted_places():
+    b = lambda k, s, xs, w, kind="Person": G.Behavior(k, s, "1", 0, 10, np.ones(1), np.arange(len(xs)), np.array([[x, 0.0] for x in xs], float), np.array(w, float), kind, 7)
+    at = O.located([b("a", "s1", [0, 0], [1, 1]), b("b", "s2", [3, 9], [2, 0]), b("c", "s3", [1], [1])], {"a": 4, "b": 4}, 100)
+    assert at.places == {4: (1.5, 0.0)} and at.frame_id == 7 and at.types == {4: "Person"} and at.keys == {4: ["a", "b"]}
+    with pytest.raises(ValueError, match="two types"):
+        O.located([b("a", "s1", [0], [1]), b("b", "s2", [0], [1], "Car")], {"a": 1, "b": 1}, 100)
 
 
 def test_state_tables(spark):

@@ -5,13 +5,14 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from crossview import __main__ as cli
-from crossview.config import AppConfig
+from crossview.config import AppConfig, load_config, updated
 from crossview.functions import register
 from crossview.operators import heights
 from crossview.operators.calibration import sensor_states
 from crossview.plans import pipelines as P
 from crossview.schema import SENSOR_STATE
 from crossview.sources import detections as S
+from crossview.streaming import live
 from crossview.streaming.mtmc import MtmcStream
 
 
@@ -35,6 +36,34 @@ def test_mtmc_stream_matches_batch(spark, tmp_path):
     assert sorted(r.global_id for r in m.objects().collect()) == [1, 2, 3]
 
 
+def test_live_locations_equal_the_replay(spark, tmp_path):
+    """The same log in one go, and as a stream of files; places follow the true ways of the scene's people."""
+    lines, sensors, _ = P.scene(seconds=24)
+    dim = spark.createDataFrame(sensor_states(sensors), SENSOR_STATE)
+    # No re-initialisation on the way, and a buffer that fills early, so that both begin with the same batch.
+    config = load_config({"preprocessing": {"mtmcPlusInitBufferLenSec": 4.0, "behaviorRetentionInStateSec": 600.0}, "clustering": {"clusteringAlgo": "AgglomerativeClustering", "agglomerativeClusteringDistThresh": 0.95, "numReassignmentIterations": 2}})
+    config = updated(config, {"streaming": {"mtmcPlusFrameBatchSizeMs": 400}}, frozenset())
+    by_time = sorted(lines, key=lambda x: json.loads(x)["@timestamp"])
+    (tmp_path / "in").mkdir()
+    step = len(by_time) // 4
+    for k in range(4):
+        (tmp_path / "in" / f"{k}.json").write_text("\n".join(by_time[k * step : (k + 1) * step]))
+        os.utime(tmp_path / "in" / f"{k}.json", (1_700_000_000 + 60 * k,) * 2)
+    whole = live.replay_locations(live.live_points(P.flagged(spark.createDataFrame([(x,) for x in lines], "value string"), dim, config)), config).collect()
+    stream = live.stream_locations(live.live_points(P.flagged(S.replay_stream(spark, f"file://{tmp_path}/in"), dim, config)), config)
+    stream.writeStream.outputMode("append").format("parquet").option("path", f"file://{tmp_path}/out").option("checkpointLocation", f"file://{tmp_path}/cp").trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.schema(live.ROW).parquet(f"file://{tmp_path}/out").collect()
+    plain = lambda rows: sorted((r.place, r.timestamp, r.frameId, [tuple(c) for c in r.objectCounts], [(o.id, o.type, [tuple(p) for p in o.locations], o.matchedBehaviorKeys) for o in r.locationsOfObjects]) for r in rows)
+    assert plain(whole)[: len(got)] == plain(got) and len(whole) - len(got) <= 1 and len(got) > 20
+    last = plain(whole)[-1]
+    assert last[3] == [("Person", 3)] and len(last[4]) == 3 and all(len(o[3]) == 2 for o in last[4])
+    f = int(last[2]) - 5  # the middle of the location and smoothing windows
+    want = [(3 + 3 * p + np.sin(f / 20 + p), 3 + 1.5 * p + np.cos(f / 25 + p)) for p in range(3)]
+    assert all(min(np.hypot(x - a, y - b) for a, b in want) < 0.3 for _, _, ((x, y),), _ in last[4])
+    quiet = updated(config, {"streaming": {"mtmcPlusFrameBufferResetSec": 0.1}}, frozenset())
+    assert live.replay_locations(live.live_points(P.flagged(spark.createDataFrame([(x,) for x in lines], "value string"), dim, quiet)), quiet).count() == 0  # every frame resets the buffer
+
+
 def test_command_line(spark, tmp_path):
     lines, sensors, _ = P.scene(seconds=6)
     (tmp_path / "log.json").write_text("\n".join(lines))
