@@ -446,10 +446,15 @@ _PAIR = f"""{DET}, fr as (select event_id, event_id // 8 as f, event_id % 2 as s
 ), sims as (select f, gt, pr, gx, gy, px, py, cast(inter as double) / cast(gw * gh + pw * ph - inter as double) as sim from iw)"""
 
 
-def frame_pairs(s, d) -> DataFrame:
-    fr = det(s, d).select("event_id", F.floor(F.col("event_id") / 8).alias("f"), (F.col("event_id") % 2).alias("side"), (F.col("lx") % 200).alias("x"), (F.col("ty") % 200).alias("y"), "w", "h")
-    g, p = (fr.where(F.col("side") == k).select("f", F.col("event_id").alias(n), *[F.col(c).alias(n[0] + c) for c in ("x", "y", "w", "h")]) for k, n in ((0, "gt"), (1, "pr")))
-    return g.join(p, "f").withColumn("sim", C.box_iou("gx", "gy", "gw", "gh", "px", "py", "pw", "ph"))
+def frame_pairs(s, d, kind: str = "box") -> DataFrame:
+    """Events of eight in a row as a frame: those with an even id the truth, the others the prediction."""
+    from ..operators.evaluation import similarities
+
+    fr = det(s, d).select("event_id", F.lit("all").alias("seq"), F.floor(F.col("event_id") / 8).alias("frame"), (F.col("event_id") % 2).alias("side"), (F.col("lx") % 200).alias("x"), (F.col("ty") % 200).alias("y"), "w", "h")
+    g, p = (fr.where(F.col("side") == k).withColumnRenamed("event_id", "id") for k in (0, 1))
+    if kind == "point":  # the measure is 0 from 2 units on; here from 100
+        g, p = (x.withColumns({c: F.col(c).cast("double") / 50 for c in ("x", "y")}) for x in (g, p))
+    return similarities(g, p, kind).where("sim is not null").select(F.col("frame").alias("f"), F.col("gt_id").alias("gt"), F.col("pr_id").alias("pr"), "sim")
 
 
 @query("select f, gt, pr, round(sim, 6) as iou from sims", _PAIR)
@@ -459,7 +464,7 @@ def q47_iou_matrix(s, d):
 
 @query("select gt, pr, round(greatest(0, 1 - sqrt(cast((gx - px) * (gx - px) + (gy - py) * (gy - py) as double)) / 100), 6) as sim from sims", _PAIR)
 def q48_euclid_similarity(s, d):
-    return frame_pairs(s, d).select("gt", "pr", F.round(C.euclid_similarity("gx", "gy", "px", "py", 100.0), 6).alias("sim"))
+    return frame_pairs(s, d, "point").select("gt", "pr", F.round("sim", 6).alias("sim"))
 
 
 @query("""select gid, pid, round(sum(m), 5) as potential from (select gt % 16 as gid, pr % 16 as pid, case when rs + cs - sim > 0 then sim / (rs + cs - sim) else 0 end as m
@@ -492,10 +497,12 @@ def q52_hold_back(s, d):
     return K.hold_back(det(s, d), ["sensor_id", "object_id"], 86_400_000).select("event_id")
 
 
-@query("select sensor_id, epoch_us(time_bucket(interval 6 hour, ts)) as bucket_us, count(*) as n, min(event_id) as first_id from det group by all")
+@query("select bucket, count(*) as n, min(event_id) as first_id from (select event_id, (epoch_us(ts) // 1000 - min(epoch_us(ts) // 1000) over ()) // 21600000 as bucket from det) group by bucket")
 def q53_tumbling_batches(s, d):
-    g = det(s, d).groupBy("sensor_id", F.window("ts", "6 hours").alias("b")).agg(F.count("*").alias("n"), F.min("event_id").alias("first_id"))
-    return g.select("sensor_id", us("b.start").alias("bucket_us"), "n", "first_id")
+    from ..sources.detections import replay_buckets
+
+    b = replay_buckets(det(s, d).withColumnRenamed("ts", "timestamp"), 6 * 3_600_000)
+    return b.groupBy("bucket").agg(F.count("*").alias("n"), F.min("event_id").alias("first_id"))
 
 
 @query("select object_id, event_id as version, event_type = 'error' as deleted from (select *, row_number() over (partition by object_id order by ts desc, event_id desc) as rn from det where event_type in ('view', 'error')) where rn = 1")

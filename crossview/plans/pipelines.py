@@ -21,6 +21,7 @@ from ..schema import SENSOR_STATE
 from ..sources import detections as S
 from ..streaming import live as V
 from . import catalogue as Q
+from . import engine as N
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -159,24 +160,6 @@ def e07_reprojection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reprojection_errors(spark, scene()[1])
 
 
-@register
-def e08_overlay_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Boxes of the scene with global ids."""
-    from ..operators.tables import overlay_points
-
-    points, segments, _ = _scene_assignments(spark)
-    return overlay_points(points, segments)
-
-
-@register
-def e09_topview_trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Smoothed map pixels of the scene's global ids."""
-    from ..operators.tables import topview_trajectories
-
-    points, segments, _ = _scene_assignments(spark)
-    return topview_trajectories(points, segments, 0.0, 0.0, 50.0, 1080, 5)
-
-
 @register
 def e10_rtls_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accuracy of the scene's positions as location rows, moved back by their windows."""

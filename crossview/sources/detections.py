@@ -151,6 +151,33 @@ def decode_message(raw: bytes) -> dict:
     return frame
 
 
+def encode_message(frame: dict) -> bytes:
+    """The wire message of a frame (as :func:`decode_message` gives it), for producers and tests."""
+    import struct
+
+    def varint(n: int) -> bytes:
+        out = bytearray()
+        while n > 127:
+            out.append(n & 127 | 128)
+            n >>= 7
+        return bytes([*out, n])
+
+    block = lambda k, raw: varint(k << 3 | 2) + varint(len(raw)) + raw
+    text = lambda k, x: block(k, str(x).encode())
+    single = lambda k, x: varint(k << 3 | 5) + struct.pack("<f", x)
+    whole = lambda k, n: varint(k << 3) + varint(n)
+    millis = frame["timestamp"]
+    out = text(1, frame["version"]) + text(2, frame["id"]) + block(3, whole(1, millis // 1000) + whole(2, millis % 1000 * 1_000_000)) + text(4, frame["sensorId"])
+    for o in frame["objects"]:
+        box = b"".join(single(i, o["bbox"][k]) for i, k in enumerate(("leftX", "topY", "rightX", "bottomY"), 1))
+        body = text(1, o["id"]) + block(2, box) + text(3, o["type"]) + single(4, o["confidence"])
+        body += b"".join(block(5, text(1, k) + text(2, v)) for k, v in o["info"].items())
+        if o["embedding"]:
+            body += block(6, block(1, struct.pack(f"<{len(o['embedding'])}f", *o["embedding"])))
+        out += block(5, body)
+    return out
+
+
 def frames_from_messages(messages: DataFrame, column: str = "value") -> DataFrame:
     """Frames from binary wire messages, decoded in Arrow batches."""
     schema = T.StructType([*FRAME.fields[:2], T.StructField("millis", T.LongType()), FRAME.fields[3], T.StructField("objects", T.ArrayType(OBJECT))])
@@ -176,23 +203,40 @@ def detections(frames: DataFrame) -> DataFrame:
     )
 
 
-def read_ground_truth(spark: SparkSession, path: str) -> DataFrame:
-    """Multi-camera ground truth, columns parted by blanks, tabs or commas."""
-    parts = F.split(F.trim("value"), r"[\s,]+")
-    return _log_lines(spark, path).select(*[F.get(parts, F.lit(i)).try_cast("double").alias(f.name) for i, f in enumerate(GROUND_TRUTH.fields)])
+def _split_numbers(lines: DataFrame, separators: str, columns: list[str]) -> DataFrame:
+    parts = F.split(F.trim("value"), separators)
+    return lines.select(*[F.get(parts, F.lit(i)).try_cast("double").alias(c) for i, c in enumerate(columns)])
 
 
-def read_mot_rows(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def ground_truth_rows(lines: DataFrame, config: AppConfig | None = None) -> DataFrame:
+    """Multi-camera ground truth, columns parted by blanks, tabs or commas; frames are moved by ``groundTruthFrameIdOffset``."""
+    rows = _split_numbers(lines, r"[\s,]+", [f.name for f in GROUND_TRUTH.fields])
+    return rows.withColumn("FrameId", F.col("FrameId") + (config.io.groundTruthFrameIdOffset if config else 0))
+
+
+def read_ground_truth(spark: SparkSession, path: str | None = None, config: AppConfig | None = None) -> DataFrame:
+    """The ground truth of a file, by default that of ``groundTruthPath``."""
+    return ground_truth_rows(_log_lines(spark, path or config.io.groundTruthPath), config)
+
+
+def mot_rows(lines: DataFrame, columns: list[str]) -> DataFrame:
     """Per-sequence rows with any of the usual separators; rows with a negative id are left out."""
-    parts = F.split(F.trim("value"), r"[\s,;]+")
-    rows = _log_lines(spark, path).select(*[F.get(parts, F.lit(i)).try_cast("double").alias(c) for i, c in enumerate(columns)])
+    rows = _split_numbers(lines, r"[\s,;]+", columns)
     return rows.where(F.col(columns[1]) >= 0) if len(columns) > 1 else rows
 
 
-def read_rtls_log(spark: SparkSession, path: str) -> DataFrame:
-    """Location rows of a log whose lines may be wrapped as b'...'."""
+def read_mot_rows(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    return mot_rows(_log_lines(spark, path), columns)
+
+
+def rtls_rows(lines: DataFrame) -> DataFrame:
+    """Location rows from lines that may be wrapped as b'...'."""
     line = F.regexp_replace("value", r"^b'(.*)'$", "$1")
-    return _log_lines(spark, path).select(line.alias("value")).select(F.get_json_object("value", "$.frameId").cast("long").alias("frame_id"), F.to_timestamp(F.get_json_object("value", "$.timestamp")).alias("ts"), "value")
+    return lines.select(line.alias("value")).select(F.get_json_object("value", "$.frameId").cast("long").alias("frame_id"), F.to_timestamp(F.get_json_object("value", "$.timestamp")).alias("ts"), "value")
+
+
+def read_rtls_log(spark: SparkSession, path: str) -> DataFrame:
+    return rtls_rows(_log_lines(spark, path))
 
 
 def robot_frames(lines: DataFrame, order: str) -> DataFrame:
@@ -227,6 +271,21 @@ def frames_with_ids(frames: DataFrame, ids: DataFrame) -> DataFrame:
     return keyed.join(hits, "_frame", "left_semi").drop("_frame")
 
 
+def kafka_options(config: AppConfig, topic: str, notifications: bool = False) -> dict[str, str]:
+    """What the streaming settings say to Spark's Kafka reader."""
+    s = config.streaming
+    wait = s.kafkaNotificationConsumerPollTimeoutMs if notifications else s.kafkaRawConsumerPollTimeoutMs
+    return {
+        "kafka.bootstrap.servers": s.kafkaBootstrapServers, "subscribe": topic, "startingOffsets": "latest", "failOnDataLoss": "false",
+        "maxOffsetsPerTrigger": str(s.kafkaConsumerMaxRecordsPerPoll), "kafkaConsumer.pollTimeoutMs": str(wait), "includeHeaders": str(notifications).lower(),
+    }
+
+
+def configured_stream(spark: SparkSession, config: AppConfig, topic: str, notifications: bool = False) -> DataFrame:
+    """A topic as the settings describe it; needs Spark's Kafka connector among the jars."""
+    return spark.readStream.format("kafka").options(**kafka_options(config, topic, notifications)).load()
+
+
 def kafka_stream(spark: SparkSession, servers: str, topic: str, max_records: int | None = None) -> DataFrame:
     """A raw topic from its latest offsets on; needs Spark's Kafka connector among the jars."""
     reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", "latest").option("failOnDataLoss", "false")
