@@ -140,11 +140,12 @@ def q71_rtls_messages(s, d):
 
 
 # Tracks. Camera 2 has no homography, camera 3 no frame size.
-def sensors(s: SparkSession) -> DataFrame:
+def sensors(s: SparkSession, whole: bool = False) -> DataFrame:
+    """The four cameras; ``whole``: none lacks anything."""
     roi = [[{"x": x, "y": y} for x, y in AREA]]
-    size = lambda k, n: None if k == 3 else n
+    size = lambda k, n: None if k == 3 and not whole else n
     view = lambda k: f"POLYGON (({k} 1, {k + 10} 1, {k + 10} 9))"
-    rows = [(f"cam{k}", f"p{k % 2}", size(k, WIDTH), size(k, HEIGHT), 30.0, 0.0, view(k), None if k == 2 else [float(x) for x in H], roi) for k in range(4)]
+    rows = [(f"cam{k}", f"p{k % 2}", size(k, WIDTH), size(k, HEIGHT), 30.0, 0.0, view(k), None if k == 2 and not whole else [float(x) for x in H], roi) for k in range(4)]
     return s.createDataFrame(rows, SENSOR_STATE)
 
 
@@ -163,8 +164,8 @@ def detections(s: SparkSession, d: str) -> DataFrame:
     return e.select("event_id", "sensor_id", text("object_id").alias("object_id"), F.lit("Person").alias("object_type"), "ts", "frame_id", *box, F.col("conf").alias("confidence"), info, "embedding")
 
 
-def flagged(s: SparkSession, d: str, config: AppConfig = TRACKING) -> DataFrame:
-    return K.with_flags(detections(s, d), sensors(s), config)
+def flagged(s: SparkSession, d: str, config: AppConfig = TRACKING, whole: bool = False) -> DataFrame:
+    return K.with_flags(detections(s, d), sensors(s, whole), config)
 
 
 def _inside(points: tuple, x: str, y: str) -> str:

@@ -12,12 +12,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import AGGLOMERATIVE, AppConfig, ClusteringConfig, PreprocessingConfig
+from ..config import AGGLOMERATIVE, AppConfig, ClusteringConfig, PreprocessingConfig, StreamingConfig
 from ..operators import clustering as G
 from ..operators import evaluation as E
+from ..operators import relations as R
 from ..operators import tracks as K
 from ..operators.calibration import sensor_states
 from ..schema import SENSOR_STATE
+from ..session import fresh_folder
 from ..sources import detections as S
 from ..streaming import live as V
 from . import catalogue as Q
@@ -118,15 +120,13 @@ def _scene_frames(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]
     return spark.createDataFrame([(x,) for x in lines], "value string"), spark.createDataFrame(sensor_states(sensors), SENSOR_STATE), spark.createDataFrame(pd.DataFrame(truth))
 
 
-@register
-def e01_mtmc_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scene_identities(spark: SparkSession) -> DataFrame:
     """Identities of the synthetic scene."""
     lines, sensors, _ = _scene_frames(spark)
     return mtmc_batch(spark, lines, sensors, SCENE_CONFIG)
 
 
-@register
-def e02_mtmc_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scene_accuracy(spark: SparkSession) -> DataFrame:
     """Accuracy of the scene's ground positions against the true persons."""
     lines, sensors, truth = _scene_frames(spark)
     points, behaviors = tracked(spark, lines, sensors, SCENE_CONFIG)
@@ -136,59 +136,46 @@ def e02_mtmc_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return E.evaluate(place("person", at.join(truth, ["sensor_id", "object_id"])), place("global_id", at.join(ids, ["sensor_id", "object_id"])), "point")
 
 
-@register
-def e03_rtls_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Locations of the scene, batch of frames by batch, in one state for each place."""
-    lines, sensors, _ = _scene_frames(spark)
-    return V.replay_locations(V.live_points(flagged(lines, sensors, SCENE_CONFIG)), SCENE_CONFIG)
+# The same over all events. A place is where five objects of neighbouring numbers move, as seen by all four cameras, so a
+# place stays as large as it is however many events there are.
+EVERY = AppConfig(
+    preprocessing=PreprocessingConfig(
+        locationBboxBottomGapThresh=-1.0, locationConfidenceThresh=0.0, locationBboxAreaThresh=0.0, locationBboxAspectRatioThresh=100.0, embeddingBboxBottomGapThresh=-1.0, embeddingConfidenceThresh=0.0, embeddingBboxAreaThresh=0.0,
+        embeddingBboxAspectRatioThresh=100.0, behaviorConfidenceThresh=0.0, behaviorBboxAreaThresh=0.0, behaviorBboxAspectRatioThresh=100.0, behaviorSplitThreshSec=Q.GAP, behaviorRetentionInStateSec=3.0 * Q.DAY,
+        mtmcPlusRetentionInStateSec=3.0 * Q.DAY, mtmcPlusInitBufferLenSec=1.0 * Q.DAY,
+    ),
+    clustering=SCENE_CONFIG.clustering,
+    streaming=StreamingConfig(mtmcPlusFrameBatchSizeMs=6 * 3_600_000, mtmcPlusFrameBufferResetSec=10.0 * Q.DAY, mtmcPlusTimestampDelayMs=0, mtmcPlusLocationWindowSec=1.0 * Q.DAY, mtmcPlusSmoothingWindowSec=1.0 * Q.DAY),
+)
 
 
-def _scene_assignments(spark: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Track points of the scene, the segments of its global objects, and the true persons."""
-    lines, sensors, truth = _scene_frames(spark)
-    points, behaviors = tracked(spark, lines, sensors, SCENE_CONFIG)
-    ids = G.global_objects(behaviors.withColumn("batch", F.lit("0")), SCENE_CONFIG, "batch").select("key", "global_id")
-    segments = behaviors.select("key", "sensor_id", "object_id", "segment").join(ids, "key").drop("key")
-    return points, segments, truth
+def placed_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    group = F.floor(F.col("object_id").cast("long") / 5).cast("string")
+    return N.flagged(spark, sf_dir, EVERY, whole=True).withColumn("place", F.concat(F.lit("g"), group))
 
 
 @register
-def e07_reprojection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Errors of the scene's calibration points."""
-    from ..operators.calibration import reprojection_errors
-
-    return reprojection_errors(spark, scene()[1])
+def e01_mtmc_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Identities of all tracklets of the events, a place at a time."""
+    behaviors = K.filtered(K.behaviors(K.track_points(placed_detections(spark, sf_dir), EVERY)), EVERY)
+    return G.global_objects(behaviors, EVERY, "place")
 
 
 @register
-def e10_rtls_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accuracy of the scene's positions as location rows, moved back by their windows."""
-    points, segments, truth = _scene_assignments(spark)
-    at = points.where("location is not null").select("sensor_id", "object_id", "segment", F.col("frame_id").alias("frame"), F.col("location.x").alias("x"), F.col("location.y").alias("y"))
-    seq = F.lit("RTLS").alias("seq")
-    rows = at.join(segments, ["sensor_id", "object_id", "segment"]).select(seq, F.col("frame") + 5, F.col("global_id").alias("id"), "x", "y", F.col("sensor_id").alias("row")).toDF("seq", "frame", "id", "x", "y", "row")
-    prediction = E.rtls_prediction(rows, 5.0, 1.0, 1.0)
-    real = at.join(truth, ["sensor_id", "object_id"]).groupBy(seq, "frame", F.col("person").cast("long").alias("id")).agg(F.first("x").alias("x"), F.first("y").alias("y"))
-    return E.evaluate(E.restricted_truth(real, prediction), prediction.select("seq", "frame", "id", "x", "y"), "point")
-
-
-def event_behaviors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The tracklets of all events with the unit sums of their events' vectors and their place; without locations."""
-    from ..functions import columns as C
-
-    vectors = Q.vectors(spark, sf_dir).where("vec_id < 500").select("vec_id", "embedding")
-    rows = Q.segmented(spark, sf_dir).withColumn("vec_id", F.col("event_id") % 500).join(vectors, "vec_id")
-    sums = K.vector_sum(rows, ["sensor_id", "object_id", "segment"], "embedding", "embedding")
-    return Q.placed(spark, sf_dir).join(sums, ["sensor_id", "object_id", "segment"]).select(
-        F.col("tid").alias("key"), "sensor_id", F.col("object_id").cast("string").alias("object_id"), F.col("s").alias("start"), F.col("e").alias("end"), C.normalized(F.col("embedding")).alias("embedding"),
-        F.lit(None).cast("array<array<double>>").alias("locations"), F.lit(None).cast("array<timestamp>").alias("location_times"), "place",
-    )
+def e02_mtmc_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy of these identities against the objects, over all events, a place as a sequence."""
+    points = K.track_points(placed_detections(spark, sf_dir), EVERY)
+    ids = G.global_objects(K.filtered(K.behaviors(points), EVERY), EVERY, "place").select("place", "sensor_id", "object_id", "start", "end", F.col("global_id").alias("id"))
+    box = [F.col("left_x").alias("x"), F.col("top_y").alias("y"), (F.col("right_x") - F.col("left_x")).alias("w"), (F.col("bottom_y") - F.col("top_y")).alias("h")]
+    rows = points.select("place", "sensor_id", "object_id", "ts", F.col("place").alias("seq"), F.col("frame_id").alias("frame"), *box)
+    found = rows.join(ids, ["place", "sensor_id", "object_id"]).where("ts between start and end").select("seq", "frame", "id", "x", "y", "w", "h")
+    return E.evaluate(rows.select("seq", "frame", F.col("object_id").cast("long").alias("id"), "x", "y", "w", "h"), found)
 
 
 @register
-def e11_mtmc_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Identities of all tracklets of the events, a place at a time."""
-    return G.global_objects(event_behaviors(spark, sf_dir), SCENE_CONFIG, "place")
+def e03_rtls_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Locations over all events, batch of frames by batch, with a tracker for each place."""
+    return V.replay_locations(V.live_points(placed_detections(spark, sf_dir)), EVERY)
 
 
 @register
@@ -200,11 +187,15 @@ def e04_appearance_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def e05_stream_tracklets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gap segments of the events as a stream, by state for each behavior; one batch over all that is there."""
+    """Gap segments of the events as a stream, by state for each behavior."""
     from ..functions import columns as C
     from ..streaming.state import stream_tracklets
 
-    return run_stream(spark, sf_dir, lambda p: stream_tracklets(p.select(C.behavior_id("sensor_id", "user_id").alias("id"), "ts"), Q.GAP), "update", ["id", "segment"])
+    out = run_stream(spark, sf_dir, lambda p: stream_tracklets(p.select(C.behavior_id("sensor_id", "user_id").alias("id"), "ts"), Q.GAP), ["id", "segment"])
+    return out.select("id", "segment", "start_us", "end_us", "n")
+
+
+ORACLES["e05_stream_tracklets"] = f"with {Q.SEG}\nselect sensor_id || ' #-# ' || object_id as id, segment, epoch_us(s) as start_us, epoch_us(e) as end_us, n from trk"
 
 
 @register
@@ -212,25 +203,30 @@ def e06_stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six-hour counts of the events as a stream."""
     from ..streaming.state import windowed_counts
 
-    out = run_stream(spark, sf_dir, lambda p: windowed_counts(p, late="30 days"), "update", None)
+    out = run_stream(spark, sf_dir, lambda p: windowed_counts(p, late="30 days"), ["sensor_id", "w"])
     return out.select("sensor_id", F.unix_micros("w.start").alias("bucket_us"), "n")
 
 
 ORACLES["e06_stream_windows"] = f"with {Q.DET}\nselect sensor_id, epoch_us(time_bucket(interval 6 hour, ts)) as bucket_us, count(*) as n from det group by all"
 
 
-def run_stream(spark: SparkSession, sf_dir: str, plan, mode: str, latest_of: list[str] | None) -> DataFrame:
-    """Run a plan over the events as a stream until all is read; the last row of each key of an update stream."""
-    import uuid
+def run_stream(spark: SparkSession, sf_dir: str, plan, keys: list[str], mode: str = "update") -> DataFrame:
+    """Run a plan over the events as a stream until all is read; of each key the row of the latest batch.
 
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    Every batch is written to the shared folder under its own number, so one that runs twice is there once.
+    """
     path = f"{sf_dir}/events.parquet"
+    schema = spark.read.parquet(path).schema
     stream = spark.readStream.schema(schema).parquet(path if _is_folder(spark, path) else sf_dir + "/events.parque[t]")
     points = stream.withColumn("ts", F.col("ts").cast("timestamp")).withColumn("sensor_id", F.concat(F.lit("cam"), (F.col("event_id") % 4).cast("string")))
-    name = f"stream_{uuid.uuid4().hex}"
-    q = plan(points).writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
-    q.awaitTermination()
-    return spark.table(name)
+    made, folder = plan(points), fresh_folder(spark, "stream")
+
+    def keep(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder}/rows/batch={number}")
+
+    made.writeStream.outputMode(mode).foreachBatch(keep).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.schema(made.schema.add("batch", "long")).parquet(f"{folder}/rows")
+    return R.latest(rows, keys, [F.col("batch").desc()]).drop("batch")
 
 
 def _is_folder(spark: SparkSession, path: str) -> bool:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -26,20 +27,26 @@ def ship_package(spark: SparkSession) -> None:
     sc._crossview_shipped = True
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` written to the checkpoint folder that the session names, so that its lineage ends there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as ``spark.checkpoint.dir`` names it; only a local session gets a temporary one."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="shared-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def fresh_folder(spark: SparkSession, tag: str) -> str:
+    return f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
 
-    Only a local session without that setting gets a temporary folder.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written to the checkpoint folder, so that its lineage ends there."""
+    context = df.sparkSession.sparkContext
     if not context._jsc.sc().getCheckpointDir().isDefined():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local["):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="checkpoint-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

@@ -145,11 +145,17 @@ def test_sets_and_components_are_of_the_whole_table(spark):
 
 
 def test_identities_are_of_all_tracklets(spark):
+    """Every tracklet has an identity; those of a place are what clustering its behaviors in memory gives."""
     d = "/root/testdata/sf0.001"
-    rows = P.e11_mtmc_events(spark, d).collect()
-    want = {r.tid: (f"p{int(r.sensor_id[3:]) % 2}", r.sensor_id, str(r.object_id), r.s, r.e) for r in Q.tracklets(spark, d).collect()}
-    assert len(rows) == len(want) and {r.key: (r.place, r.sensor_id, r.object_id, r.start, r.end) for r in rows} == want
-    assert 1 < len({(r.place, r.global_id) for r in rows}) < len(rows)
+    rows = P.e01_mtmc_batch(spark, d).collect()
+    want = {(r.sensor_id, str(r.object_id), r.s): f"g{r.object_id // 5}" for r in Q.tracklets(spark, d).collect()}
+    assert len(rows) == len(want) and {(r.sensor_id, r.object_id, r.start): r.place for r in rows} == want
+    behaviors = K.filtered(K.behaviors(K.track_points(P.placed_detections(spark, d), P.EVERY)), P.EVERY).where("place = 'g1'").toPandas()
+    own, labels = G.cluster(G.behaviors_of(behaviors), P.EVERY.clustering)
+    assert {(r.key, r.global_id) for r in rows if r.place == "g1"} == {(b.key, k) for b, k in zip(own, labels, strict=True) if k >= 0}
+    m = {(r.seq, r.metric): r.value for r in P.e02_mtmc_accuracy(spark, d).collect()}
+    assert m["COMBINED", "CLR_TP"] == m["COMBINED", "GT_Dets"] == m["COMBINED", "Dets"] == 1000 and 0 < m["COMBINED", "IDF1"] <= 1
+    assert P.e03_rtls_locations(spark, d).count() > 100
 
 
 def test_maximal_stabbing_with_ties(spark):
@@ -299,13 +305,13 @@ def test_duplicate_ids_are_an_error(spark):
 
 
 def test_scene_end_to_end(spark):
-    rows = P.e01_mtmc_batch(spark, "").collect()
+    rows = P.scene_identities(spark).collect()
     person = {r.object_id: int(r.object_id) % 10 for r in rows}
     by = {}
     for r in rows:
         by.setdefault(r.global_id, set()).add(person[r.object_id])
     assert len(rows) == 6 and len(by) == 3 and all(len(v) == 1 for v in by.values())
-    got = {r.metric: r.value for r in P.e02_mtmc_accuracy(spark, "").where("seq = 'COMBINED'").collect()}
+    got = {r.metric: r.value for r in P.scene_accuracy(spark).where("seq = 'COMBINED'").collect()}
     assert got["IDF1"] >= 0.95 and got["HOTA"] > 0.9
 
 
@@ -355,6 +361,26 @@ def test_state_tables(spark):
     assert [k for k, _ in ST.buffered_batches([0, 100, 200, 300, 9000], 180, 4000)] == ["flushed", "dropped", "held"]
 
 
+def test_stream_of_several_batches(spark, tmp_path):
+    """Of each segment the row of the last batch that touched it."""
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").orderBy("ts").repartitionByRange(3, "ts").write.option("maxRecordsPerFile", 1000).parquet(f"file://{tmp_path}/events.parquet")
+    from crossview.functions import columns as C
+
+    def plan(p):
+        return ST.stream_tracklets(p.select(C.behavior_id("sensor_id", "user_id").alias("id"), "ts"), Q.GAP)
+
+    import pyspark.sql.streaming.readwriter as rw
+
+    old = rw.DataStreamReader.parquet
+    rw.DataStreamReader.parquet = lambda self, path, **k: old(self.option("maxFilesPerTrigger", 1), path, **k)
+    try:
+        got = P.run_stream(spark, f"file://{tmp_path}", plan, ["id", "segment"]).collect()
+    finally:
+        rw.DataStreamReader.parquet = old
+    want = Q.tracklets(spark, "/root/testdata/sf0.001").select(F.unix_micros("s"), F.unix_micros("e"), "n").collect()
+    assert sorted((r.start_us, r.end_us, r.n) for r in got) == sorted(tuple(r) for r in want)
+
+
 def test_stream_equals_batch(spark):
     from crossview.plans import catalogue as Q
 
