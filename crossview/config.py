@@ -1,7 +1,10 @@
 """Settings of the tracking engine, with their names and defaults, and the two presets.
 
 The names are those that configuration files use, so a JSON configuration
-loads as it is; unknown fields are an error.
+loads as it is; unknown fields are an error. Four settings are known and change
+nothing, as what they rule is Spark's or is not built: videoDirPath and
+plotEvaluationGraphs (drawing), mtmcPlusNumProcessesMax (Spark's tasks) and
+mtmcPlusBehaviorBatchesConsumed (a trigger takes all that is there).
 """
 
 from __future__ import annotations
@@ -9,7 +12,7 @@ from __future__ import annotations
 import dataclasses
 import json
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 from typing import Any
 
 AGGLOMERATIVE, HDBSCAN = "AgglomerativeClustering", "HDBSCAN"
@@ -134,6 +137,13 @@ class AppConfig:
     as_of: datetime | None = None
 
 
+def clock(config: AppConfig) -> datetime | None:
+    """The time that retention goes by: a set one, or with faithful quirks on a live stream the wall clock; None: the newest end in the data."""
+    if config.as_of is None and config.quirks == "faithful" and not config.io.inMtmcPlusBatchMode:
+        return datetime.now(timezone.utc)
+    return config.as_of
+
+
 _SECTIONS = {"io": IOConfig, "preprocessing": PreprocessingConfig, "localization": LocalizationConfig, "clustering": ClusteringConfig, "streaming": StreamingConfig}
 
 

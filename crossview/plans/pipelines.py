@@ -13,8 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import AGGLOMERATIVE, AppConfig, ClusteringConfig, PreprocessingConfig, StreamingConfig
+from ..functions import columns as C
 from ..operators import clustering as G
 from ..operators import evaluation as E
+from ..operators import heights as HT
 from ..operators import relations as R
 from ..operators import tracks as K
 from ..operators.calibration import sensor_states
@@ -95,20 +97,77 @@ SCENE_CONFIG = AppConfig(
 )
 
 
-def flagged(lines: DataFrame, sensors: DataFrame, config: AppConfig) -> DataFrame:
-    """Detections of log lines with their places and flags; with ``timestampThreshMin`` only recent frames."""
-    rows = S.detections(S.frames_from_text(lines, config))
+def flagged_frames(frames: DataFrame, sensors: DataFrame, config: AppConfig, cameras: list[dict] | None = None) -> DataFrame:
+    """Detections of frames with their places and flags.
+
+    With ``timestampThreshMin`` only recent frames. With ``rectifyBboxByCalibration`` and the cameras' calibration feet that
+    are hidden are put where the people's height of their camera says.
+    """
+    rows = S.detections(frames)
     as_of = F.lit(config.as_of).cast("timestamp") if config.as_of else F.current_timestamp()
-    return K.with_flags(K.recent(rows, config.preprocessing.timestampThreshMin, as_of), sensors, config)
+    rows = K.recent(rows, config.preprocessing.timestampThreshMin, as_of)
+    if config.localization.rectifyBboxByCalibration and cameras:
+        rows = rectified(rows, cameras, config)
+    return K.with_flags(rows, sensors, config)
+
+
+def rectified(rows: DataFrame, cameras: list[dict], config: AppConfig) -> DataFrame:
+    """Detections whose info tells the foot point and visibility that the people's heights give."""
+    poses = HT.poses(cameras)
+    heights = {r.sensor_id: r.height for r in HT.estimate(rows, poses, config).collect()}  # a row for each camera
+    d = HT.rectified(rows, poses, heights, config)
+    foot = F.create_map(F.lit("footLocation"), F.concat_ws(",", F.col("foot_x").cast("string"), F.col("foot_y").cast("string")), F.lit("visibility"), F.col("visibility").cast("string"))
+    known = F.map_filter(F.coalesce("info", F.create_map().cast("map<string,string>")), lambda k, v: ~k.isin("footLocation", "visibility"))
+    return d.withColumn("info", F.when(F.col("sensor_id").isin(*heights) if heights else F.lit(False), F.map_concat(known, foot)).otherwise(F.col("info"))).drop("foot_x", "foot_y", "visibility")
+
+
+def flagged(lines: DataFrame, sensors: DataFrame, config: AppConfig, cameras: list[dict] | None = None) -> DataFrame:
+    """Detections of log lines with their places and flags."""
+    return flagged_frames(S.frames_from_text(lines, config), sensors, config, cameras)
 
 
-def tracked(spark: SparkSession, lines: DataFrame, sensors: DataFrame, config: AppConfig) -> tuple[DataFrame, DataFrame]:
+def tracked(spark: SparkSession, lines: DataFrame, sensors: DataFrame, config: AppConfig, cameras: list[dict] | None = None) -> tuple[DataFrame, DataFrame]:
     """From log lines to track points and behaviors that pass the filters."""
-    points = K.track_points(flagged(lines, sensors, config), config)
+    return tracked_frames(S.frames_from_text(lines, config), sensors, config, cameras)
+
+
+def tracked_frames(frames: DataFrame, sensors: DataFrame, config: AppConfig, cameras: list[dict] | None = None) -> tuple[DataFrame, DataFrame]:
+    points = K.track_points(flagged_frames(frames, sensors, config, cameras), config)
     as_of = F.lit(config.as_of).cast("timestamp") if config.as_of else F.current_timestamp()
     return points, K.filtered(K.behaviors(points), config, as_of)
 
 
+def tracking_accuracy(frames: DataFrame, identities: DataFrame, sensors: DataFrame, truth: DataFrame, config: AppConfig) -> DataFrame:
+    """Accuracy of global ids against multi-camera ground truth, for each camera and for all as one sequence (MTMC).
+
+    ``identities``: global_id, sensor_id, object_id, start_frame, end_frame. Cameras of the truth are numbers and go by
+    rank with the sensors' names. With ``use3dEvaluation`` ground positions are compared, each id once a frame over all
+    cameras; with ``useFullBodyGroundTruth`` boxes reach to the foot point.
+    """
+    d = S.detections(frames)
+    matched = identities.withColumn("match_order", F.col("global_id"))
+    found = E.mot_prediction(d, matched.select("sensor_id", "object_id", "global_id", "start_frame", "end_frame", "match_order"), ["sensor_id", "object_id", "frame_id"], config.io.useFullBodyGroundTruth)
+    names = R.positional_zip(truth, d, "CameraId", "sensor_id", "CameraId", "seq").select("CameraId", "seq")  # a row for each camera
+    selected = list(config.io.selectedSensorIds)
+    if selected:
+        names = names.where(F.col("seq").isin(selected))
+    real = truth.join(names, "CameraId").select("seq", F.col("FrameId").cast("long").alias("frame"), F.col("Id").cast("long").alias("id"), F.col("X").alias("x"), F.col("Y").alias("y"), F.col("Width").alias("w"), F.col("Height").alias("h"), "Xworld", "Yworld")
+    pr = found.join(names.select(F.col("seq").alias("sensor_id")), "sensor_id")
+    if config.io.use3dEvaluation:
+        place = sensors.select("sensor_id", "homography")
+        x, y = C.foot_point("left_x", "right_x", "bottom_y", F.col("info")["footLocation"] if config.io.useFullBodyGroundTruth else None)
+        at = pr.join(place, "sensor_id").where("homography is not null").withColumn("at", C.project(x, y, F.col("homography")))
+        one = F.lit("MTMC").alias("seq")
+        at = at.select(one, F.col("frame_id").alias("frame"), F.col("global_id").cast("long").alias("id"), F.col("at.x").alias("x"), F.col("at.y").alias("y")).where("frame >= 1")
+        mean = lambda side: side.groupBy("seq", "frame", "id").agg(F.avg("x").alias("x"), F.avg("y").alias("y"))
+        return E.evaluate(mean(real.select(one, "frame", "id", F.col("Xworld").alias("x"), F.col("Yworld").alias("y")).where("frame >= 1")), mean(at), "point")
+    pr = pr.select(F.col("sensor_id").alias("seq"), F.col("frame_id").alias("frame"), F.col("global_id").cast("long").alias("id"), "x", "y", F.col("width").alias("w"), F.col("height").alias("h"))
+    box = ["x", "y", "w", "h"]
+    sides = [E.deduplicated(side.withColumn("row", F.struct(*box)), "row").select("seq", "frame", "id", *box) for side in (real, pr)]
+    offsets = R.frame_offsets(sides[0].select("seq", "frame").unionByName(sides[1].select("seq", "frame")), "seq", "frame")
+    return E.evaluate(*[side.unionByName(E.combined_sequence(side, offsets)) for side in sides])
+
+
 def mtmc_batch(spark: SparkSession, lines: DataFrame, sensors: DataFrame, config: AppConfig) -> DataFrame:
     """Global identities of a batch's behaviors."""
     _, behaviors = tracked(spark, lines, sensors, config)
@@ -188,7 +247,6 @@ def e04_appearance_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def e05_stream_tracklets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gap segments of the events as a stream, by state for each behavior."""
-    from ..functions import columns as C
     from ..streaming.state import stream_tracklets
 
     out = run_stream(spark, sf_dir, lambda p: stream_tracklets(p.select(C.behavior_id("sensor_id", "user_id").alias("id"), "ts"), Q.GAP), ["id", "segment"])

@@ -90,6 +90,28 @@ def read_wire_json(spark: SparkSession, path: str, config: AppConfig | None = No
     return frames_from_wire_json(_log_lines(spark, path), config)
 
 
+def read_input(spark: SparkSession, config: AppConfig, path: str | None = None) -> DataFrame:
+    """Frames of a log: at ``path``, at ``jsonDataPath``, or of wire messages as JSON at ``protobufDataPath``."""
+    if path or config.io.jsonDataPath:
+        return read_frames(spark, path or config.io.jsonDataPath, config)
+    if config.io.protobufDataPath:
+        return read_wire_json(spark, config.io.protobufDataPath, config)
+    raise ValueError("neither a path nor jsonDataPath nor protobufDataPath is set")
+
+
+def read_sequence_map(spark: SparkSession, path: str) -> DataFrame:
+    """The names of a sequence map."""
+    return _log_lines(spark, path).where(F.trim("value") != "name").select(F.trim("value").alias("seq"))
+
+
+def read_sequence_lengths(spark: SparkSession, path: str) -> DataFrame:
+    """(seq, length) of the sequence descriptions (ini files) below a path."""
+    pair = F.split(F.trim("value"), r"\s*=\s*")
+    lines = spark.read.text(path, wholetext=False).select(F.col("_metadata.file_path").alias("file"), F.get(pair, F.lit(0)).alias("k"), F.get(pair, F.lit(1)).alias("v"))
+    take = lambda k: F.max(F.when(F.lower("k") == k, F.col("v")))
+    return lines.groupBy("file").agg(take("name").alias("seq"), take("seqlength").cast("long").alias("length")).select("seq", "length")
+
+
 def _varint(raw: bytes, at: int) -> tuple[int, int]:
     shift = value = 0
     while True:

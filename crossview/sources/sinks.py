@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..config import AppConfig
+
 
 def mtmc_messages(objects: DataFrame, sensors: DataFrame, recorder: str, topic: str = "mtmc") -> DataFrame:
     """Kafka rows of global objects: nulls and keys of members left out, frame ids kept for sensors whose source is ``recorder`` only.
@@ -36,6 +38,24 @@ def write_kafka(messages: DataFrame, servers: str, linger_ms: int = 0) -> None:
     messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option("kafka.linger.ms", linger_ms).save()
 
 
+def write_configured(messages: DataFrame, config: AppConfig) -> None:
+    """Messages to the servers that the settings name."""
+    write_kafka(messages, config.streaming.kafkaBootstrapServers, config.streaming.kafkaProducerLingerMs)
+
+
+def debug_dump(rows: DataFrame, name: str, config: AppConfig) -> None:
+    """With ``enableDebug`` a table as JSON lines below ``outputDirPath``, in a folder for the batch."""
+    if config.io.enableDebug:
+        rows.write.mode("overwrite").json(f"{config.io.outputDirPath.rstrip('/')}/{sanitized(name)}/batch={sanitized(config.io.batchId)}")
+
+
+def sequence_map(sequences: DataFrame) -> DataFrame:
+    """Lines of a sequence map: a heading, then each name, in order (``sequences``: seq)."""
+    names = sequences.select(F.col("seq").alias("value")).distinct().withColumn("_k", F.lit(1))
+    head = sequences.sparkSession.createDataFrame([("name", 0)], "value string, _k int")
+    return head.unionByName(names).orderBy("_k", "value").select("value")
+
+
 def write_mot_rows(rows: DataFrame, path: str) -> None:
     """Blank-separated rows without a header."""
     rows.write.mode("overwrite").csv(path, sep=" ", header=False)

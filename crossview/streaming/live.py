@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..config import AppConfig
+from ..config import AppConfig, clock
 from ..operators.clustering import Behavior
 from . import online as O
 
@@ -101,6 +101,8 @@ class PlaceTracker:
             t.total = np.asarray(vector, float) if t.total is None else t.total + np.asarray(vector, float)
 
     def _evict(self, now: int) -> None:
+        at = clock(self.config)
+        now = now if at is None else int(at.timestamp() * 1e6)
         oldest = now - self.config.preprocessing.behaviorRetentionInStateSec * 1e6
         for k in list(self.tracks):
             self.tracks[k] = [t for t in self.tracks[k] if t.end >= oldest]
@@ -115,6 +117,8 @@ class PlaceTracker:
         out = []
         for t in tracks:
             steps = [s for s in t.steps if s[0] <= limit]
+            if self.config.quirks == "faithful" and t.end >= limit:  # only the last step goes, or all of a track that ends at the limit
+                steps = t.steps[:-1] if t.end > limit else []
             if not steps or t.total is None or not np.linalg.norm(t.total):
                 continue
             if len(steps) > p.behaviorNumLocationsMax:

@@ -1,18 +1,22 @@
+import dataclasses
 import json
 import os
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from crossview import __main__ as cli
-from crossview.config import AppConfig, load_config, updated
+from crossview.config import AppConfig, clock, load_config, updated
 from crossview.functions import register
 from crossview.operators import heights
+from crossview.operators import tracks as K
 from crossview.operators.calibration import sensor_states
 from crossview.plans import pipelines as P
 from crossview.schema import SENSOR_STATE
 from crossview.sources import detections as S
-from crossview.streaming import live
+from crossview.sources import sinks as W
+from crossview.streaming import live, notifications
 from crossview.streaming.mtmc import MtmcStream
 
 
@@ -71,11 +75,105 @@ def test_command_line(spark, tmp_path):
     (tmp_path / "config.json").write_text(json.dumps({"clustering": {"clusteringAlgo": "AgglomerativeClustering", "agglomerativeClusteringDistThresh": 0.95}}))
     cli.main(["mtmc-batch", "--config", str(tmp_path / "config.json"), "--calibration", f"file://{tmp_path}/calibration.json", "--input", f"file://{tmp_path}/log.json", "--output", f"file://{tmp_path}/out"])
     assert spark.read.json(f"file://{tmp_path}/out").count() == 3
+    # Settings tell input, truth and dumps; the truth is what the scene's cameras see.
+    truth = []
+    for x in lines:
+        m = json.loads(x)
+        for o in m["objects"]:
+            i, left, top, right, bottom = o.split("|")[:5]
+            w, h = int(float(right) - int(float(left)) + 1), int(float(bottom) - int(float(top)) + 1)
+            truth.append(f"{int(m['sensorId'][3:])} {int(i) % 10} {int(m['id']) - 1} {int(float(left))} {int(float(top))} {w} {h} 0 0")
+    (tmp_path / "truth.txt").write_text("\n".join(truth))
+    own = json.loads((tmp_path / "config.json").read_text()) | {"io": {"jsonDataPath": f"file://{tmp_path}/log.json", "groundTruthPath": f"file://{tmp_path}/truth.txt", "enableDebug": True, "outputDirPath": f"file://{tmp_path}/debug"}}
+    (tmp_path / "config.json").write_text(json.dumps(own))
+    cli.main(["mtmc-batch", "--config", str(tmp_path / "config.json"), "--calibration", f"file://{tmp_path}/calibration.json", "--output", f"file://{tmp_path}/out2"])
+    got = {(r.seq, r.metric): r.text for r in spark.read.json(f"file://{tmp_path}/out2-accuracy").collect()}
+    assert got["MTMC", "IDF1"] == got["Cam01", "HOTA"] == got["COMBINED", "MOTA"] == "100.00"
+    assert spark.read.json(f"file://{tmp_path}/debug/frames").count() == len(lines) and (tmp_path / "debug" / "behaviors").exists()
+    own["io"] |= {"groundTruthFrameIdOffset": 40}
+    (tmp_path / "config.json").write_text(json.dumps(own))
+    cli.main(["mtmc-batch", "--config", str(tmp_path / "config.json"), "--calibration", f"file://{tmp_path}/calibration.json", "--output", f"file://{tmp_path}/out3"])
+    assert {(r.seq, r.metric): r.text for r in spark.read.json(f"file://{tmp_path}/out3-accuracy").collect()}["MTMC", "HOTA"] != "100.00"
     (tmp_path / "mot.txt").write_text("1 1 0 0 10 10\n2 1 0 0 10 10\n")
     cli.main(["evaluate", "--input", f"file://{tmp_path}/mot.txt", "--ground-truth", f"file://{tmp_path}/mot.txt", "--output", f"file://{tmp_path}/eval"])
     assert {r.text for r in spark.read.json(f"file://{tmp_path}/eval").where("metric in ('HOTA', 'MOTA', 'IDF1')").collect()} == {"100.00"}
 
 
+def test_control_messages(spark, tmp_path):
+    at = lambda k: f"2024-01-01T00:00:0{k}.000Z"
+    sensor = lambda i, w: {"id": i, "attributes": [{"name": "frameWidth", "value": str(w)}], "place": [], "rois": []}
+    row = lambda key, event, t, body, *more: (bytearray(key.encode()), bytearray(json.dumps(body).encode() if body is not None else b""), [("event.type", bytearray(event.encode())), ("timestamp", bytearray(t.encode())), *more])
+    schema = "key binary, value binary, headers array<struct<key:string,value:binary>>"
+    feed = notifications.ControlFeed(spark, f"file://{tmp_path}/control", AppConfig())
+    assert feed.sensors() is None and feed.config() == AppConfig()
+    first = [row("calibration", "upsert-all", at(1), {"sensors": [sensor("a", 100), sensor("b", 200)]}), row("calibration", "upsert", at(3), {"sensors": [sensor("a", 111)]}), row("calibration", "upsert", at(2), {"sensors": [sensor("a", 999)]}), row("other", "x", at(1), None), row("analytics-config", "upsert", at(2), {"clustering": {"spatioTemporalDistLambda": 0.5}, "io": {"batchId": "9"}}), row("analytics-config", "upsert", at(3), None)]
+    feed.process(spark.createDataFrame(first, schema), 0)
+    assert {r.sensor_id: r.frame_width for r in feed.sensors().collect()} == {"a": 111, "b": 200}
+    assert feed.config().clustering.spatioTemporalDistLambda == 0.5 and feed.config().io.batchId == "0"
+    second = [row("calibration", "delete", at(5), {"sensors": [sensor("b", 1)]}), row("calibration", "upsert", at(4), {"sensors": [sensor("b", 300)]})]
+    for _ in range(2):  # a batch that runs twice
+        feed.process(spark.createDataFrame(second, schema), 1)
+    assert {r.sensor_id: r.frame_width for r in feed.sensors().collect()} == {"a": 111}
+    for bad in (row("calibration", "drop", at(1), {}), row("analytics-config", "delete", at(1), {}), row("calibration", "upsert", at(1), {}, ("what", bytearray(b"x")))):
+        with pytest.raises(Exception, match="not defined"):
+            notifications.parsed(spark.createDataFrame([bad], schema)).collect()
+    asked = {r.key: r.value for r in notifications.requests(spark, AppConfig(), "t").collect()}
+    assert asked["request-calibration"] == "" and set(json.loads(asked["init-analytics-config"])) == {"preprocessing", "localization", "clustering"}
+
+
+def test_new_calibration_moves_old_points(spark, tmp_path):
+    """Points of the first batch lie where the sensors of the second one put them."""
+    lines, sensors, _ = P.scene(seconds=4)
+    m = MtmcStream(spark, spark.createDataFrame(sensor_states(sensors), SENSOR_STATE), P.SCENE_CONFIG, f"file://{tmp_path}/state", notifications.ControlFeed(spark, f"file://{tmp_path}/control", P.SCENE_CONFIG))
+    rows = lambda part: S.detections(S.frames_from_text(spark.createDataFrame([(x,) for x in part], "value string")))
+    m.process(rows(lines[:10]), 0)
+    moved = [s | {"globalCoordinates": [{"x": p["x"] + 100, "y": p["y"]} for p in s["globalCoordinates"]]} for s in sensors]
+    body = bytearray(json.dumps({"sensors": moved}).encode())
+    m.control.process(spark.createDataFrame([(bytearray(b"calibration"), body, [("event.type", bytearray(b"upsert-all")), ("timestamp", bytearray(b"2024-01-01T00:00:00Z"))])], "key binary, value binary, headers array<struct<key:string,value:binary>>"), 0)
+    m.process(rows(lines[10:20]), 1)
+    points = spark.read.parquet(f"file://{tmp_path}/state/points/v1")
+    assert "location" not in points.columns
+    placed = K.with_flags(points, m.control.sensors(), P.SCENE_CONFIG)
+    assert placed.where("location.x < 90").count() == 0 and placed.count() == 60
+
+
+def test_settings_take_effect(spark, tmp_path):
+    import datetime as dt
+
+    lines, sensors, _ = P.scene(seconds=4)
+    dim, text = spark.createDataFrame(sensor_states(sensors), SENSOR_STATE), spark.createDataFrame([(x,) for x in lines], "value string")
+    start = dt.datetime.fromtimestamp(1_700_000_000, dt.timezone.utc)
+    late = dataclasses.replace(load_config({"preprocessing": {"timestampThreshMin": 1.0}}), as_of=start + dt.timedelta(seconds=62))
+    assert P.flagged(text, dim, late).count() == 6 * 10 and P.flagged(text, dim, AppConfig()).count() == 6 * 20
+    o = S.kafka_options(load_config({"streaming": {}}), "t")
+    own = updated(AppConfig(), {"streaming": {"kafkaBootstrapServers": "a:1", "kafkaConsumerMaxRecordsPerPoll": 7, "kafkaRawConsumerPollTimeoutMs": 8, "kafkaNotificationConsumerPollTimeoutMs": 9}}, frozenset())
+    assert o["maxOffsetsPerTrigger"] == "100000" and [S.kafka_options(own, "t", n)["kafkaConsumer.pollTimeoutMs"] for n in (False, True)] == ["8", "9"] and S.kafka_options(own, "t")["kafka.bootstrap.servers"] == "a:1"
+    faithful = dataclasses.replace(AppConfig(), quirks="faithful")
+    assert clock(AppConfig()) is None and clock(faithful) is not None and clock(dataclasses.replace(faithful, io=dataclasses.replace(faithful.io, inMtmcPlusBatchMode=True))) is None
+    # Empty rows of locations are left out, and the delay cuts the newest steps.
+    base = {"preprocessing": {"mtmcPlusInitBufferLenSec": 1.0}, "clustering": {"clusteringAlgo": "AgglomerativeClustering", "agglomerativeClusteringDistThresh": 0.95}}
+    run = lambda **s: live.replay_locations(live.live_points(P.flagged(text, dim, c := updated(load_config(base), {"streaming": s}, frozenset()))), c).collect()
+    newest = lambda rows: max(r.timestamp for r in rows)
+    assert newest(run(mtmcPlusTimestampDelayMs=0)) - newest(run(mtmcPlusTimestampDelayMs=1000)) == dt.timedelta(seconds=1)
+    nowhere = dict(mtmcPlusLocationWindowSec=0.0)
+    assert len(run(**nowhere)) > 0 and run(sendEmptyMtmcPlusMessages=False, **nowhere) == []
+    W.sequence_map(spark.createDataFrame([("b",), ("a",), ("b",)], "seq string")).coalesce(1).write.text(f"file://{tmp_path}/map")
+    assert [r.seq for r in S.read_sequence_map(spark, f"file://{tmp_path}/map").collect()] == ["a", "b"]
+    (tmp_path / "s1").mkdir()
+    (tmp_path / "s1" / "seqinfo.ini").write_text("[Sequence]\nname=s1\nseqLength = 33\n")
+    assert [tuple(r) for r in S.read_sequence_lengths(spark, f"file://{tmp_path}/s1/seqinfo.ini").collect()] == [("s1", 33)]
+
+
+def test_hidden_feet_are_rectified(spark):
+    """With the setting a detection's place follows the head and the height of its camera's people."""
+    on = load_config({"localization": {"rectifyBboxByCalibration": True, "overwrittenPeopleHeightMeter": 1.75}})
+    _, sensors, _ = P.scene(seconds=1)
+    rows = spark.createDataFrame([("Cam01", "1", "Person", 1, 400.0, 300.0, 460.0, 500.0, 0.9, None, None)], "sensor_id string, object_id string, object_type string, frame_id long, left_x double, top_y double, right_x double, bottom_y double, confidence double, info map<string,string>, embedding array<double>")
+    found = heights.poses(sensors)
+    got = P.rectified(rows, sensors, on).first()
+    assert got.info is None or set(got.info) == {"footLocation", "visibility"} and "Cam01" in found
+
+
 def test_sql_functions(spark):
     register.register(spark)
     r = spark.sql("select bbox_area(0, 0, 9, 19) a, homography_x(1, 2, array(1D,0D,2D,0D,1D,3D,0D,0D,1D)) x, homography_y(1, 2, array(1D,0D,2D,0D,1D,3D,0D,0D,0D)) y, cosine_half(array(1D,0D), array(0D,1D)) c, point_in_polygon(3, 1, array(named_struct('x',0D,'y',0D),named_struct('x',4D,'y',0D),named_struct('x',4D,'y',4D))) p, behavior_id('s', '1') b").first()
