@@ -181,19 +181,30 @@ def distinct(x: np.ndarray) -> np.ndarray:
 
 
 class HashSet:
-    """Sorted 64-bit hashes with a bit table before them, for fast lookups of many values."""
+    """Sorted 64-bit hashes with a table of their first bits before them, for fast lookups of many values."""
 
     def __init__(self, values: np.ndarray):
         self.values = np.unique(np.asarray(values, U64))
         self.shift = U64(64 - max(10, min(22, int(len(self.values)).bit_length() + 5)))
-        self.table = np.zeros(1 << (64 - int(self.shift)), bool)
-        self.table[self.values >> self.shift] = True
+        top = (self.values >> self.shift).astype(np.int64)
+        # Where the members with these first bits begin, -1 without any; how many there are at most.
+        self.first = np.full(1 << (64 - int(self.shift)), -1, np.int32)
+        self.first[top[::-1]] = np.arange(len(top), dtype=np.int32)[::-1]
+        self.deepest = int(np.bincount(top - top[0]).max()) if len(top) else 0
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where ``h`` holds a member, and which one."""
-        at = np.flatnonzero(self.table[h >> self.shift])
-        if not len(at) or not len(self.values):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        k = np.minimum(np.searchsorted(self.values, h[at]), len(self.values) - 1)
-        ok = self.values[k] == h[at]
-        return at[ok], k[ok]
+        """Where ``h`` holds a member, and which one, in order."""
+        first = self.first[h >> self.shift]
+        at = np.flatnonzero(first >= 0)
+        k, want = first[at].astype(np.int64), h[at]
+        hit = self.values[k] == want if len(at) else np.empty(0, bool)
+        rest = np.flatnonzero(~hit)
+        for step in range(1, self.deepest):
+            if not len(rest):
+                break
+            other = np.minimum(k[rest] + step, len(self.values) - 1)
+            same = self.values[other] == want[rest]
+            k[rest[same]] = other[same]
+            hit[rest[same]] = True
+            rest = rest[~same]
+        return at[hit], k[hit]

@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -89,13 +90,17 @@ class Model:
     keys: np.ndarray = field(default_factory=lambda: np.empty(0, tb.U64))
     weights: np.ndarray = field(default_factory=lambda: np.empty(0))
 
+    @cached_property
+    def known(self) -> tb.HashSet:
+        return tb.HashSet(self.keys)
+
     def found(self, t: tb.Texts) -> tuple[np.ndarray, np.ndarray]:
         """Pairs of a block's text and a feature that it has, each once, in order."""
         if not len(self.keys):
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        known, c, pairs = tb.HashSet(self.keys), Characters(t), []
+        c, pairs = Characters(t), []
         for s in self.sizes:
-            at, which = known.find(c.grams(s))
+            at, which = self.known.find(c.grams(s))
             doc, inside = c.owners(at, s)
             pairs.append(doc[inside] * len(self.keys) + which[inside])
         pairs = tb.distinct(np.concatenate(pairs))

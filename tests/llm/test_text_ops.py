@@ -49,6 +49,20 @@ def test_words_and_hashes(texts, size):
     assert len(set(seen.values())) == len(seen)
 
 
+def test_hash_set():
+    rng = np.random.default_rng(2)
+    for n, near in ((0, False), (1, False), (5000, False), (3000, True)):
+        values = rng.integers(0, 2**64, n, dtype=np.uint64)
+        if near:  # many members with the same first bits
+            values = (values & np.uint64(0xFFFF)) | (rng.integers(0, 4, n, dtype=np.uint64) << np.uint64(62))
+        known = tb.HashSet(values)
+        asked = np.r_[values[: n // 2], rng.integers(0, 2**64, 500, dtype=np.uint64), values[:3]]
+        at, which = known.find(asked)
+        members = set(values.tolist())
+        assert at.tolist() == [i for i, x in enumerate(asked.tolist()) if x in members]
+        assert (known.values[which] == asked[at]).all()
+
+
 def brute_hits(docs, items, n=13):
     wins = [(i, tuple(w[k : k + min(n, len(w))])) for i, t in items for w in [ALNUM.findall((t or "").translate(UP))] if w for k in range(len(w) - min(n, len(w)) + 1)]
     out = {}
