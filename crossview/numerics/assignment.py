@@ -47,39 +47,71 @@ def assign(cost: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def exclusive_groups(cost: np.ndarray, groups: list[list[int]], limit: int = 2_000_000) -> np.ndarray | None:
     """Give each row the column of least total cost so that rows of one group have different columns.
 
-    Exact branch and bound over the rows, those with the fewest choices first;
-    None if no such choice exists, or if ``limit`` nodes do not settle it.
+    Rows that clash with none take their best column; each connected set of clashing rows is solved on its own,
+    exactly, by branch and bound. None if no such choice exists; an error if a set needs more than ``limit`` nodes.
     """
-    n, k = cost.shape
-    clash = [set() for _ in range(n)]
+    n = len(cost)
+    clash: list[set[int]] = [set() for _ in range(n)]
     for g in groups:
         for a in g:
             clash[a].update(x for x in g if x != a)
-    order = sorted(range(n), key=lambda i: (-len(clash[i]), i))
-    floor = np.r_[np.cumsum(cost.min(1)[order][::-1])[::-1], 0.0]
-    best, chosen, pick, nodes = [np.inf], [None], np.full(n, -1), [0]
+    out, seen = cost.argmin(1) if n else np.empty(0, int), np.zeros(n, bool)
+    for start in range(n):
+        if seen[start] or not clash[start]:
+            continue
+        own, todo = [], [start]
+        seen[start] = True
+        while todo:
+            i = todo.pop()
+            own.append(i)
+            fresh = [x for x in clash[i] if not seen[x]]
+            seen[fresh] = True
+            todo += fresh
+        chosen = _exclusive(cost, sorted(own), clash, limit)
+        if chosen is None:
+            return None
+        for i, c in chosen.items():
+            out[i] = c
+    return out
 
-    def down(d: int, total: float) -> None:
-        nodes[0] += 1
-        if nodes[0] > limit or total + floor[d] >= best[0]:
-            return
-        if d == n:
-            best[0], chosen[0] = total, pick.copy()
-            return
-        i = order[d]
-        used = {pick[x] for x in clash[i] if pick[x] >= 0}
-        for c in np.argsort(cost[i], kind="stable"):
-            if c not in used:
-                pick[i] = c
-                down(d + 1, total + cost[i, c])
-                pick[i] = -1
 
-    import sys
+def _exclusive(cost: np.ndarray, rows: list[int], clash: list[set[int]], limit: int) -> dict[int, int] | None:
+    """Branch and bound over connected rows: next the row with the fewest columns left, its cheapest column first."""
+    columns, nodes = cost.shape[1], 0
+    best, chosen = np.inf, None
+    pick: dict[int, int] = {}
 
-    old = sys.getrecursionlimit()
-    sys.setrecursionlimit(max(old, 4 * n + 1000))
-    try:
-        down(0, 0.0)
-    finally:
-        sys.setrecursionlimit(old)
-    return chosen[0] if nodes[0] <= limit else None
+    def left(i: int) -> list[int]:
+        used = {pick[x] for x in clash[i] if x in pick}
+        return [c for c in range(columns) if c not in used]
+
+    # One entry for each row given a column: (row, columns still to try, cost before it).
+    stack: list[tuple[int, list[int], float]] = []
+
+    def bound(total: float) -> float:
+        return total + sum(min((cost[i, c] for c in left(i)), default=np.inf) for i in rows if i not in pick)
+
+    def descend(total: float) -> None:
+        i = min((r for r in rows if r not in pick), key=lambda r: (len(left(r)), -len(clash[r]), r))
+        stack.append((i, sorted(left(i), key=lambda c: (cost[i, c], c)), total))
+
+    descend(0.0)
+    while stack:
+        i, choices, before = stack[-1]
+        pick.pop(i, None)
+        if not choices:
+            stack.pop()
+            continue
+        nodes += 1
+        if nodes > limit:
+            raise RuntimeError(f"{len(rows)} behaviors overlap in one chain; their identities need over {limit} trials to be told apart")
+        c = choices.pop(0)
+        pick[i] = c
+        total = before + cost[i, c]
+        if bound(total) >= best:
+            continue
+        if len(pick) == len(rows):
+            best, chosen = total, dict(pick)
+        else:
+            descend(total)
+    return chosen

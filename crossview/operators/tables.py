@@ -30,10 +30,15 @@ def frame_runs(rows: DataFrame, keys: list[str], frame: str) -> DataFrame:
 
 
 def moving_average(rows: DataFrame, key: str, value: str, order: list[str], rate: float) -> DataFrame:
-    """The exponential moving average at the end of each key, from its first value on."""
-    steps = F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("_x"))))
-    fold = F.aggregate(F.slice("_s", 2, F.greatest(F.size("_s") - 1, F.lit(0))), F.get(F.col("_s"), F.lit(0))["_x"].cast("double"), lambda a, e: F.lit(1 - rate) * a + F.lit(rate) * e["_x"])
-    return rows.groupBy(key).agg(steps.alias("_s")).select(key, fold.alias("ema"))
+    """The exponential moving average at the end of each key, from its first value on.
+
+    As a weighted sum: a value counts by its distance from the end, the first one for all that would come before it. So
+    no history is held in one row.
+    """
+    by = Window.partitionBy(key)
+    d = rows.select(key, F.col(value).cast("double").alias("_x"), F.row_number().over(by.orderBy(*order)).alias("_rn"), F.count("*").over(by).alias("_n"))
+    weight = F.pow(F.lit(1 - rate), (F.col("_n") - F.col("_rn")).cast("double")) * F.when(F.col("_rn") == 1, F.lit(1.0)).otherwise(F.lit(rate))
+    return d.groupBy(key).agg(F.sum(F.col("_x") * weight).alias("ema"))
 
 
 def overlay_points(points: DataFrame, assignments: DataFrame) -> DataFrame:

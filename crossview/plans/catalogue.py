@@ -261,9 +261,15 @@ def q21_centroid_mean(s, d):
 _DIST = f"""{_CENT}, dist as (select vec_id, cent.label as label, greatest(0, least(4, 2 - 2 * list_sum(list_transform(range(1, 65), lambda i: cast(embedding[i] as double) * v[i] / n)))) / 4 as dist from embeddings, cent)"""
 
 
+#: Identities whose mean vectors are broadcast: with 64 numbers each, 51 MB.
+MAX_IDENTITIES = 100_000
+
+
 def distances(s, d) -> DataFrame:
-    # A row for each identity: a side of fixed, small size beside which every vector is looked at once.
-    return vectors(s, d).drop("label").crossJoin(F.broadcast(centroids(s, d))).select("vec_id", "label", C.appearance_distance("embedding", "centroid").alias("dist"))
+    """All vectors by all identities, as a matrix is what is asked for; the identities are broadcast up to a checked number."""
+    c = centroids(s, d)
+    c = F.broadcast(c) if c.count() <= MAX_IDENTITIES else c
+    return vectors(s, d).drop("label").crossJoin(c).select("vec_id", "label", C.appearance_distance("embedding", "centroid").alias("dist"))
 
 
 @query("select vec_id, cast(label as bigint) as label, round(dist, 5) as dist from dist", _DIST)
@@ -273,7 +279,13 @@ def q22_appearance_dist(s, d):
 
 @query("select vec_id, cast(arg_min(label, round(dist, 9)) as bigint) as nearest from dist group by vec_id", _DIST)
 def q23_nearest_centroid(s, d):
-    return distances(s, d).groupBy("vec_id").agg(F.min_by("label", F.round("dist", 9)).alias("nearest"))
+    c = centroids(s, d)
+    if c.count() > MAX_IDENTITIES:
+        return distances(s, d).groupBy("vec_id").agg(F.min_by("label", F.round("dist", 9)).alias("nearest"))
+    # All identities in one row beside every vector: the least of its distances is found without a shuffle.
+    whole = F.broadcast(c.agg(F.collect_list(F.struct("label", "centroid")).alias("identities")))
+    near = F.transform("identities", lambda i: F.struct(F.round(C.appearance_distance("embedding", i["centroid"]), 9).alias("dist"), i["label"].alias("label")))
+    return vectors(s, d).drop("label").crossJoin(whole).select("vec_id", F.array_min(near)["label"].alias("nearest"))
 
 
 @query("select place, count(*) as n, count(distinct sensor_id) as sensors from det group by place")

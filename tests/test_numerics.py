@@ -31,6 +31,29 @@ def test_exclusive_groups():
     assert exclusive_groups(np.zeros((3, 2)), [[0, 1, 2]]) is None
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 7), st.integers(2, 4), st.integers(0, 10**6))
+def test_exclusive_groups_are_optimal(n, k, seed):
+    rng = np.random.default_rng(seed)
+    cost = rng.random((n, k))
+    groups = [sorted(rng.choice(n, min(n, 2 + i % 2), replace=False).tolist()) for i in range(rng.integers(0, 4))]
+    want = min((sum(cost[i, c] for i, c in enumerate(p)) for p in itertools.product(range(k), repeat=n) if all(len({p[i] for i in g}) == len(g) for g in groups)), default=None)
+    got = exclusive_groups(cost, groups)
+    assert (got is None) == (want is None) and (want is None or cost[np.arange(n), got].sum() == pytest.approx(want))
+
+
+def test_exclusive_groups_of_many_sets():
+    """Hundreds of separate sets, which one search over all could not end; and no silent way out of one that is too hard."""
+    rng = np.random.default_rng(5)
+    cost = rng.random((1500, 12))
+    groups = [[3 * i, 3 * i + 1, 3 * i + 2] for i in range(500)]
+    got = exclusive_groups(cost, groups)
+    assert all(len(set(got[g])) == 3 for g in groups)
+    assert sum(cost[np.arange(1500), got]) == pytest.approx(sum(cost[g][assign(cost[g])].sum() for g in groups))
+    with pytest.raises(RuntimeError, match="overlap in one chain"):
+        exclusive_groups(rng.random((40, 30)), [list(range(i, i + 10)) for i in range(30)], limit=20)
+
+
 def test_ward_separates_and_is_monotone():
     rng = np.random.default_rng(0)
     x = np.r_[rng.normal(0, 0.05, (10, 3)), rng.normal(3, 0.05, (7, 3)), rng.normal(-3, 0.05, (5, 3))]
