@@ -15,9 +15,9 @@ of a scan's partition with at most ``CHUNK_BYTES`` of text:
    training and deleted-fold counts, to the part that owns its range of hashes.
    A word that is everywhere is one entry from each chunk, so no part is hot.
 2. A part adds up and answers each chunk with the totals, in the order asked;
-   the answers are written to the shared folder by the scan's partition, in the
-   order of its chunks. The sums of all tokens and types stand apart, so the
-   driver lists one folder whatever the number of partitions.
+   the answers are written to the shared folder, a folder for each of the scan's
+   partitions with about a file for each chunk. The sums of all tokens and types
+   stand apart, so the driver lists one folder whatever the number of partitions.
 3. The scan is repeated. A chunk reads its answers, knows all counts of all its
    tokens, and gives first the held-out statistics (numbers of tokens in cells
    of rounded estimates, a bounded table), then, once the weights are known,
@@ -63,24 +63,6 @@ def fold_of(doc_id: int | None, folds: int) -> int:
     return 0 if doc_id is None else zlib.crc32(str(doc_id).encode()) % folds
 
 
-# Arrays as bytes, all first bytes before all second ones and so on, which compresses well.
-def _planes(a: np.ndarray) -> bytes:
-    return np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() if len(a) else b""
-
-
-def _unplanes(raw: bytes, kind) -> np.ndarray:
-    size = np.dtype(kind).itemsize
-    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).reshape(-1).view(kind) if raw else np.empty(0, kind)
-
-
-def _keys_out(keys: np.ndarray) -> bytes:
-    return _planes(np.diff(keys, prepend=np.uint64(0)))
-
-
-def _keys_in(raw: bytes) -> np.ndarray:
-    return np.cumsum(_unplanes(raw, np.uint64), dtype=np.uint64)
-
-
 @dataclass
 class Chunk:
     """Some whole texts as tokens: ``grams[k]`` are the hashes of the (k + 1)-grams that end at each token."""
@@ -173,7 +155,7 @@ def _ask(order: int, chunk_bytes: int, parts: int, folds: tuple[int, int, int]):
                     k = np.searchsorted(keys, _BEGIN)
                     train[k], dev[k] = (fold != held).sum(), (fold == deleted).sum()
                 cut = np.searchsorted(_part(keys, parts), np.arange(parts + 1, dtype=np.uint64))
-                rows = [(p, *c.name, level, _keys_out(keys[a:b]), _planes(train[a:b]), _planes(dev[a:b])) for p, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if a < b]
+                rows = [(p, *c.name, level, tb.keys_out(keys[a:b]), tb.planes(train[a:b]), tb.planes(dev[a:b])) for p, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if a < b]
                 kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["part", "place", "chunk", "level", "keys", "train", "dev"])
 
@@ -191,9 +173,9 @@ def _answer(asked: pa.Table) -> pa.Table:
     for level in np.unique(levels):
         own = asked.filter(pa.array(levels == level))
         names = list(zip(own.column("place").to_pylist(), own.column("chunk").to_pylist(), strict=True))
-        keys = [_keys_in(x.as_py()) for x in own.column("keys")]
+        keys = [tb.keys_in(x.as_py()) for x in own.column("keys")]
         every, where = np.unique(np.concatenate(keys), return_inverse=True)
-        train, dev = (np.bincount(where, np.concatenate([_unplanes(x.as_py(), np.uint32) for x in own.column(c)]), len(every)).astype(np.int64) for c in ("train", "dev"))
+        train, dev = (np.bincount(where, np.concatenate([tb.unplanes(x.as_py(), np.uint32) for x in own.column(c)]), len(every)).astype(np.int64) for c in ("train", "dev"))
         if level == 0:
             word = every != _BEGIN
             out.append((part, _SUMS, 0, 0, 0, 0, b"", b"", int(train[word].sum()), int((train[word] > 0).sum()), int(dev[word].sum())))
@@ -201,36 +183,48 @@ def _answer(asked: pa.Table) -> pa.Table:
         for name, k in zip(names, keys, strict=True):
             mine = where[at : at + len(k)]
             at += len(k)
-            out.append((part, *name, int(level), len(k), int(np.bitwise_xor.reduce(k).view(np.int64)), _planes(train[mine]), _planes(dev[mine]), 0, 0, 0))
+            out.append((part, *name, int(level), len(k), int(np.bitwise_xor.reduce(k).view(np.int64)), tb.planes(train[mine]), tb.planes(dev[mine]), 0, 0, 0))
     kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
     names = ["part", "place", "chunk", "level", "n", "check", "train", "dev", "tokens", "types", "dev_tokens"]
     return pa.Table.from_arrays([pa.array(x, k) for x, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
 
-def _answers(folder: str, chunk: int, columns: list[str]) -> Iterator[dict]:
-    """A chunk's rows; of a partition's file only the row groups that hold the chunk are read, one at a time."""
-    store, path = sharedfs.resolve(folder)
-    for info in store.get_file_info(fs.FileSelector(path)):
-        if not info.path.endswith(".parquet"):
-            continue
-        with store.open_input_file(info.path) as f:
-            file = pq.ParquetFile(f, pre_buffer=False)
-            at = file.schema_arrow.names.index("chunk")
-            for g in range(file.num_row_groups):
-                held = file.metadata.row_group(g).column(at).statistics
-                if held is not None and held.has_min_max and not held.min <= chunk <= held.max:
-                    continue
-                rows = file.read_row_group(g, columns=["chunk", *columns], use_threads=False)
-                yield from rows.filter(pc.equal(rows.column("chunk"), chunk)).select(columns).to_pylist()
-
-
-def _totals(c: Chunk, folder: str, kinds: tuple[str, ...], use: np.ndarray | slice = slice(None)) -> list[tuple[list[np.ndarray], list[np.ndarray]]]:
+class Answers:
+    """The answers of one partition's chunks: which row groups of which files hold each chunk, and their rows."""
+
+    def __init__(self, folder: str):
+        self.folder, self.place, self.held = folder, None, {}
+
+    def _open(self, place: int) -> None:
+        self.store, path = sharedfs.resolve(f"{self.folder}/place={place}")
+        self.place, self.held = place, {}
+        for info in self.store.get_file_info(fs.FileSelector(path)):
+            if info.path.endswith(".parquet"):
+                with self.store.open_input_file(info.path) as f:
+                    about = pq.ParquetFile(f, pre_buffer=False).metadata
+                at = next(i for i in range(about.num_columns) if about.schema.column(i).path == "chunk")
+                for g in range(about.num_row_groups):
+                    s = about.row_group(g).column(at).statistics
+                    for chunk in range(s.min, s.max + 1):
+                        self.held.setdefault(chunk, []).append((info.path, g))
+
+    def rows(self, name: tuple[int, int], columns: list[str]) -> Iterator[dict]:
+        if self.place != name[0]:
+            self._open(name[0])
+        for path, g in self.held.get(name[1], []):
+            with self.store.open_input_file(path) as f:
+                group = pq.ParquetFile(f, pre_buffer=False).read_row_group(g, columns=["chunk", *columns], use_threads=False)
+            yield from group.filter(pc.equal(group.column("chunk"), name[1])).select(columns).to_pylist()
+
+
+def _totals(c: Chunk, answers: Answers, kinds: tuple[str, ...], use: np.ndarray | slice = slice(None)) -> list[tuple[list[np.ndarray], list[np.ndarray]]]:
     """For each kind (train, dev) the counts of a chunk's tokens, and of their histories, level by level, at the tokens ``use``."""
-    rows = list(_answers(f"{folder}/place={c.name[0]}", c.name[1], ["part", "level", "n", "check", *kinds]))
-    rows.sort(key=lambda r: (r["level"], r["part"]))
     out, last, begun = [([], []) for _ in kinds], {}, {}
+    by_level: dict[int, list[dict]] = {}
+    for r in answers.rows(c.name, ["part", "level", "n", "check", *kinds]):
+        by_level.setdefault(r["level"], []).append(r)
     for level, grams in enumerate(c.grams):
-        own = [r for r in rows if r["level"] == level]
+        own = sorted(by_level.pop(level, []), key=lambda r: r["part"])
         keys, where = np.unique(np.r_[grams, np.full(int(level == 0), _BEGIN)], return_inverse=True)
         at = 0
         for r in own:
@@ -241,7 +235,7 @@ def _totals(c: Chunk, folder: str, kinds: tuple[str, ...], use: np.ndarray | sli
         if at != len(keys):
             raise RuntimeError("the rows came in another order than before; stash the input first")
         for kind, (totals, histories) in zip(kinds, out, strict=True):
-            total = np.concatenate([_unplanes(r[kind], np.int64) for r in own])[where]
+            total = np.concatenate([tb.unplanes(r[kind], np.int64) for r in own])[where]
             if level == 0:
                 begun[kind], total = total[-1], total[:-1]
                 histories.append(np.empty(0, np.int64))
@@ -272,11 +266,12 @@ def _cells(order: int, chunk_bytes: int, folder: str, folds: tuple[int, int, int
     """Held-out tokens by bucket and rounded estimates: their number and their estimates' sums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        answers = Answers(folder)
         for c in chunks(batches, order, chunk_bytes):
             use = np.flatnonzero((c.folds(folds[0]) == folds[2])[c.doc])
             if not len(use):
                 continue
-            (train, history), (dev, dev_history) = _totals(c, folder, ("train", "dev"), use)
+            (train, history), (dev, dev_history) = _totals(c, answers, ("train", "dev"), use)
             less = lambda a, b: [x - y for x, y in zip(a, b, strict=True)]
             history = less(history, dev_history)
             p = _estimates(less(train, dev), history, tokens)
@@ -322,8 +317,9 @@ def learn_weights(cells: list[tuple[int, int, list[float]]], order: int, uniform
 
 def _score(order: int, chunk_bytes: int, folder: str, folds: tuple[int, int, int], tokens: int, types: int, weights: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        answers = Answers(folder)
         for c in chunks(batches, order, chunk_bytes):
-            (train, history), doc = _totals(c, folder, ("train",))[0], c.doc
+            (train, history), doc = _totals(c, answers, ("train",))[0], c.doc
             own = bucket(history[-1]) if order > 1 else np.zeros(len(doc), np.int64)
             total = weights[own, 0] / (types + 1)
             for k, x in enumerate(_estimates(train, history, tokens)):
@@ -353,8 +349,8 @@ def score(docs: DataFrame, order: int = ORDER, chunk_bytes: int = CHUNK_BYTES, f
     parts = max(1, min(MAX_PARTS, 4 * docs.rdd.getNumPartitions()))
     asked = docs.mapInArrow(_ask(order, chunk_bytes, parts, folds), "part long, place int, chunk int, level int, keys binary, train binary, dev binary")
     answers = asked.groupBy("part").applyInArrow(_answer, _ANSWER)
-    # Small row groups in the order of chunks: a chunk reads its own.
-    answers = answers.repartition("place").sortWithinPartitions("place", "chunk", "level", "part")
+    # A folder for each partition of the scan, and in it about a file for each chunk; these tell by their statistics whose they are.
+    answers = answers.repartition("place", "chunk").sortWithinPartitions("place", "chunk")
     answers.write.mode("overwrite").option("compression", "zstd").option("parquet.block.size", 8 << 20).partitionBy("place").parquet(folder)
     tokens = types = dev = 0
     if path_exists(spark, f"{folder}/place={_SUMS}"):

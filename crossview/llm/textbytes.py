@@ -174,6 +174,25 @@ def windows(h: np.ndarray, w: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     return mix(out[at]), at
 
 
+# Arrays as bytes, all first bytes before all second ones and so on, which compresses well.
+def planes(a: np.ndarray) -> bytes:
+    return np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() if len(a) else b""
+
+
+def unplanes(raw: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, -1).T).reshape(-1).view(kind) if raw else np.empty(0, kind)
+
+
+def keys_out(keys: np.ndarray) -> bytes:
+    """Ascending hashes as their differences."""
+    return planes(np.diff(keys, prepend=U64(0)))
+
+
+def keys_in(raw: bytes) -> np.ndarray:
+    return np.cumsum(unplanes(raw, U64), dtype=U64)
+
+
 def distinct(x: np.ndarray) -> np.ndarray:
     """The different values in ascending order, by sorting."""
     x = np.sort(x)
