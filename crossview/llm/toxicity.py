@@ -45,7 +45,7 @@ THRESHOLD = 0.3
 #: Of crc32(doc_id) mod 4, the fold whose labels are not learnt from.
 FOLDS, HELD_OUT = 4, 2
 #: Tasks that turn sampled texts into n-grams, and ranges of hashes that are counted together.
-SAMPLE_TASKS, PARTS = 12, 16
+SAMPLE_TASKS, PARTS = 6, 16
 
 _BLANK = tb.LOWER.copy()
 _BLANK[9:14] = 32
@@ -151,7 +151,7 @@ def _count(sizes: tuple[int, ...]):
                     zero = np.bincount(where, 1 - y, len(keys)).astype(np.uint32)
                     part = (keys >> tb.U64(60)).astype(np.int64) * PARTS // 16
                     cut = np.searchsorted(part, np.arange(PARTS + 1))
-                    rows = [(p, keys[a:e].tobytes(), one[a:e].tobytes(), zero[a:e].tobytes()) for p, (a, e) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if a < e]
+                    rows = [(p, tb.keys_out(keys[a:e]), tb.planes(one[a:e]), tb.planes(zero[a:e])) for p, (a, e) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if a < e]
                     if rows:
                         yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["part", "keys", "one", "zero"])
 
@@ -162,9 +162,9 @@ def _telling(n1: int, n0: int, min_z: float, smooth: float):
     """Of one range of hashes the n-grams whose ratio differs enough from zero: (key, ratio)."""
 
     def run(counted: pa.Table) -> pa.Table:
-        add = lambda c, kind: np.concatenate([np.frombuffer(x.as_py(), kind) for x in counted.column(c)])
-        keys, where = np.unique(add("keys", np.uint64), return_inverse=True)
-        one, zero = np.bincount(where, add("one", np.uint32), len(keys)), np.bincount(where, add("zero", np.uint32), len(keys))
+        add = lambda c: np.concatenate([tb.unplanes(x.as_py(), np.uint32) for x in counted.column(c)])
+        keys, where = np.unique(np.concatenate([tb.keys_in(x.as_py()) for x in counted.column("keys")]), return_inverse=True)
+        one, zero = np.bincount(where, add("one"), len(keys)), np.bincount(where, add("zero"), len(keys))
         ratio, z = _z(one, zero, n1, n0, smooth)
         use = np.abs(z) >= min_z
         return pa.Table.from_arrays([pa.array(keys[use].view(np.int64)), pa.array(ratio[use])], ["key", "ratio"])
