@@ -1,10 +1,9 @@
 """Settings of the tracking engine, with their names and defaults, and the two presets.
 
 The names are those that configuration files use, so a JSON configuration
-loads as it is; unknown fields are an error. Four settings are known and change
+loads as it is; unknown fields are an error. Three settings are known and change
 nothing, as what they rule is Spark's or is not built: videoDirPath and
-plotEvaluationGraphs (drawing), mtmcPlusNumProcessesMax (Spark's tasks) and
-mtmcPlusBehaviorBatchesConsumed (a trigger takes all that is there).
+plotEvaluationGraphs (drawing), mtmcPlusNumProcessesMax (Spark's tasks).
 """
 
 from __future__ import annotations

@@ -1,10 +1,9 @@
-"""People's heights from boxes and camera poses, and feet that the frame or other things hide."""
+"""People's heights from boxes and camera poses, and feet that the frame or other things hide, as expressions over a table of cameras."""
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import AppConfig
@@ -27,20 +26,49 @@ def poses(sensors: list[dict]) -> dict[str, Pose]:
     return out
 
 
-def with_heights(detections: DataFrame, cameras: dict[str, Pose]) -> DataFrame:
-    """A height for each detection; null for unknown cameras and boxes without one."""
+_CAMERA = "sensor_id string, ray array<double>, origin array<double>, ground array<double>"
 
-    @F.pandas_udf("double")
-    def height(sensor: pd.Series, l: pd.Series, t: pd.Series, r: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([K.people_height((a, c, d, e), *cameras[s]) if s in cameras else None for s, a, c, d, e in zip(sensor, l, t, r, b, strict=True)], dtype="float64")
 
-    return detections.withColumn("height", height("sensor_id", "left_x", "top_y", "right_x", "bottom_y"))
+def cameras(spark: SparkSession, poses: dict[str, Pose]) -> DataFrame:
+    """A row for each camera: pixels to rays, its place, and ground places to pixels (matrices by rows)."""
+    rows = []
+    for name, (k, r, t) in poses.items():
+        ground = k @ np.c_[r[:, 0], r[:, 1], t]
+        rows.append((name, (r.T @ np.linalg.inv(k)).ravel().tolist(), (-r.T @ t).tolist(), ground.ravel().tolist()))
+    return spark.createDataFrame(rows, _CAMERA)
 
 
-def estimate(detections: DataFrame, cameras: dict[str, Pose], config: AppConfig) -> DataFrame:
+def _times(m: Column, x: Column, y: Column) -> list[Column]:
+    """A matrix of nine numbers times (x, y, 1)."""
+    return [m[3 * i] * x + m[3 * i + 1] * y + m[3 * i + 2] for i in range(3)]
+
+
+def _reach(ray: list[Column], axis: int, depth: Column) -> list[Column]:
+    """The point of a camera's ray whose coordinate ``axis`` is ``depth``; null if the ray never gets there."""
+    way = F.when(F.abs(ray[axis]) >= 1e-12, (depth - F.col("origin")[axis]) / ray[axis])
+    return [F.col("origin")[i] + ray[i] * way for i in range(3)]
+
+
+def _middle() -> Column:
+    return (F.col("left_x") + F.col("right_x")) / 2
+
+
+def with_heights(detections: DataFrame, poses: dict[str, Pose]) -> DataFrame:
+    """A height for each detection, the foot on the ground and the head above it, as the mean of two anchors; null for
+    unknown cameras and boxes without one. The camera table is broadcast by Spark when it is small."""
+    d = detections.join(cameras(detections.sparkSession, poses), "sensor_id", "left")
+    foot = _reach(_times(F.col("ray"), _middle(), F.col("bottom_y")), 2, F.lit(0.0))
+    head = _times(F.col("ray"), _middle(), F.col("top_y"))
+    d = d.withColumns({"_x": foot[0], "_y": foot[1]})
+    a, b = (_reach(head, i, F.col(c))[2] for i, c in ((0, "_x"), (1, "_y")))
+    both = F.when(a.isNull(), b).when(b.isNull(), a).otherwise((a + b) / 2)
+    return d.withColumn("height", both).drop("ray", "origin", "ground", "_x", "_y")
+
+
+def estimate(detections: DataFrame, poses: dict[str, Pose], config: AppConfig) -> DataFrame:
     """(sensor_id, height): the mean of the largest share of each camera's heights in its first frames."""
     c = config.localization
-    d = with_heights(detections.where(F.col("frame_id") <= c.peopleHeightNumBatchFrames), cameras).where("height is not null")
+    d = with_heights(detections.where(F.col("frame_id") <= c.peopleHeightNumBatchFrames), poses).where("height is not null")
     if c.overwrittenPeopleHeightMeter is not None:
         return d.select("sensor_id").distinct().withColumn("height", F.lit(float(c.overwrittenPeopleHeightMeter)))
     return K.trimmed_mean(d, "sensor_id", "height", c.peopleHeightEstimationRatio, "frame_id").withColumnRenamed("value", "height")
@@ -64,13 +92,19 @@ class RunningHeight:
         return self.value
 
 
-def rectified(detections: DataFrame, cameras: dict[str, Pose], heights: dict[str, float], config: AppConfig) -> DataFrame:
-    """Detections with foot_x, foot_y and visibility; hidden feet are where the head says."""
-    limit = config.localization.peopleHeightVisibilityThresh
-
-    @F.pandas_udf("foot_x double, foot_y double, visibility double")
-    def foot(sensor: pd.Series, l: pd.Series, t: pd.Series, r: pd.Series, b: pd.Series) -> pd.DataFrame:
-        rows = [K.rectified_foot((a, c, d, e), heights[s], *cameras[s], limit) if s in cameras and s in heights else ((a + d) / 2, e, 1.0) for s, a, c, d, e in zip(sensor, l, t, r, b, strict=True)]
-        return pd.DataFrame(rows, columns=["foot_x", "foot_y", "visibility"])
-
-    return detections.withColumn("_f", foot("sensor_id", "left_x", "top_y", "right_x", "bottom_y")).select("*", "_f.*").drop("_f")
+def rectified(detections: DataFrame, poses: dict[str, Pose], heights: dict[str, float], config: AppConfig) -> DataFrame:
+    """Detections with foot_x, foot_y and visibility, the share of a person that is seen; where that is too small the foot is
+    where the head and the camera's height say."""
+    spark = detections.sparkSession
+    known = spark.createDataFrame([(s, float(h)) for s, h in heights.items() if s in poses], "sensor_id string, _height double")
+    d = detections.join(cameras(spark, poses).join(known, "sensor_id"), "sensor_id", "left")
+    top, bottom = F.col("top_y"), F.col("bottom_y")
+    head = _reach(_times(F.col("ray"), _middle(), top), 2, F.col("_height"))
+    at = _times(F.col("ground"), head[0], head[1])
+    d = d.withColumns({"_fx": F.when(F.abs(at[2]) > 1e-12, at[0] / at[2]), "_fy": F.when(F.abs(at[2]) > 1e-12, at[1] / at[2])})
+    usable = F.col("_fy") > top
+    seen = F.when(usable, F.least(F.lit(1.0), (bottom - top + 1) / (F.col("_fy") - top + 1))).otherwise(F.lit(1.0))
+    d = d.withColumn("visibility", seen)
+    hidden = usable & (F.col("visibility") < config.localization.peopleHeightVisibilityThresh)
+    d = d.withColumns({"foot_x": F.when(hidden, F.col("_fx")).otherwise(_middle()), "foot_y": F.when(hidden, F.col("_fy")).otherwise(bottom.cast("double"))})
+    return d.drop("ray", "origin", "ground", "_height", "_fx", "_fy")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
@@ -58,6 +58,54 @@ def topview_trajectories(points: DataFrame, assignments: DataFrame, tx: float, t
     return p.withColumns({c: F.when(full, F.avg(v).over(tail).cast("int")) for c, v in (("smooth_x", "px"), ("smooth_y", "py"))})
 
 
+# The colours (blue, green, red) that numbers stand for, by remainder.
+PALETTE = ((239, 120, 223), (0, 185, 118), (50, 50, 240), (213, 145, 113))
+
+
+def palette_color(index: Column) -> Column:
+    """The colour of a number as struct<b,g,r>."""
+    colors = F.array(*[F.struct(*[F.lit(v).alias(n) for v, n in zip(c, "bgr", strict=True)]) for c in PALETTE])
+    return F.get(colors, F.pmod(index, F.lit(len(PALETTE))).cast("int"))
+
+
+def buffered(rows: DataFrame, keys: list[str], ts: str, span_sec: float) -> DataFrame:
+    """For each row how many rows of its key, itself and those at its time included, a buffer of ``span_sec`` then holds, and since when."""
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    by = Window.partitionBy(*keys).orderBy(micros).rangeBetween(-int(span_sec * 1e6), 0)
+    return rows.withColumns({"held": F.count("*").over(by), "since": F.min(ts).over(by)})
+
+
+def sensor_ranks(rows: DataFrame, sensor: str) -> DataFrame:
+    """Every sensor with its number in order of the names, from 1 on (a row for each camera)."""
+    return rows.select(sensor).distinct().withColumn("rank", F.row_number().over(Window.orderBy(sensor)))
+
+
+def first_sensors(rows: DataFrame, sensor: str, n: int) -> DataFrame:
+    """Rows of the first ``n`` sensors, which a grid has room for."""
+    return rows.join(rows.select(sensor).distinct().orderBy(sensor).limit(n), sensor, "left_semi")
+
+
+def top_rows(rows: DataFrame, by: str, ties: list[str], n: int = 20) -> DataFrame:
+    """The rows with the largest values, ties in the given order."""
+    return rows.orderBy(F.col(by).desc_nulls_last(), *ties).limit(n)
+
+
+def in_output_order(rows: DataFrame, frame: list[str], ident: str) -> DataFrame:
+    """Rows with their place in their frame's output, by id."""
+    return rows.withColumn("position", F.row_number().over(Window.partitionBy(*frame).orderBy(ident)))
+
+
+def last_batch_id(objects: DataFrame, batch: str, ident: str) -> DataFrame:
+    """The last batch and the largest id in it, as one row."""
+    return objects.agg(F.max(F.struct(F.col(batch), F.col(ident))).alias("_m")).select(F.col("_m")[batch].alias(batch), F.col("_m")[ident].alias(ident))
+
+
+def query_and_gallery(rows: DataFrame, sensor: str, queries: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of the query cameras, and those of all others."""
+    asked = F.coalesce(F.col(sensor).isin(queries), F.lit(False))
+    return rows.where(asked), rows.where(~asked)
+
+
 def truth_corners(truth: DataFrame) -> DataFrame:
     """Ground-truth boxes with inclusive corners."""
     return truth.withColumns({"right_x": F.col("X") + F.col("Width") - 1, "bottom_y": F.col("Y") + F.col("Height") - 1})

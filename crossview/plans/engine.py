@@ -22,7 +22,7 @@ from ..sources import detections as S
 from ..sources import sinks as W
 from ..streaming import live as V
 from ..streaming import state as ST
-from .catalogue import BOX, DAY, DET, GAP, HEIGHT, ROI, SEG, WIDTH, H, det, query, segmented, tracklets, us
+from .catalogue import BOX, DAY, DET, GAP, HEIGHT, ROI, SEG, WIDTH, H, det, placed, query, segmented, tracklets, us
 from .catalogue import _HOM as HOM
 
 text = lambda c: F.col(c).cast("string")
@@ -457,3 +457,155 @@ def q93_pruned_objects(s, d):
 def q94_view_polygons(s, d):
     own = sensors(s).join(det(s, d).select("sensor_id").distinct(), "sensor_id")
     return TB.field_of_view_pixels(own, 2.5, 1.25, 20.0, 1080)
+
+
+# More tables.
+@query("select event_id, case object_id % 4 when 0 then 239 when 1 then 0 when 2 then 50 else 213 end as b, case object_id % 4 when 0 then 120 when 1 then 185 when 2 then 50 else 145 end as g, case object_id % 4 when 0 then 223 when 1 then 118 when 2 then 240 else 113 end as r from det")
+def q95_palette(s, d):
+    return det(s, d).select("event_id", TB.palette_color(F.col("object_id")).alias("c")).select("event_id", "c.b", "c.g", "c.r")
+
+
+@query("select event_id, count(*) over w as held, epoch_us(min(ts) over w) as since_us from det window w as (partition by object_id order by epoch_us(ts) range between 86400000000 preceding and current row)")
+def q96_buffered(s, d):
+    return TB.buffered(det(s, d), ["object_id"], "ts", DAY).select("event_id", "held", us("since").alias("since_us"))
+
+
+@query("select event_id, rank from det join (select sensor_id, row_number() over (order by sensor_id) as rank from (select distinct sensor_id from det)) using (sensor_id) where rank <= 3")
+def q97_sensor_ranks(s, d):
+    e = det(s, d)
+    return TB.first_sensors(e, "sensor_id", 3).join(TB.sensor_ranks(e, "sensor_id"), "sensor_id").select("event_id", F.col("rank").cast("long").alias("rank"))
+
+
+@query("select object_id, n, largest from (select object_id, count(*) as n, max((w + 1) * (h + 1)) as largest from det group by object_id) order by n desc, object_id limit 20")
+def q98_top_rows(s, d):
+    return TB.top_rows(det(s, d).groupBy("object_id").agg(F.count("*").alias("n"), F.max(C.bbox_area(*BOX)).alias("largest")), "n", ["object_id"])
+
+
+@query("select event_id, row_number() over (partition by event_id // 16 order by lx * 1000000 + event_id) as position from det")
+def q99_output_order(s, d):
+    rows = det(s, d).select("event_id", F.floor(F.col("event_id") / 16).alias("frame"), (F.col("lx") * 1000000 + F.col("event_id")).alias("id"))
+    return TB.in_output_order(rows, ["frame"], "id").select("event_id", F.col("position").cast("long").alias("position"))
+
+
+@query("select day, max(object_id) as object_id from (select epoch_us(s) // 86400000000 as day, object_id from tracklet) where day = (select max(epoch_us(s) // 86400000000) from tracklet) group by day", SEG)
+def q100_last_batch_id(s, d):
+    return TB.last_batch_id(tracklets(s, d).select(F.floor(us("s") / (DAY * 1_000_000)).alias("day"), "object_id"), "day", "object_id")
+
+
+@query("select event_id, sensor_id in ('cam0', 'cam2') as asked from det")
+def q101_query_and_gallery(s, d):
+    asked, others = TB.query_and_gallery(det(s, d), "sensor_id", ["cam0", "cam2"])
+    return asked.select("event_id", F.lit(True).alias("asked")).unionByName(others.select("event_id", F.lit(False).alias("asked")))
+
+
+@query("select sensor_id as seq, event_id as frame, dense_rank() over (partition by sensor_id order by object_id) - 1 as dense from det where event_type <> 'error'")
+def q102_prepared_truth(s, d):
+    rows = det(s, d).select(F.col("sensor_id").alias("seq"), F.col("event_id").alias("frame"), F.col("object_id").alias("id"), F.when(F.col("event_type") == "error", 0).otherwise(1).alias("conf"))
+    return E.prepared_truth(rows).select("seq", "frame", F.col("dense").cast("long").alias("dense"))
+
+
+@query(f"select sensor_id as seq, event_id // 4 + 1 as frame from (select *, event_id * 7 % 50 as move from det) where event_type <> 'error' and not (event_type = 'click' and {_MOVED} >= 0.5 - cast(2.220446049250313e-16 as double))")
+def q103_without_distractors(s, d):
+    truth, prediction = truth_and_prediction(s, d)
+    clicks = det(s, d).select(F.col("sensor_id").alias("seq"), (F.floor(F.col("event_id") / 4) + 1).alias("frame"), (F.col("event_type") == "click").alias("distractor"))
+    box = ["seq", "frame", "id", "x", "y", "w", "h"]
+    return E.without_distractors(truth.select(*box).join(clicks, ["seq", "frame"]), prediction.select(*box)).select("seq", "frame")
+
+
+# Calibration, control messages, identities.
+@query("select event_id, round(gx, 4) as gx, round(gy, 4) as gy from proj", f"{DET}, {HOM}")
+def q104_fitted_homography(s, d):
+    """Projected through the homography that is fitted to where the known one puts six pixels."""
+    import numpy as np
+
+    from ..operators import calibration as CA
+
+    pixels = np.array([[10, 20], [1900, 40], [1850, 1000], [30, 950], [900, 500], [400, 700]], float)
+    fitted = CA.homography(pixels, CA.apply(np.array(H).reshape(3, 3), pixels))
+    x, y = C.foot_point("lx", "rx", "bottom")
+    return det(s, d).select("event_id", C.project(x, y, [float(v) for v in fitted.ravel()]).alias("g")).select("event_id", F.round("g.x", 4).alias("gx"), F.round("g.y", 4).alias("gy"))
+
+
+@query("select kind, event, count(*) as n, min(epoch_us(ts) // 1000) as first_ms from (select case event_type when 'view' then 'calibration' else 'config' end as kind, case when event_type = 'view' and event_id % 2 = 0 then 'delete' else 'upsert' end as event, ts from det where event_type in ('view', 'click')) group by all")
+def q105_notifications(s, d):
+    from ..streaming.notifications import parsed
+
+    key = F.when(F.col("event_type") == "view", "calibration").when(F.col("event_type") == "click", "analytics-config").otherwise("other")
+    event = F.when((F.col("event_type") == "view") & (F.col("event_id") % 2 == 0), "delete").otherwise("upsert")
+    header = lambda k, v: F.struct(F.lit(k).alias("key"), F.encode(v, "UTF-8").alias("value"))
+    rows = det(s, d).select(F.encode(key, "UTF-8").alias("key"), F.encode(text("event_id"), "UTF-8").alias("value"), F.array(header("event.type", event), header("timestamp", C.iso_millis("ts"))).alias("headers"))
+    return parsed(rows).groupBy("kind", "event").agg(F.count("*").alias("n"), F.min(F.unix_millis("ts")).alias("first_ms"))
+
+
+@query("select 'name' as line union all select distinct sensor_id from det")
+def q106_sequence_map(s, d):
+    return W.sequence_map(det(s, d).select(F.col("sensor_id").alias("seq"))).withColumnRenamed("value", "line")
+
+
+@query("select sensor_id, n, 'building=A/room=' || k as place, 1000 + k as frame_width, case when k = 2 then -1 else 30.0::double end as fps, case when k = 3 then 0 else 3 end as corners, case when k = 1 then -1 else 0.5::double end as h0 from (select sensor_id, count(*) as n, cast(substr(sensor_id, 4) as integer) as k from det group by sensor_id)")
+def q107_sensor_states(s, d):
+    from ..operators.calibration import sensor_states
+
+    pair = lambda name, value: {"name": name, "value": str(value)}
+    rows = [
+        {
+            "id": f"cam{k}", "attributes": [pair("frameWidth", 1000 + k), pair("frameHeight", 700), pair("fps", "fast" if k == 2 else 30)], "place": [pair("building", "A"), pair("room", k)],
+            "rois": [] if k == 3 else [{"roiCoordinates": [{"x": 0, "y": 0}, {"x": 1, "y": 0}, {"x": 1, "y": 1}]}],
+        } | ({} if k == 1 else {"homography": [[2, 0, 0], [0, 2, 0], [0, 0, 1]]})
+        for k in range(4)
+    ]
+    states = s.createDataFrame(sensor_states(rows), SENSOR_STATE)
+    n = det(s, d).groupBy("sensor_id").agg(F.count("*").alias("n"))
+    corners = F.coalesce(F.size(F.get("rois", F.lit(0))), F.lit(0))
+    return states.join(n, "sensor_id").select("sensor_id", "n", "place", "frame_width", F.coalesce("fps", F.lit(-1.0)).alias("fps"), F.when(corners < 0, 0).otherwise(corners).alias("corners"), F.coalesce(F.get("homography", F.lit(0)), F.lit(-1.0)).alias("h0"))
+
+
+@query("select place, object_id as global_id, epoch_us(min(s)) as start_us, epoch_us(max(e)) as end_us, count(*) as n_matched, arg_min(tid, s) as first_key from (select *, 'p' || (cast(substr(sensor_id, 4) as bigint) % 2) as place from tracklet) group by place, object_id", SEG)
+def q108_mtmc_objects(s, d):
+    from ..operators.clustering import mtmc_objects
+
+    rows = placed(s, d).select("place", F.col("object_id").alias("global_id"), F.col("tid").alias("key"), "sensor_id", text("object_id").alias("object_id"), F.col("s").alias("start"), F.col("e").alias("end"))
+    return mtmc_objects(rows, "place").select("place", "global_id", us("start").alias("start_us"), us("end").alias("end_us"), "n_matched", F.col("matched")[0]["key"].alias("first_key"))
+
+
+# People's heights: every camera looks along y and 0.3 down, from 3 m above the ground.
+def _poses() -> dict:
+    import numpy as np
+
+    k = np.array([[1080, 0, 960], [0, 1080, 540], [0, 0, 1]], float)
+    r = np.array([[1, 0, 0], [0, -np.sin(0.3), -np.cos(0.3)], [0, np.cos(0.3), -np.sin(0.3)]])
+    return {f"cam{i}": (k, r, -r @ np.array([0.0, -6.0 - i, 3.0])) for i in range(4)}
+
+
+_RAYS = f"""{DET}, eye as (select *, ((lx + rx) / 2.0::double - 960) / 1080 as u, (ty - 540) / 1080.0::double as vt, (bottom - 540) / 1080.0::double as vb, -6.0::double - event_id % 4 as oy, sin(0.3::double) as sn, cos(0.3::double) as cs from det
+), ray as (select *, cs - sn * vt as ht, -sn - cs * vt as hz, cs - sn * vb as ft, -sn - cs * vb as fz from eye
+), foot as (select *, -3.0::double / fz as s, u * (-3.0::double / fz) as px, oy + ft * (-3.0::double / fz) as py from ray
+), tall as (select *, case when abs(u) >= 1e-12 then 3 + hz * px / u end as z0, 3 + hz * (py - oy) / ht as z1 from foot
+), height as (select *, case when z0 is null then z1 else (z0 + z1) / 2 end as height from tall)"""
+
+
+@query("select event_id, round(height, 5) as height from height", _RAYS)
+def q109_heights(s, d):
+    from ..operators import heights
+
+    return heights.with_heights(detections(s, d), _poses()).select("event_id", F.round("height", 5).alias("height"))
+
+
+@query("select sensor_id, round(avg(height), 5) as height from (select *, row_number() over (partition by sensor_id order by height desc, frame_id) as rn, count(*) over (partition by sensor_id) as n from height where height is not null) where rn <= cast(floor(n * cast(0.7 as double)) as bigint) group by sensor_id", _RAYS)
+def q110_camera_heights(s, d):
+    from ..config import LocalizationConfig
+    from ..operators import heights
+
+    every = AppConfig(localization=LocalizationConfig(peopleHeightNumBatchFrames=1 << 60))
+    return heights.estimate(detections(s, d), _poses(), every).select("sensor_id", F.round("height", 5).alias("height"))
+
+
+@query("""select event_id, round(case when hidden then ex else (lx + rx) / 2.0::double end, 4) as x, round(case when hidden then ey else bottom end, 4) as y, round(seen, 5) as seen from (select *, ey > ty and seen < cast(0.8 as double) as hidden
+from (select *, case when ey > ty then least(1.0::double, (bottom - ty + 1) / (ey - ty + 1)) else 1.0::double end as seen from (select *, 960 + 1080 * gx / dz as ex, 540 + 1080 * ((gy - oy) * -sn - -3.0::double * cs) / dz as ey
+from (select *, (gy - oy) * cs - -3.0::double * sn as dz from (select *, u * (-1.25::double / hz) as gx, oy + ht * (-1.25::double / hz) as gy from ray)))))""", _RAYS)
+def q111_rectified_feet(s, d):
+    from ..operators import heights
+
+    poses = _poses()
+    rows = heights.rectified(detections(s, d), poses, dict.fromkeys(poses, 1.75), AppConfig())
+    return rows.select("event_id", F.round("foot_x", 4).alias("x"), F.round("foot_y", 4).alias("y"), F.round("visibility", 5).alias("seen"))

@@ -56,6 +56,11 @@ def sequence_map(sequences: DataFrame) -> DataFrame:
     return head.unionByName(names).orderBy("_k", "value").select("value")
 
 
+def sequence_description(name: str, length: int, fps: int = 30, width: int = 1920, height: int = 1080) -> str:
+    """The text of a sequence's description file."""
+    return "\n".join(["[Sequence]", f"name={name}", f"seqLength={length}", f"frameRate={fps}", f"imWidth={width}", f"imHeight={height}", ""])
+
+
 def write_mot_rows(rows: DataFrame, path: str) -> None:
     """Blank-separated rows without a header."""
     rows.write.mode("overwrite").csv(path, sep=" ", header=False)

@@ -60,30 +60,44 @@ class PlaceTracker:
         self.config, self.state = config, O.PlaceState()
         self.tracks: dict[tuple[str, str], list[Track]] = {}
         self.buffer: list[tuple] = []
+        #: Whether the last batch clustered anew, which takes long; the next rows to come may then be more than can be kept up with.
+        self.fresh = False
 
-    def feed(self, rows: list[tuple]) -> Iterator[dict]:
+    def feed(self, rows: list[tuple], shed: bool = False) -> Iterator[dict]:
         """Rows (in the order of :data:`POINTS` but for the place, times in microseconds), sorted by time, and the locations that they lead to.
 
-        Frames gather until they span a batch; a gap longer than the reset drops what has gathered.
+        Frames gather until they span a batch; a gap longer than the reset drops what has gathered. With ``shed``, if the
+        batch before clustered anew, only the first and the last of the batches that have come since are worked on.
         """
         s = self.config.streaming
+        batches: list[list[tuple]] = []
         for r in rows:
             if self.buffer and r[3] > self.buffer[-1][3] + s.mtmcPlusFrameBufferResetSec * 1e6:
                 self.buffer = []
             if self.buffer and r[3] != self.buffer[-1][3] and self.buffer[-1][3] - self.buffer[0][3] >= s.mtmcPlusFrameBatchSizeMs * 1000:
-                yield from self.flush()
+                batches.append(self.buffer)
+                self.buffer = []
             self.buffer.append(r)
+        kept = s.mtmcPlusBehaviorBatchesConsumed
+        if shed and self.fresh and len(batches) > kept:
+            batches = batches[: kept // 2] + batches[len(batches) - (kept - kept // 2) :]
+        for own in batches:
+            yield from self._work(own)
 
     def flush(self) -> Iterator[dict]:
         rows, self.buffer = self.buffer, []
-        if not rows:
-            return
+        if rows:
+            yield from self._work(rows)
+
+    def _work(self, rows: list[tuple]) -> Iterator[dict]:
         for r in rows:
             self._append(r)
         self._evict(max(r[3] for r in rows))
         live = self.live()
-        if live and (out := O.step(self.state, live, self.config)):
-            yield out
+        if live:
+            self.fresh = O.needs_init(self.state, live, self.config)
+            if out := O.step(self.state, live, self.config):
+                yield out
 
     def _append(self, r: tuple) -> None:
         sensor, object_id, kind, at, frame, confidence, area, aspect, width, height, x, y, weight, vector = r
@@ -175,7 +189,7 @@ def stream_locations(points: DataFrame, config: AppConfig) -> DataFrame:
 
     def apply(key, pdfs, state):
         tracker = pickle.loads(state.get[0]) if state.exists else PlaceTracker(config)
-        found = list(tracker.feed(_rows(pd.concat(list(pdfs), ignore_index=True))))
+        found = list(tracker.feed(_rows(pd.concat(list(pdfs), ignore_index=True)), shed=True))
         state.update((pickle.dumps(tracker),))
         yield from _made(key[0], found, empty)
 

@@ -298,6 +298,21 @@ def test_metrics_by_brute_force(spark):
             assert got[s][k] == pytest.approx(v, abs=1e-9), (s, k)
 
 
+def test_summary_and_details(spark, tmp_path):
+    pairs = spark.createDataFrame([("a", 1, 1, 9, 1.0), ("a", 2, 1, 9, 0.8), ("b", 1, 1, 9, 0.6)], "seq string, frame long, gt_id long, pr_id long, sim double")
+    m = E.measures(pairs, pairs.select("seq", "frame", F.col("gt_id").alias("id")), pairs.select("seq", "frame", F.col("pr_id").alias("id"))).cache()
+    E.write_summary(m, f"file://{tmp_path}/s")
+    text = spark.read.csv(f"file://{tmp_path}/s", sep=" ", header=True).first()
+    assert text.asDict()["MOTP"] == "80" and text["CLR_TP"] == "3" and list(text.asDict()) == E.SUMMARY
+    E.write_detailed(m, f"file://{tmp_path}/d")
+    back = {(r.seq, r.metric): r.value for r in E.read_detailed(spark, f"file://{tmp_path}/d").collect()}
+    first = {(r.seq, r.metric): r.value for r in m.collect()}
+    assert all(back[k] == pytest.approx(v) for k, v in first.items() if k in back) and ("COMBINED", "HOTA___50") in back
+    classes = m.where("seq <> 'COMBINED'").withColumnRenamed("seq", "class").unionByName(spark.createDataFrame([("c", "MOTP", 0.0), ("c", "CLR_TP", 0.0)], "class string, metric string, value double"))
+    whole, some = ({r.metric: r.value for r in E.class_averages(classes, x).collect()} for x in (False, True))
+    assert whole["MOTP"] == pytest.approx((0.9 + 0.6) / 3) and some["MOTP"] == pytest.approx(0.75) and whole["CLR_TP"] == some["CLR_TP"] == 3
+
+
 def test_duplicate_ids_are_an_error(spark):
     d = spark.createDataFrame([("s", 1, 1, 0.0, 0.0), ("s", 1, 1, 1.0, 1.0)], "seq string, frame long, id long, x double, y double")
     with pytest.raises(Exception, match="twice"):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from crossview import __main__ as cli
 from crossview.config import AppConfig, clock, load_config, updated
 from crossview.functions import register
-from crossview.operators import heights
+from crossview.operators import calibration, heights
 from crossview.operators import tracks as K
 from crossview.operators.calibration import sensor_states
 from crossview.plans import pipelines as P
@@ -46,7 +46,7 @@ def test_live_locations_equal_the_replay(spark, tmp_path):
     dim = spark.createDataFrame(sensor_states(sensors), SENSOR_STATE)
     # No re-initialisation on the way, and a buffer that fills early, so that both begin with the same batch.
     config = load_config({"preprocessing": {"mtmcPlusInitBufferLenSec": 4.0, "behaviorRetentionInStateSec": 600.0}, "clustering": {"clusteringAlgo": "AgglomerativeClustering", "agglomerativeClusteringDistThresh": 0.95, "numReassignmentIterations": 2}})
-    config = updated(config, {"streaming": {"mtmcPlusFrameBatchSizeMs": 400}}, frozenset())
+    config = updated(config, {"streaming": {"mtmcPlusFrameBatchSizeMs": 400, "mtmcPlusBehaviorBatchesConsumed": 100}}, frozenset())
     by_time = sorted(lines, key=lambda x: json.loads(x)["@timestamp"])
     (tmp_path / "in").mkdir()
     step = len(by_time) // 4
@@ -68,6 +68,15 @@ def test_live_locations_equal_the_replay(spark, tmp_path):
     assert live.replay_locations(live.live_points(P.flagged(spark.createDataFrame([(x,) for x in lines], "value string"), dim, quiet)), quiet).count() == 0  # every frame resets the buffer
 
 
+def test_load_shedding():
+    """After a batch that clustered anew, the first and the last batches that have come since."""
+    config = updated(AppConfig(), {"streaming": {"mtmcPlusFrameBatchSizeMs": 0, "mtmcPlusBehaviorBatchesConsumed": 3}}, frozenset())
+    row = lambda t: ("s", "1", "Person", int(t * 1e6), t, 0.9, 1.0, 0.5, None, None, 0.0, 0.0, 1.0, [1.0])
+    worked = lambda fresh, shed: (t := live.PlaceTracker(config), setattr(t, "fresh", fresh), list(t.feed([row(k) for k in range(11)], shed)), [s[1] for own in t.tracks.values() for x in own for s in x.steps])[-1]
+    assert worked(False, True) == worked(True, False) == list(range(10))
+    assert worked(True, True) == [0, 8, 9]
+
+
 def test_command_line(spark, tmp_path):
     lines, sensors, _ = P.scene(seconds=6)
     (tmp_path / "log.json").write_text("\n".join(lines))
@@ -160,7 +169,7 @@ def test_settings_take_effect(spark, tmp_path):
     W.sequence_map(spark.createDataFrame([("b",), ("a",), ("b",)], "seq string")).coalesce(1).write.text(f"file://{tmp_path}/map")
     assert [r.seq for r in S.read_sequence_map(spark, f"file://{tmp_path}/map").collect()] == ["a", "b"]
     (tmp_path / "s1").mkdir()
-    (tmp_path / "s1" / "seqinfo.ini").write_text("[Sequence]\nname=s1\nseqLength = 33\n")
+    (tmp_path / "s1" / "seqinfo.ini").write_text(W.sequence_description("s1", 33))
     assert [tuple(r) for r in S.read_sequence_lengths(spark, f"file://{tmp_path}/s1/seqinfo.ini").collect()] == [("s1", 33)]
 
 
@@ -198,6 +207,16 @@ def test_heights(spark):
     h = spark.createDataFrame([("a", 1, *hidden)], d.schema)
     row = heights.rectified(h, {"a": (k, r, t)}, {"a": 1.75}, AppConfig()).first()
     assert abs(row.foot_y - box[3]) < 3 and row.visibility < 0.6
+    # Every box as the scalar geometry has it.
+    rng = np.random.default_rng(4)
+    boxes = [("a" if i % 5 else "z", i, *map(float, (x, y, x + w, y + v))) for i, (x, y, w, v) in enumerate(rng.integers((0, 0, 20, 30), (1800, 900, 140, 260), (200, 4)))]
+    many = spark.createDataFrame(boxes, d.schema)
+    want = {b[1]: (calibration.people_height(b[2:], k, r, t), calibration.rectified_foot(b[2:], 1.75, k, r, t, 0.8)) for b in boxes}
+    for x in heights.with_heights(many, {"a": (k, r, t)}).collect():
+        assert (x.height is None) if x.sensor_id == "z" else x.height == pytest.approx(want[x.frame_id][0], rel=1e-9)
+    for x in heights.rectified(many, {"a": (k, r, t)}, {"a": 1.75}, AppConfig()).collect():
+        plain = ((x.left_x + x.right_x) / 2, x.bottom_y, 1.0)
+        assert (x.foot_x, x.foot_y, x.visibility) == pytest.approx(plain if x.sensor_id == "z" else want[x.frame_id][1], rel=1e-9)
     run = heights.RunningHeight(AppConfig())
     assert run.add(0, [1.7] * 10) is None and run.add(700, [1.9]) is not None
     assert heights.estimate(d, {"a": (k, r, t)}, AppConfig()).count() <= 1 and F is not None
