@@ -16,9 +16,11 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
-def connected_components(edges: DataFrame, rounds: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame, rounds: int = 100, kept: list[str] | None = None) -> DataFrame:
     """(node, label) of every node of ``edges`` (a, b); the label is the smallest node of its component.
 
+    The folder that the result reads is added to ``kept``, for the caller to remove; all others are removed here.
+
     In each round a node takes the smallest label among its own, its
     neighbours' and the label of that label, so long chains shrink to half
     their length or less; labels are written to the shared folder after each
@@ -45,4 +47,7 @@ def connected_components(edges: DataFrame, rounds: int = 100) -> DataFrame:
             break
     else:
         raise RuntimeError(f"labels still change after {rounds} rounds")
+    drop_path(spark, both_path)
+    if kept is not None:
+        kept.append(path)
     return labels

@@ -394,9 +394,11 @@ def _classes(docs: DataFrame, size: int, threshold: float, bands: int, rows: int
     # so that a large group has about an edge for each member and not one for each band.
     stars = stars.withColumn("b", F.min("pivot").over(Window.partitionBy("node")))
     stars = stars.select(F.explode(F.array("node", "pivot")).alias("a"), "b").where("a <> b").distinct()
-    labels = connected_components(stars).select("node", F.col("label").alias("group")).join(reps.select("node", "n"), "node")
+    first_labels: list[str] = []
+    labels = connected_components(stars, kept=first_labels).select("node", F.col("label").alias("group")).join(reps.select("node", "n"), "node")
     sizes = labels.groupBy("group").agg(((F.count("*") > block) | (F.sum("n") > BLOCK_SHINGLES)).alias("large"))
     groups = keep(labels.join(sizes, "group").select("node", "n", "group", "large"), "groups")
+    drop_path(spark, first_labels[0])
     release(spark)
 
     whole = F.lit(0).alias
@@ -419,7 +421,8 @@ def _classes(docs: DataFrame, size: int, threshold: float, bands: int, rows: int
     found = keep(dealt(units).mapInArrow(_verify(rule), "node long, root long, links long, docs long"), "links")
     release(spark)
 
-    joined = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    last_labels: list[str] = []
+    joined = connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")), kept=last_labels)
     links = found.groupBy("node").agg(F.sum("links").alias("n_links"), F.sum("docs").alias("linked"))
     linked = reps.join(joined, "node").select("node", F.col("label").alias("group"), "rep_id")
     linked = linked.join(linked.groupBy("group").agg(F.min("rep_id").alias("class_id")), "group").select("node", "group", "class_id").join(links, "node")
@@ -427,7 +430,7 @@ def _classes(docs: DataFrame, size: int, threshold: float, bands: int, rows: int
     out = out.select("key1", "key2", "rep_id", "th", "copies", F.coalesce("group", "node").alias("group"), F.coalesce("class_id", "rep_id").alias("class_id"), "n_links", "linked")
     for k in ("groups", "pruned"):
         drop_path(spark, paths[k])
-    return signed.select("doc_id", "th", "key1", "key2"), out, [paths[k] for k in ("signed", "representatives", "links")]
+    return signed.select("doc_id", "th", "key1", "key2"), out, [*(paths[k] for k in ("signed", "representatives", "links")), *last_labels]
 
 
 def near_duplicates(docs: DataFrame, size: int = SIZE, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, tolerance: float = TOLERANCE, block: int = BLOCK) -> DataFrame:

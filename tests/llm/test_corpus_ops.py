@@ -190,6 +190,15 @@ def test_language_model(spark, order, chunk):
             total += math.log10(own @ estimates(g, 0))
         assert r.score == pytest.approx(total, rel=2e-2)  # the weights come from rounded cells
     assert lm_scoring.score(docs_of(spark, texts).limit(0)).count() == 0
+    # Repeated rows, very long ones among them, count as often as they occur and score alike.
+    twice = docs_of(spark, [*texts[:40], prose(rng, 20_000)])
+    twice = common.stash(twice.unionByName(twice), "twice")
+    scores = collections.defaultdict(set)
+    for r in lm_scoring.score(twice, order=order, chunk_bytes=chunk).collect():
+        scores[r.doc_id].add((round(r.score, 9), r.n_tokens, r.n_known, r.train_tokens))
+    held = sum(2 * (len(SPACED.findall((t or "").translate(UP))) + 1) for i, t in enumerate([*texts[:40]]) if fold[i] != 2)
+    assert all(len(v) == 1 for v in scores.values()) and len(scores) == 41
+    assert next(iter(scores[0]))[3] == held + (2 * 20_001 if zlib.crc32(b"40") % 7 != 2 else 0)
 
 
 def labels_of(spark, rows, name):
