@@ -51,7 +51,7 @@ from . import sharedfs
 from . import textbytes as tb
 from .common import fresh_path, path_exists, table
 
-ORDER, CHUNK_BYTES, MAX_PARTS = 2, 8 << 20, 1 << 16
+ORDER, CHUNK_BYTES, MAX_PARTS = 2, 4 << 20, 1 << 16
 #: Of crc32(doc_id) mod FOLDS, the fold that is scored only, and the training fold deleted to learn the weights.
 FOLDS, HELD_OUT, DELETED = 7, 2, 5
 ROUNDS, BUCKETS, STEPS = 200, 40, 4
