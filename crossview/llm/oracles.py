@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from . import license_scan
+from . import license_scan, quality_rules
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
@@ -54,6 +54,37 @@ from d left join based using (r) left join method using (r)
 
 LICENSE_SCAN = _license_scan()
 
+def _quality_rules() -> str:
+    q = quality_rules
+    value = {  # numerator and denominator of each rule
+        "symbols": ("n_symbols", "3 * n_words"), "capitals": ("upper_", "letters"), "bare_words": ("bare", "n_words"), "stutter": ("again", "n_words"), "shouting": ("bangs", "2 * n_words"), "repeated_lines": ("n_dup_lines", "n_lines"),
+    }
+    cells = " union all ".join(f"select r, doc_id, lang, {k} as k, '{rule}' as rule, cast(ceil(least(1, cast({value[rule][0]} as double) / greatest({value[rule][1]}, 1)) * 50) as integer) as cell from m" for k, rule in enumerate(q.RULES))
+    without = lambda chars: f"length(t) - length(regexp_replace(t, '{chars}', '', 'g'))"
+    alpha, level = f"cast({q.ALPHA / len(q.RULES)!r} as double)", f"(cast({q.DELTA!r} as double) / ({len(q.RULES)} * strata))"
+    return rf"""
+with d as (select row_number() over () as r, doc_id, lang, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents
+), line as (select r, unnest(string_split(t, chr(10))) as x from d), lines as (select r, count(*) as n_lines, count(*) - count(distinct x) as n_dup_lines from line where regexp_matches(x, '[^\x20\x09-\x0D]') group by r
+), win as (select r, i, array_to_string(list_slice(w, i, i + 7), ' ') as g from (select r, w, unnest(range(1, len(w) - 6)) as i from d)
+), twice as (select r, i from (select *, count(*) over (partition by r, g) as c from win) where c > 1
+), repeats as (select r, count(distinct p) as n_repeat_words from (select r, unnest(range(i, i + 8)) as p from twice) group by r
+), m as (select r, doc_id, lang, cast(len(w) as bigint) as n_words, cast(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) as bigint) as word_chars, cast({without("[#*$%&|<>]")} as bigint) as n_symbols, coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words, coalesce(n_lines, 0) as n_lines,
+  {without("[A-Z]")} as upper_, {without("[A-Za-z]")} as letters, {without("!")} as bangs, len(list_filter(w, lambda x: not regexp_matches(x, '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]'))) as bare, len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) as again from d left join lines using (r) left join repeats using (r)
+), cell as ({cells}
+), held as (select c.*, quality from cell c join (select doc_id, min(quality) as quality from labels where doc_id is not null and quality is not null group by doc_id) using (doc_id)
+), strata as (select count(*) as strata from (select distinct lang from held)
+), hist as (select lang, rule, cell, sum(case when quality = 1 then 1 else 0 end) as good, sum(case when quality = 1 then 0 else 1 end) as bad from held group by all
+), step as (select lang, rule, i, sum(good) as n, sum(case when cell > 50 - i then good else 0 end) as a, sum(case when cell > 50 - i then bad else 0 end) as b from hist, (select unnest(range(0, 51)) as i) group by lang, rule, i
+), tail as (select *, case when a >= n then 1 else least(1, list_sum(list_transform(range(0, cast(a as bigint) + 1), lambda j: exp(lgamma(n + 1.0::double) + n * ln(1 - {alpha}) - lgamma(j + 1.0::double) - lgamma(n - j + 1.0::double) + j * (ln({alpha}) - ln(1 - {alpha})))))) end as tail from step
+), sure as (select *, min(case when n > 0 and cast(a as double) / n <= {alpha} and tail <= {level} then 1 else 0 end) over (partition by lang, rule order by i) as ok from tail, strata
+), chosen as (select lang, rule, 50 - arg_min(i, (-(b - {q.GOOD_WEIGHT!r} * a), i)) as cut from sure where ok = 1 group by lang, rule
+), out_ as (select r, string_agg(rule, ',' order by k) as rejected_by from cell join chosen using (rule) where cell.lang is not distinct from chosen.lang and cell > cut group by r)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed, not (n_words < 20 or 100 * n_repeat_words > 30 * n_words) and rejected_by is null as kept, coalesce(rejected_by, '') as rejected_by from m left join out_ using (r)
+"""
+
+
+QUALITY_RULES = _quality_rules()
+
 _B32 = " || ".join(f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast((v[{i + 1}] >> {s}) & 31 as bigint) + 1, 1)" for i in range(8) for s in (15, 10, 5, 0))
 #: Digests as base32 of SHA-1: eight groups of 20 bits, four letters each.
 WARC = f"""

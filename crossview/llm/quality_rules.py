@@ -225,4 +225,4 @@ def filter_quality(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, del
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = filter_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return out.select("doc_id", *_BASE, "base_failed", "kept", "rejected_by")
+    return out.select("doc_id", *_BASE, "base_failed", "kept", F.array_join("rejected_by", ",").alias("rejected_by"))

@@ -22,6 +22,7 @@ QUERIES = {
 }
 ORACLES = {
     "op3_jaccard_join": oracles.JACCARD_JOIN,
+    "op4_quality_rules": oracles.QUALITY_RULES,
     "op7_license_scan": oracles.LICENSE_SCAN,
     "op8_decontaminate": decontaminate.ORACLE,
     "op10_warc": oracles.WARC,
