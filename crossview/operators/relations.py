@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpointed
-
 
 def as_of(left: DataFrame, right: DataFrame, keys: list[str], order: str, values: list[str], forward: bool = False) -> DataFrame:
     """For each left row the values of the last right row of its key at or before it (``forward``: the next at or after).
@@ -121,21 +119,3 @@ def mode_vote(votes: DataFrame, key: str, value: str) -> DataFrame:
     """The most frequent value of each key, the smallest of several."""
     n = votes.groupBy(key, value).agg(F.count("*").alias("votes"))
     return latest(n, [key], [F.col("votes").desc(), F.col(value)])
-
-
-def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
-    """(node, label): the smallest node of each component; labels are checkpointed in each round."""
-    both = edges.select(F.col("a").alias("src"), F.col("b").alias("dst"))
-    both = both.unionByName(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    both = checkpointed(both)
-    labels = checkpointed(both.groupBy("src").agg(F.least(F.min("dst"), F.min("src")).alias("label")).withColumnRenamed("src", "node"))
-    for _ in range(max_rounds):
-        near = both.join(labels, both.dst == labels.node).groupBy("src").agg(F.min("label").alias("near"))
-        up = labels.select(F.col("node").alias("up"), F.col("label").alias("above"))
-        new = labels.join(near, labels.node == near.src).withColumn("label", F.least("label", "near")).join(up, F.col("label") == F.col("up"), "left")
-        new = checkpointed(new.select("node", F.least("label", F.coalesce("above", "label")).alias("label")))
-        done = new.join(labels.withColumnRenamed("label", "old"), "node").where("label <> old").limit(1).count() == 0
-        labels = new
-        if done:
-            return labels
-    raise RuntimeError("components did not settle")

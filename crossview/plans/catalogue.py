@@ -15,6 +15,7 @@ from ..config import PreprocessingConfig
 from ..functions import columns as C
 from ..operators import relations as R
 from ..operators import tracks as K
+from ..operators.components import connected_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -551,7 +552,7 @@ def q58_components(s, d):
     e = det(s, d).withColumns({"next": F.lead("event_id").over(by), "wait": us(F.lead("ts").over(by)) - us("ts")})
     # Each event and the next one of its object, or itself if that comes too late.
     e = e.select(F.col("event_id").alias("a"), F.when(F.col("wait") <= GAP * 1_000_000, F.col("next")).otherwise(F.col("event_id")).alias("b"))
-    return R.components(e).select("node", "label")
+    return connected_components(e).select("node", "label")
 
 
 @query("select p_brand, count(*) as n, sum(l_quantity) as qty from lineitem join part on l_partkey = p_partkey group by p_brand", "")

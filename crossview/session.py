@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -42,6 +43,24 @@ def fresh_folder(spark: SparkSession, tag: str) -> str:
     return f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to a folder and read back: its lineage ends there, and it survives lost executors."""
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of plans that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the checkpoint folder, so that its lineage ends there."""
     context = df.sparkSession.sparkContext

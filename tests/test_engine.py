@@ -14,6 +14,7 @@ from crossview.operators import evaluation as E
 from crossview.operators import relations as R
 from crossview.operators import tables as TB
 from crossview.operators import tracks as K
+from crossview.operators.components import connected_components
 from crossview.plans import catalogue as Q
 from crossview.plans import pipelines as P
 from crossview.sources import detections as S
@@ -112,7 +113,7 @@ def test_relations(spark):
     sets = R.stabbing(iv, "s", "id", "a", "b")
     assert sorted(tuple(r.members) for r in R.maximal_sets(sets, "s", "members").collect()) == [("x", "y"), ("z",)]
     edges = spark.createDataFrame([(i, i + 1) for i in range(30)] + [(100, 101)], "a long, b long")
-    assert {r.label for r in R.components(edges).collect()} == {0, 100}
+    assert {r.label for r in connected_components(edges).collect()} == {0, 100}
 
 
 def test_tracklet_sets_are_of_the_whole_table(spark):
