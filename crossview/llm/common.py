@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import fresh_folder, remove_folder, written
+
 
 def fold(column: str | Column, buckets: int) -> Column:
     """crc32 of the id written as text, modulo ``buckets`` (null ids fall in fold 0)."""
@@ -15,35 +14,14 @@ def fold(column: str | Column, buckets: int) -> Column:
     return F.coalesce(F.crc32(F.encode(col.cast("string"), "UTF-8")) % F.lit(buckets), F.lit(0)).cast("int")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share, as the session names it.
-
-    On a cluster this is ``spark.checkpoint.dir``. Only where no such setting
-    exists (local tests) a temporary folder of this machine is used.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = jdir.get() if jdir.isDefined() else None
-    if not found:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
 def fresh_path(spark: SparkSession, tag: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    """A new path below the folder that driver and executors share, as the session names it."""
+    return fresh_folder(spark, tag)
 
 
 def stash(df: DataFrame, tag: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = path or fresh_path(spark, tag)
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written(df, path or fresh_path(df.sparkSession, tag))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -54,9 +32,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a folder below the shared folder once nothing reads it any more."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    remove_folder(spark, path)
 
 
 def text_verdict(docs: DataFrame, decide, kind: str = "boolean") -> Column:

@@ -1,53 +1,8 @@
-"""Connected components of an edge table, by smallest labels and pointer jumping."""
+"""Connected components, as the rest of the library has them."""
 
 from __future__ import annotations
 
-import gc
+from ..operators.components import connected_components
+from ..session import release
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from .common import drop_path, fresh_path, stash
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
-def connected_components(edges: DataFrame, rounds: int = 100, kept: list[str] | None = None) -> DataFrame:
-    """(node, label) of every node of ``edges`` (a, b); the label is the smallest node of its component.
-
-    The folder that the result reads is added to ``kept``, for the caller to remove; all others are removed here.
-
-    In each round a node takes the smallest label among its own, its
-    neighbours' and the label of that label, so long chains shrink to half
-    their length or less; labels are written to the shared folder after each
-    round. Ends when no label changes.
-    """
-    spark = edges.sparkSession
-    both = edges.select(F.col("a").alias("src"), F.col("b").alias("dst")).where("src <> dst")
-    both_path = fresh_path(spark, "edges")
-    both = stash(both.unionByName(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct(), "edges", both_path)
-    path = fresh_path(spark, "labels")
-    labels = stash(both.groupBy("src").agg(F.min("dst").alias("m")).select(F.col("src").alias("node"), F.least("src", "m").alias("label")), "labels", path)
-    for _ in range(rounds):
-        near = both.join(labels, both.dst == labels.node).select(F.col("src").alias("node"), "label")
-        near = near.unionByName(labels).groupBy("node").agg(F.min("label").alias("label"))
-        up = labels.select(F.col("node").alias("label"), F.col("label").alias("above"))
-        step = near.join(up, "label", "left").select("node", F.least("label", F.coalesce("above", "label")).alias("label"))
-        new_path = fresh_path(spark, "labels")
-        new = stash(step, "labels", new_path)
-        changed = new.join(labels.withColumnRenamed("label", "old"), "node").where("label <> old").limit(1).count()
-        drop_path(spark, path)
-        labels, path = new, new_path
-        release(spark)
-        if not changed:
-            break
-    else:
-        raise RuntimeError(f"labels still change after {rounds} rounds")
-    drop_path(spark, both_path)
-    if kept is not None:
-        kept.append(path)
-    return labels
+__all__ = ["connected_components", "release"]
