@@ -129,7 +129,7 @@ def powers(kind: str, n: int) -> np.ndarray:
         have = np.ones(max(n, 2 * BLOCK_BYTES), U64)
         have[1:] = base
         np.cumprod(have, out=have)
-        if n <= 8 * BLOCK_BYTES:  # those of a huge text are not kept
+        if n <= 2 * BLOCK_BYTES:  # those of a huge text are not kept
             _powers[kind] = have
     return have[:n]
 

@@ -173,7 +173,7 @@ def _telling(n1: int, n0: int, min_z: float, smooth: float):
 
 
 def _present(keys: np.ndarray, sizes: tuple[int, ...]):
-    """From (doc_id, label, text) each row's id and label, and the features that it has."""
+    """From (doc_id, label, text) each row's id and label, and the features that it has as 32-bit numbers."""
     model = Model(sizes, 0.0, keys, np.zeros(len(keys)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,8 +181,9 @@ def _present(keys: np.ndarray, sizes: tuple[int, ...]):
             for t in tb.blocks(b.column(2)):
                 doc, which = model.found(t)
                 ends = np.r_[0, np.cumsum(np.bincount(doc, minlength=t.n))]
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(which, pa.int64()))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(t.first, t.n), b.column(1).slice(t.first, t.n), lists], ["doc_id", "label", "has"])
+                raw = which.astype(np.int32).tobytes()
+                has = pa.array([raw[4 * a : 4 * e] for a, e in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(t.first, t.n), b.column(1).slice(t.first, t.n), has], ["doc_id", "label", "has"])
 
     return run
 
@@ -196,7 +197,7 @@ class Rows:
     scale: np.ndarray
 
     def __post_init__(self) -> None:
-        own = np.repeat(np.arange(len(self.start) - 1), np.diff(self.start))
+        own = np.repeat(np.arange(len(self.start) - 1, dtype=np.int32), np.diff(self.start))
         order = np.argsort(self.column, kind="stable")
         self._by_column, self._ends = own[order], np.searchsorted(self.column[order], np.arange(len(self.scale) + 1))
 
@@ -255,10 +256,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, keep, per_class: int = P
     keys = telling.key.to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     keys, ratio = keys[order], telling.ratio.to_numpy()[order]
-    rows = texts.select("doc_id", "label", "text").mapInArrow(_present(keys, sizes), "doc_id long, label int, has array<long>").collect()
+    rows = texts.select("doc_id", "label", "text").mapInArrow(_present(keys, sizes), "doc_id long, label int, has binary").collect()
     drop_path(spark, path)
     rows.sort(key=lambda r: r.doc_id)
-    x = Rows(np.array([k for r in rows for k in r.has], np.int64), np.r_[0, np.cumsum([len(r.has) for r in rows])], ratio)
+    x = Rows(np.frombuffer(b"".join(r.has for r in rows), np.int32), np.r_[0, np.cumsum([len(r.has) // 4 for r in rows])], ratio)
     weights, intercept = logistic(x, np.array([r.label for r in rows], np.float64), ridge)
     intercept += np.log(prior / (1 - prior)) - np.log(n1 / n0)
     return Model(sizes, float(intercept), keys, weights * ratio)
