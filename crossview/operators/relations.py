@@ -35,17 +35,22 @@ def next_fill(rows: DataFrame, keys: list[str], order: str, value: str, out: str
 def stabbing(intervals: DataFrame, key: str, ident: str, start: str, end: str, bin_seconds: int | None = None, points: DataFrame | None = None) -> DataFrame:
     """The sets of intervals of a key that hold at some interval's start or end: (key, at, members sorted).
 
-    With ``bin_seconds`` (for timestamps) points and intervals meet by time bin as well, an interval in every
-    bin that it touches. ``points`` (key, at) are other points to look at.
+    With ``bin_seconds`` (for timestamps) a key's intervals are put together by time bin first, each in every bin that it
+    touches, sorted by ident; a point then takes those of its bin that hold. So what is shuffled grows with the intervals
+    and not with the members listed, and a row is no longer than a set may be. ``points`` (key, at) are other points to
+    look at. An ident names one interval.
     """
     if points is None:
         points = intervals.select(key, F.explode(F.array(start, end)).alias("at"))
-    points, on = points.distinct(), [key]
-    if bin_seconds:
-        bin_of = lambda c: F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / bin_seconds)
-        points, on = points.withColumn("_bin", bin_of("at")), [key, "_bin"]
-        intervals = intervals.withColumn("_bin", F.explode(F.sequence(bin_of(start), bin_of(end))))
-    return points.join(intervals, on).where((F.col("at") >= F.col(start)) & (F.col("at") <= F.col(end))).groupBy(key, "at").agg(F.array_sort(F.collect_set(ident)).alias("members"))
+    points = points.distinct()
+    if not bin_seconds:
+        return points.join(intervals, key).where((F.col("at") >= F.col(start)) & (F.col("at") <= F.col(end))).groupBy(key, "at").agg(F.array_sort(F.collect_set(ident)).alias("members"))
+    bin_of = lambda c: F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / bin_seconds)
+    own = F.struct(F.col(ident).alias("i"), F.col(start).alias("s"), F.col(end).alias("e"))
+    bins = intervals.select(key, own.alias("_own"), F.explode(F.sequence(bin_of(start), bin_of(end))).alias("_bin")).groupBy(key, "_bin").agg(F.array_sort(F.collect_list("_own")).alias("_held"))
+    held = F.filter("_held", lambda x: (x["s"] <= F.col("at")) & (x["e"] >= F.col("at")))
+    found = points.withColumn("_bin", bin_of("at")).join(bins, [key, "_bin"]).select(key, "at", F.transform(held, lambda x: x["i"]).alias("members"))
+    return found.where(F.size("members") > 0)
 
 
 def maximal_stabbing(intervals: DataFrame, key: str, ident: str, start: str, end: str, bin_seconds: int | None = None) -> DataFrame:
