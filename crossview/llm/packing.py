@@ -110,7 +110,8 @@ class Tokenised:
     def _encode_words(self, new: list[str]) -> list[np.ndarray]:
         plain = [i for i, u in enumerate(new) if (u.isascii() and u.isalpha()) or self.letters.fullmatch(u)]
         out: list[np.ndarray | None] = [None] * len(new)
-        ids = np.array(self.bare.encode(" ".join([new[i].lower() for i in plain]), add_special_tokens=False).ids, "<u4") if plain else np.empty(0, "<u4")
+        joined = " ".join([new[i].lower() for i in plain])
+        ids = np.array(self.bare.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4") if plain else np.empty(0, "<u4")
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) == len(plain):
             for i, a, b in zip(plain, [0, *stops[:-1].tolist()], stops.tolist(), strict=True):
