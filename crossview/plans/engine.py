@@ -609,3 +609,15 @@ def q111_rectified_feet(s, d):
     poses = _poses()
     rows = heights.rectified(detections(s, d), poses, dict.fromkeys(poses, 1.75), AppConfig())
     return rows.select("event_id", F.round("foot_x", 4).alias("x"), F.round("foot_y", 4).alias("y"), F.round("visibility", 5).alias("seen"))
+
+
+@query("select event_id, lx + w - 1 as right_x, ty + h - 1 as bottom_y, round(cast(lx as double) / 7, 2) as share from det")
+def q112_truth_corners(s, d):
+    truth = det(s, d).select("event_id", F.col("lx").alias("X"), F.col("ty").alias("Y"), F.col("w").alias("Width"), F.col("h").alias("Height"), (F.col("lx").cast("double") / 7).alias("share"))
+    return TB.rounded_attributes(TB.truth_corners(truth)).select("event_id", "right_x", "bottom_y", "share")
+
+
+@query("""select tid, cast(sum(case when start_us - ended > 432000000000 then 1 else 0 end) over (partition by object_id order by start_us, tid rows unbounded preceding) as bigint) as run from (select tid, object_id, epoch_us(s) as start_us, max(epoch_us(e)) over (partition by object_id order by epoch_us(s), tid rows between unbounded preceding and 1 preceding) as ended from tracklet)""", SEG)
+def q113_stitched_runs(s, d):
+    t = tracklets(s, d).select(F.col("object_id").alias("id"), F.col("tid").alias("key"), F.col("s").alias("start"), F.col("e").alias("end"))
+    return K.stitch(t, 5 * DAY).select(F.col("key").alias("tid"), F.col("run").cast("long").alias("run"))

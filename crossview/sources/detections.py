@@ -308,12 +308,6 @@ def configured_stream(spark: SparkSession, config: AppConfig, topic: str, notifi
     return spark.readStream.format("kafka").options(**kafka_options(config, topic, notifications)).load()
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str, max_records: int | None = None) -> DataFrame:
-    """A raw topic from its latest offsets on; needs Spark's Kafka connector among the jars."""
-    reader = spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic).option("startingOffsets", "latest").option("failOnDataLoss", "false")
-    return (reader.option("maxOffsetsPerTrigger", max_records) if max_records else reader).load()
-
-
 def replay_stream(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
     """Logs of a folder as a stream of lines, a few files a batch."""
     return spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch).load(folder)

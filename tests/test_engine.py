@@ -418,6 +418,41 @@ def test_sinks_and_tables(spark):
     assert [(r.first_frame, r.last_frame) for r in runs] == [(1, 3), (7, 8)]
 
 
+def test_text_round_trips(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 7, 10, 20, 5, 6), (2, -1, 1, 2, 3, 4)], "frame int, id int, x int, y int, w int, h int")
+    W.write_mot_rows(rows, f"file://{tmp_path}/mot")
+    assert [tuple(r) for r in S.read_mot_rows(spark, f"file://{tmp_path}/mot", ["f", "i", "x", "y", "w", "h"]).collect()] == [(1, 7, 10, 20, 5, 6)]
+    (tmp_path / "log").write_text("b'{\"frameId\": 3, \"timestamp\": \"2024-01-01T00:00:00.500Z\"}'\n{\"frameId\": 4}\n")
+    assert sorted(r.frame_id for r in S.read_rtls_log(spark, f"file://{tmp_path}/log").collect()) == [3, 4]
+    lines = spark.createDataFrame([('{"sensorId":"a","x":1}',), ('{"sensorId":""}',), ('{"sensorId":"b"}',), ("{}",)], "value string")
+    W.split_by_sensor(lines, f"file://{tmp_path}/split")
+    back = spark.read.text(f"file://{tmp_path}/split")
+    assert sorted((r.sensorId, r.value) for r in back.collect()) == [("a", '{"sensorId":"a","x":1}'), ("b", '{"sensorId":"b"}')]
+    for broken in (lambda: S.configured_stream(spark, cfg.AppConfig(), "t"), lambda: W.write_configured(lines, cfg.AppConfig())):  # without the connector jar
+        with pytest.raises(Exception, match="(?i)kafka"):
+            broken()
+
+
+def test_calibration_errors_and_angles(spark):
+    from crossview.operators import calibration as CA
+
+    errors = CA.reprojection_errors(spark, P.scene()[1]).collect()
+    assert len(errors) == 8 and max(max(abs(v) for v in r if isinstance(v, float) and abs(v) < 1e-3) for r in errors) < 1e-3
+    for axis in range(3):
+        v = np.zeros(3)
+        v[axis] = 0.4
+        assert CA.euler_degrees(CA.rotation(v)) == pytest.approx(np.degrees(v))
+
+
+def test_appearance_alone():
+    rng = np.random.default_rng(1)
+    unit = lambda v: v / np.linalg.norm(v)
+    faces = np.eye(4)[:3]
+    rows = [G.Behavior(f"{s}{p}", s, str(p), p, 10, unit(faces[p] + 0.05 * rng.normal(size=4))) for s in ("a", "b") for p in range(3)]
+    labels = dict(zip([b.key for b in sorted(rows, key=lambda b: b.order)], G.appearance_only(rows, 3, 0.3), strict=True))
+    assert all(labels[f"a{p}"] == labels[f"b{p}"] for p in range(3)) and len(set(labels.values())) == 3
+
+
 def test_config():
     with pytest.raises(ValueError):
         cfg.load_config({"clustering": {"nope": 1}})
