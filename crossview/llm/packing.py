@@ -24,6 +24,7 @@ packed one by one; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import heapq
+import os
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -47,6 +48,8 @@ POOL_WINDOWS, SLACK = 128, 0.006
 CACHE = 1_000_000
 
 _SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
+#: New words that are encoded at a time.
+_WORDS = 8192
 _PLAIN = np.array([chr(i).isalnum() and i < 128 for i in range(256)])
 _tokenizers: dict[str, Tokenised] = {}
 
@@ -71,6 +74,7 @@ class Tokenised:
     """
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task is one thread; others only hold memory
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
@@ -110,8 +114,11 @@ class Tokenised:
     def _encode_words(self, new: list[str]) -> list[np.ndarray]:
         plain = [i for i, u in enumerate(new) if (u.isascii() and u.isalpha()) or self.letters.fullmatch(u)]
         out: list[np.ndarray | None] = [None] * len(new)
-        joined = " ".join([new[i].lower() for i in plain])
-        ids = np.array(self.bare.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4") if plain else np.empty(0, "<u4")
+        parts = [np.empty(0, "<u4")]
+        for k in range(0, len(plain), _WORDS):  # an encoding takes much more memory than its ids
+            joined = " ".join([new[i].lower() for i in plain[k : k + _WORDS]])
+            parts.append(np.array(self.bare.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4"))
+        ids = np.concatenate(parts)
         stops = np.flatnonzero(self.ends[ids]) + 1
         if len(stops) == len(plain):
             for i, a, b in zip(plain, [0, *stops[:-1].tolist()], stops.tolist(), strict=True):
@@ -290,7 +297,7 @@ def _pack(path: str, capacity: int, max_piece: int, pool_windows: int, slack: fl
         tokens: dict[int, int] = {}
         for b in batches:
             text = b.column(1)
-            for t in tb.blocks(text, 2 << 20):
+            for t in tb.blocks(text):
                 own = b.slice(t.first, t.n)
                 for doc, raw in zip(own.column(0).to_pylist(), encoder.encode(t), strict=True):
                     ids[row], tokens[row] = doc, len(raw) // 4 + 1
