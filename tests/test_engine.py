@@ -305,6 +305,9 @@ def test_summary_and_details(spark, tmp_path):
     E.write_summary(m, f"file://{tmp_path}/s")
     text = spark.read.csv(f"file://{tmp_path}/s", sep=" ", header=True).first()
     assert text.asDict()["MOTP"] == "80" and text["CLR_TP"] == "3" and list(text.asDict()) == E.SUMMARY
+    values = [0.123456, 1.0, 0.0, 1.234e-7, 0.5, 0.99999999, 12.3]
+    got = spark.createDataFrame([(v,) for v in values], "v double").select(E._five_digits(F.col("v")).alias("t")).collect()
+    assert [float(r.t) for r in got] == [float(f"{v:.5g}") for v in values] and [r.t for r in got if "e" not in r.t] == [f"{v:.5g}" for v in values if "e" not in f"{v:.5g}"]
     E.write_detailed(m, f"file://{tmp_path}/d")
     back = {(r.seq, r.metric): r.value for r in E.read_detailed(spark, f"file://{tmp_path}/d").collect()}
     first = {(r.seq, r.metric): r.value for r in m.collect()}

@@ -97,15 +97,15 @@ def test_command_line(spark, tmp_path):
     (tmp_path / "config.json").write_text(json.dumps(own))
     cli.main(["mtmc-batch", "--config", str(tmp_path / "config.json"), "--calibration", f"file://{tmp_path}/calibration.json", "--output", f"file://{tmp_path}/out2"])
     got = {(r.seq, r.metric): r.text for r in spark.read.json(f"file://{tmp_path}/out2-accuracy").collect()}
-    assert got["MTMC", "IDF1"] == got["Cam01", "HOTA"] == got["COMBINED", "MOTA"] == "100.00"
+    assert got["MTMC", "IDF1"] == got["Cam01", "HOTA"] == got["COMBINED", "MOTA"] == "100"
     assert spark.read.json(f"file://{tmp_path}/debug/frames").count() == len(lines) and (tmp_path / "debug" / "behaviors").exists()
     own["io"] |= {"groundTruthFrameIdOffset": 40}
     (tmp_path / "config.json").write_text(json.dumps(own))
     cli.main(["mtmc-batch", "--config", str(tmp_path / "config.json"), "--calibration", f"file://{tmp_path}/calibration.json", "--output", f"file://{tmp_path}/out3"])
-    assert {(r.seq, r.metric): r.text for r in spark.read.json(f"file://{tmp_path}/out3-accuracy").collect()}["MTMC", "HOTA"] != "100.00"
+    assert {(r.seq, r.metric): r.text for r in spark.read.json(f"file://{tmp_path}/out3-accuracy").collect()}["MTMC", "HOTA"] != "100"
     (tmp_path / "mot.txt").write_text("1 1 0 0 10 10\n2 1 0 0 10 10\n")
     cli.main(["evaluate", "--input", f"file://{tmp_path}/mot.txt", "--ground-truth", f"file://{tmp_path}/mot.txt", "--output", f"file://{tmp_path}/eval"])
-    assert {r.text for r in spark.read.json(f"file://{tmp_path}/eval").where("metric in ('HOTA', 'MOTA', 'IDF1')").collect()} == {"100.00"}
+    assert {r.text for r in spark.read.json(f"file://{tmp_path}/eval").where("metric in ('HOTA', 'MOTA', 'IDF1')").collect()} == {"100"}
 
 
 def test_control_messages(spark, tmp_path):
