@@ -1,6 +1,7 @@
 import collections
 import datetime as dt
 import itertools
+import os
 import random
 
 import numpy as np
@@ -382,7 +383,9 @@ def test_state_tables(spark):
 
 def test_stream_of_several_batches(spark, tmp_path):
     """Of each segment the row of the last batch that touched it."""
-    spark.read.parquet("/root/testdata/sf0.001/events.parquet").orderBy("ts").repartitionByRange(3, "ts").write.option("maxRecordsPerFile", 1000).parquet(f"file://{tmp_path}/events.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").orderBy("ts").repartitionByRange(3, "ts").write.parquet(f"file://{tmp_path}/events.parquet")
+    for k, f in enumerate(sorted((tmp_path / "events.parquet").glob("part-*"))):  # the order in which the stream takes them
+        os.utime(f, (1_700_000_000 + 60 * k,) * 2)
     from crossview.functions import columns as C
 
     def plan(p):
