@@ -217,10 +217,12 @@ def _write_index(folder: str, block_lines: int):
 
 @dataclass
 class Archive:
-    """What a reader needs: the index shards in key order (first key, last key, name without suffix)."""
+    """What a reader needs: the index shards in key order (first key, last key, name without suffix), and how many records of how many bytes there are."""
 
     folder: str
     shards: list[tuple[str, str, str]]
+    records: int = 0
+    size: int = 0
 
 
 def write(pages: DataFrame, folder: str | None = None, min_bytes: int = MIN_BYTES, block_lines: int = BLOCK_LINES) -> Archive:
@@ -236,7 +238,8 @@ def write(pages: DataFrame, folder: str | None = None, min_bytes: int = MIN_BYTE
     catalogue = stash(joined.mapInArrow(_write(f"{folder}/archive"), _CATALOGUE), "catalogue", f"{folder}/catalogue")
     ordered = catalogue.repartitionByRange("key", "file", "start").sortWithinPartitions("key", "file", "start")
     shards = ordered.mapInArrow(_write_index(f"{folder}/index", block_lines), "first string, last string, shard string").collect()
-    return Archive(folder, sorted((r["first"], r["last"], r["shard"]) for r in shards))
+    held = catalogue.agg(F.count("*").alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("size")).first()
+    return Archive(folder, sorted((r["first"], r["last"], r["shard"]) for r in shards), held["n"], held["size"])
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,11 +335,12 @@ def lookup(archive: Archive, wanted: DataFrame) -> DataFrame:
 
     Numbers of tasks are given, as Spark would judge them by the small rows that name a capture and not by what is read.
     """
-    keys = stash(wanted.select(F.col("url"), F.col("page_id").cast("long")).mapInArrow(_keys, "key string").distinct(), "keys")
-    tasks = -(-keys.count() // TASK_KEYS) or 1
+    asked = wanted.count()
+    keys = wanted.select(F.col("url"), F.col("page_id").cast("long")).mapInArrow(_keys, "key string").distinct()
+    tasks = -(-asked // TASK_KEYS) or 1
     places = keys.repartitionByRange(tasks, "key").sortWithinPartitions("key").mapInArrow(_locate(archive.shards), "file string, start long, length long")
-    places = stash(places, "places")
-    tasks = -(-(places.agg(F.sum("length")).first()[0] or 0) // TASK_BYTES) or 1
+    share = min(1.0, asked / max(archive.records, 1))  # of the archive's bytes, if its records are alike
+    tasks = max(1, -int(-archive.size * share // TASK_BYTES))
     return places.repartitionByRange(tasks, "file", "start").sortWithinPartitions("file", "start").mapInArrow(_fetch, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
