@@ -26,10 +26,22 @@ def as_of(left: DataFrame, right: DataFrame, keys: list[str], order: str, values
     return both.select(*left.columns, *[F.col("_found")[v].alias(v) for v in values])
 
 
-def next_fill(rows: DataFrame, keys: list[str], order: str, value: str, out: str) -> DataFrame:
-    """The next known value at or after each row."""
-    by = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return rows.withColumn(out, F.first(value, True).over(by))
+def next_fill(rows: DataFrame, keys: list[str], order: str, value: str, out: str, bin_of: Column | None = None) -> DataFrame:
+    """The next known value at or after each row, as a running last value from the end on.
+
+    With ``bin_of`` (which never falls along the order, nulls first) a key's rows are dealt out by bin; a row that closes
+    each bin holds the first known value of the later ones.
+    """
+    back = lambda *by: Window.partitionBy(*by).orderBy(F.desc("_close"), F.desc(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = rows.withColumns({"_value": F.col(value), "_close": F.lit(False)})
+    if bin_of is None:
+        return own.withColumn(out, F.last("_value", True).over(back(*keys))).drop("_value", "_close")
+    own = own.withColumn("_bin", bin_of)
+    first = own.groupBy(*keys, "_bin").agg(F.min_by("_value", F.when(F.col("_value").isNotNull(), F.col(order))).alias("_first"))
+    later = F.last("_first", True).over(Window.partitionBy(*keys).orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1))
+    closing = first.select(*keys, "_bin", later.alias("_value"), F.lit(True).alias("_close")).where("_value is not null")
+    filled = own.unionByName(closing, allowMissingColumns=True).withColumn(out, F.last("_value", True).over(back(*keys, "_bin")))
+    return filled.where("not _close").drop("_value", "_close", "_bin")
 
 
 def stabbing(intervals: DataFrame, key: str, ident: str, start: str, end: str, bin_seconds: int | None = None, points: DataFrame | None = None) -> DataFrame:

@@ -117,6 +117,19 @@ def test_relations(spark):
     assert {r.label for r in connected_components(edges).collect()} == {0, 100}
 
 
+def test_next_fill_reads_back_and_by_bin(spark):
+    rows = [(k, at, at * 10 if at is not None and (at * 7 + len(k or "")) % 5 == 0 else None) for k in ("a", "bb", None) for at in (None, *range(40)) if k != "bb" or at != 3]
+    d = spark.createDataFrame(rows, "k string, at int, v int").repartition(3)
+    number = lambda at: -1 if at is None else at
+    want = {(k, at): next((x for j, b, x in sorted((r for r in rows if r[0] == k), key=lambda r: number(r[1])) if number(b) >= number(at) and x is not None), None) for k, at, _ in rows}
+    for bin_of in (None, F.floor(F.col("at") / 4), F.lit(0), F.col("at")):
+        filled = R.next_fill(d, ["k"], "at", "v", "next", bin_of)
+        got = filled.collect()
+        assert filled.columns == ["k", "at", "v", "next"] and len(got) == len(rows) and {(r.k, r["at"]): r.next for r in got} == want
+        plan = filled._jdf.queryExecution().executedPlan().toString()
+        assert "unboundedfollowing" not in plan.lower()  # Spark reads such a frame again for every row
+
+
 def test_tracklet_sets_are_of_the_whole_table(spark):
     d = "/root/testdata/sf0.001"
     rows = Q.tracklets(spark, d).collect()
