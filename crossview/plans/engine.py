@@ -25,6 +25,8 @@ from ..streaming import state as ST
 from .catalogue import BOX, DAY, DET, GAP, HEIGHT, ROI, SEG, WIDTH, H, det, placed, query, segmented, tracklets, us
 from .catalogue import _HOM as HOM
 
+#: Lines of a log that are looked through together.
+LINES = 65536
 text = lambda c: F.col(c).cast("string")
 AREA = (2.0, 4.0), (14.0, 5.0), (13.0, 18.0), (3.0, 17.0)
 
@@ -100,7 +102,7 @@ def q66_rtls_log(s, d):
 def q67_robot_frames(s, d):
     value = F.when(F.col("event_type") == "click", F.to_json(F.struct(F.array(F.lit(1)).alias("locationsOfObjects")))).otherwise(F.to_json(F.struct(text("event_id").alias("id"))))
     lines = det(s, d).select(F.col("sensor_id").alias("log"), "event_id", value.alias("value"))
-    return S.robot_frames(lines, "event_id").select("event_id", F.coalesce("frame_id", F.lit(-1)).alias("frame_id"))
+    return S.robot_frames(lines, "event_id", F.floor(F.col("event_id") / LINES)).select("event_id", F.coalesce("frame_id", F.lit(-1)).alias("frame_id"))
 
 
 @query("select event_id from det where event_type <> 'view' and object_id in (select object_id from det where event_type = 'click')")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import AppConfig
 from ..functions import columns as C
+from ..operators.relations import next_fill
 from ..schema import FRAME, GROUND_TRUTH, OBJECT
 
 _RAW = T.StructType().add("version", "string").add("id", "string").add("@timestamp", "string").add("sensorId", "string").add("objects", T.ArrayType(T.StringType()))
@@ -261,12 +262,14 @@ def read_rtls_log(spark: SparkSession, path: str) -> DataFrame:
     return rtls_rows(_log_lines(spark, path))
 
 
-def robot_frames(lines: DataFrame, order: str) -> DataFrame:
-    """Robot lines of a mixed log, each with the frame id of the next person line; ``lines`` has log, order and value."""
+def robot_frames(lines: DataFrame, order: str, bin_of: Column | None = None) -> DataFrame:
+    """Robot lines of a mixed log, each with the frame id of the next person line; ``lines`` has log, order and value.
+
+    ``bin_of`` deals a log's lines out, as in :func:`~crossview.operators.relations.next_fill`. Each line is parsed before that.
+    """
     own = F.get_json_object("value", "$.locationsOfObjects")
-    person = F.when(own.isNull(), F.get_json_object("value", "$.id").cast("long"))
-    by = Window.partitionBy("log").orderBy(order).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return lines.withColumn("frame_id", F.first(person, True).over(by)).where(own.isNotNull())
+    parsed = lines.withColumns({"_robot": own.isNotNull(), "_person": F.when(own.isNull(), F.get_json_object("value", "$.id").cast("long"))})
+    return next_fill(parsed, ["log"], order, "_person", "frame_id", bin_of).where("_robot").drop("_robot", "_person")
 
 
 def crossing_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -130,6 +130,16 @@ def test_next_fill_reads_back_and_by_bin(spark):
         assert "unboundedfollowing" not in plan.lower()  # Spark reads such a frame again for every row
 
 
+def test_robot_frames_take_the_next_person_line(spark):
+    values = {1: '{"id":"3"}', 2: '{"locationsOfObjects":[1]}', 3: '{"locationsOfObjects":[]}', 4: "not json", 8: '{"id":"5"}', 9: '{"locationsOfObjects":[2]}', 10: None}
+    d = spark.createDataFrame([(log, i, v) for log in ("a", "b") for i, v in values.items() if log == "a" or i != 8], "log string, i long, value string")
+    for bin_of in (None, F.floor(F.col("i") / 2), F.col("i")):
+        found = S.robot_frames(d, "i", bin_of)
+        assert found.columns == ["log", "i", "value", "frame_id"]
+        assert {(r.log, r.i): r.frame_id for r in found.collect()} == {("a", 2): 5, ("a", 3): 5, ("a", 9): None, ("b", 2): None, ("b", 3): None, ("b", 9): None}
+        assert "unboundedfollowing" not in found._jdf.queryExecution().executedPlan().toString().lower()
+
+
 def test_tracklet_sets_are_of_the_whole_table(spark):
     d = "/root/testdata/sf0.001"
     rows = Q.tracklets(spark, d).collect()
