@@ -77,6 +77,23 @@ def maximal_stabbing(intervals: DataFrame, key: str, ident: str, start: str, end
     return stabbing(intervals, key, ident, start, end, bin_seconds, peaks)
 
 
+def largest_stabbing(intervals: DataFrame, key: str, start: str, end: str, bin_seconds: int) -> DataFrame:
+    """The most intervals of a key that hold at one time: (key, k), as the largest set of :func:`stabbing` is.
+
+    A running count of starts less earlier ends; no set is made. A key's times are dealt out by bin, each
+    opened by what the earlier bins leave.
+    """
+    own = intervals.where(F.col(key).isNotNull() & (F.col(start) <= F.col(end)))
+    ends = own.select(key, F.explode(F.array(F.struct(F.col(start).alias("at"), F.lit(1).alias("s"), F.lit(0).alias("e")), F.struct(F.col(end).alias("at"), F.lit(0).alias("s"), F.lit(1).alias("e")))).alias("_t"))
+    times = ends.groupBy(key, F.col("_t.at").alias("_at")).agg(F.sum("_t.s").alias("_starts"), F.sum("_t.e").alias("_ends"))
+    times = times.withColumns({"_bin": F.floor(F.unix_seconds(F.col("_at").cast("timestamp")) / bin_seconds), "_change": F.col("_starts") - F.col("_ends")})
+    left = F.sum("_change").over(Window.partitionBy(key).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1))
+    opening = times.groupBy(key, "_bin").agg(F.sum("_change").alias("_change")).select(key, "_bin", left.alias("_change"), F.lit(0).alias("_ends"))
+    by = Window.partitionBy(key, "_bin").orderBy(F.col("_at").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    holding = times.unionByName(opening, allowMissingColumns=True).select(key, (F.sum("_change").over(by) + F.col("_ends")).alias("_k"))
+    return holding.groupBy(key).agg(F.max("_k").cast("int").alias("k"))
+
+
 def maximal_sets(sets: DataFrame, key: str, members: str) -> DataFrame:
     """Distinct sets of a key that are not part of another one.
 

@@ -192,6 +192,19 @@ def test_maximal_stabbing_with_ties(spark):
     assert sorted((r.k, r.members) for r in got) == sorted((r.k, r.members) for r in want)
 
 
+def test_largest_stabbing_counts_without_sets(spark):
+    rng = np.random.default_rng(4)
+    rows = [(f"k{i % 3}", f"i{i:02d}", ts(int(a)), ts(int(a + b))) for i, (a, b) in enumerate(zip(rng.integers(0, 40, 60), rng.integers(-2, 9, 60), strict=True))]
+    rows += [("one", "p", ts(5), ts(5)), ("never", "q", ts(5), ts(4)), ("open", "r", ts(5), None), (None, "s", ts(5), ts(6)), ("k0", "t", None, ts(6))]
+    iv = spark.createDataFrame(rows, "k string, id string, a timestamp, b timestamp")
+    want = {r.k: r.n for r in R.stabbing(iv, "k", "id", "a", "b").groupBy("k").agg(F.max(F.size("members")).alias("n")).collect()}
+    for seconds in (1, 7, 100):
+        largest = R.largest_stabbing(iv, "k", "a", "b", seconds)
+        assert {r.k: r[1] for r in largest.collect()} == want and want["one"] == 1 and "never" not in want
+    for made in (largest, Q.q27_max_group_size(spark, "/root/testdata/sf0.001")):
+        assert "collect_" not in made._jdf.queryExecution().executedPlan().toString()  # it lists no members
+
+
 def test_coexisting_groups_are_maximal():
     b = lambda k, s, e, sensor="a": G.Behavior(k, sensor, "1", s, e, np.array([1.0]))
     rows = [b("x", 0, 10), b("y", 5, 15), b("z", 12, 20), b("w", 0, 30, "b")]
