@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,6 +120,69 @@ def covering_pairs(groups: DataFrame, intervals: DataFrame, place: str, sensor:
     return g.join(i, [place, "_bin"]).where(inside).drop("_bin")
 
 
+def covering_counts(intervals: DataFrame, ident: str, place: str, sensor: str, start: str, end: str, bin_seconds: int) -> DataFrame:
+    """How many of :func:`covering_pairs` each interval has against the same table, without those that have none: (ident, covering).
+
+    No pair is made. Of the intervals that cover one, some start in its start's time bin (counted by place and that
+    bin), others start in an earlier bin and end in its end's bin (by place and that bin), and the rest start in an
+    earlier bin and end in a later one (a sum over bins, by place).
+    """
+    at = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    named = intervals.select(F.col(ident).alias("_ident"), F.col(place).alias("_place"), F.col(sensor).alias("_sensor"), at(start).alias("_s"), at(end).alias("_e"))
+    rows = named.dropna(subset=["_place", "_sensor", "_s", "_e"]).withColumns({"_i": F.floor(F.col("_s") / (bin_seconds * 1_000_000)), "_j": F.floor(F.col("_e") / (bin_seconds * 1_000_000))})
+    part = lambda kind, bin_, x, below: F.struct(F.lit(kind).alias("kind"), bin_.alias("bin"), x.alias("x"), below.alias("below"))
+    i, j, s = F.col("_i"), F.col("_j"), F.col("_s")
+    near = rows.select("_ident", "_place", "_sensor", "_e", F.explode(F.array(part("start", i, s, s), part("end", j, i, i - 1))).alias("_part")).select("_ident", "_place", "_sensor", "_e", "_part.*")
+
+    def count(pdf: pd.DataFrame, x: str, y: str, below: np.ndarray, above: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        of = lambda k: dominating(pdf[x].to_numpy()[k], pdf[y].to_numpy()[k], weight[k], below[k], above[k])
+        n = of(np.arange(len(pdf)))
+        for own in pdf.groupby("_sensor").indices.values():
+            n[own] -= of(own)
+        return n
+
+    def by_bin(pdf: pd.DataFrame) -> pd.DataFrame:
+        n = count(pdf, "x", "_e", pdf["below"].to_numpy(), pdf["_e"].to_numpy(), np.ones(len(pdf), np.int64))
+        return pd.DataFrame({"_ident": pdf["_ident"], "covering": n})[n > 0]
+
+    def over_bins(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.reset_index(drop=True)
+        n = count(pdf, "_i", "_j", pdf["_i"].to_numpy() - 1, pdf["_j"].to_numpy() + 1, pdf["_w"].to_numpy())
+        return pdf[["_place", "_sensor", "_i", "_j"]].assign(covering=n)[n > 0]
+
+    kind = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    found = near.groupBy("_place", "kind", "bin").applyInPandas(by_bin, f"_ident {kind['_ident']}, covering long")
+    cells = rows.groupBy("_place", "_sensor", "_i", "_j").agg(F.count("*").alias("_w")).groupBy("_place").applyInPandas(over_bins, f"_place {kind['_place']}, _sensor {kind['_sensor']}, _i long, _j long, covering long")
+    far = rows.join(cells, ["_place", "_sensor", "_i", "_j"]).select("_ident", "covering")
+    return found.unionByName(far).groupBy(F.col("_ident").alias(ident)).agg(F.sum("covering").alias("covering"))
+
+
+def dominating(x: np.ndarray, y: np.ndarray, weight: np.ndarray, below: np.ndarray, above: np.ndarray) -> np.ndarray:
+    """For each k the weight of all points with x <= below[k] and y >= above[k].
+
+    Points and bounds are put in order of x; at each level of a merge sort the bounds of a right half take the points of its left
+    half that come before them in order of y.
+    """
+    n = len(x)
+    bound = np.repeat([0, 1], n)
+    by_x = np.lexsort((bound, np.concatenate([x, below])))
+    at = np.empty(2 * n, np.int64)
+    at[by_x] = np.arange(2 * n)
+    w = np.concatenate([weight, np.zeros(n, np.int64)])
+    order = np.lexsort((bound, -np.concatenate([y, above])))
+    total = np.zeros(2 * n, np.int64)
+    for level in reversed(range((2 * n - 1).bit_length())):
+        half = at[order] >> level & 1
+        before = np.concatenate([[0], np.cumsum(np.where(half == 0, w[order], 0))])
+        block = at[order] >> (level + 1)
+        first = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+        opened = np.repeat(before[first], np.diff(np.append(first, 2 * n)))
+        right = half == 1
+        total[order[right]] += (before[:-1] - opened)[right]
+        order = order[np.argsort(at[order] >> level, kind="stable")]
+    return total[n:]
+
+
 def latest(rows: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in the given order."""
     return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_rn = 1").drop("_rn")

@@ -205,6 +205,23 @@ def test_largest_stabbing_counts_without_sets(spark):
         assert "collect_" not in made._jdf.queryExecution().executedPlan().toString()  # it lists no members
 
 
+def test_covering_counts_are_those_of_the_pairs(spark):
+    rng = np.random.default_rng(5)
+    rows = [(f"i{i:03d}", f"p{i % 2}", f"c{i % 5}", ts(int(a)), ts(int(a + b))) for i, (a, b) in enumerate(zip(rng.integers(0, 40, 150), rng.integers(0, 30, 150), strict=True))]
+    odd = [("x", None, "c0", ts(5), ts(6)), ("y", "p0", None, ts(5), ts(6)), ("z", "p0", "c0", None, ts(6)), ("alone", "p9", "c0", ts(5), ts(6))]
+    t = spark.createDataFrame(rows + odd, "tid string, place string, sensor string, s timestamp, e timestamp")
+    want = collections.Counter(a[0] for a in rows for b in rows if a[1] == b[1] and a[2] != b[2] and b[3] <= a[3] and b[4] >= a[4])
+    for seconds in (1, 6, 1000):
+        counted = R.covering_counts(t, "tid", "place", "sensor", "s", "e", seconds)
+        assert {r.tid: r.covering for r in counted.collect()} == want
+    assert {r.tid: r.n for r in R.covering_pairs(t, t, "place", "sensor", "s", "e", "s", "e", 6).groupBy("tid").agg(F.count("*").alias("n")).collect()} == want
+    # Of as many copies, each row has as many times the pairs; they are counted and not made.
+    many = R.covering_counts(t.crossJoin(spark.range(20)).withColumn("tid", F.concat_ws("-", "tid", "id")), "tid", "place", "sensor", "s", "e", 6)
+    assert {r.tid: r.covering for r in many.collect()} == {f"{k}-{i}": 20 * n for k, n in want.items() for i in range(20)}
+    plan = Q.q28_coverage_theta_join(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1 and "other_" not in plan  # its one join takes the sums over bins
+
+
 def test_coexisting_groups_are_maximal():
     b = lambda k, s, e, sensor="a": G.Behavior(k, sensor, "1", s, e, np.array([1.0]))
     rows = [b("x", 0, 10), b("y", 5, 15), b("z", 12, 20), b("w", 0, 30, "b")]
