@@ -73,16 +73,43 @@ def hdbscan(x: np.ndarray, min_size: int) -> np.ndarray:
 
     Core distances (the distance to the ``min_size``-th point, itself included),
     a minimum spanning tree of mutual reachability, the condensed tree, and the
-    clusters with the most excess of mass; the root is never a cluster.
+    clusters with the most excess of mass; the root is never a cluster. What
+    meets at one distance meets at once, so equal distances need no order.
     """
     n = len(x)
     if n < 2:
         return np.full(n, -1)
-    d = np.sqrt(_squared(np.asarray(x, float)))
-    np.fill_diagonal(d, 0)
+    d = distances(x)
     k = min(min_size, n)
     core = np.partition(d, k - 1, axis=1)[:, k - 1]
-    reach = np.maximum(d, np.maximum(core[:, None], core[None, :]))
+    return excess_of_mass(n, *reachability_tree(d, core), min_size)
+
+
+def distances(x: np.ndarray, cuts: tuple[int, ...] = ()) -> np.ndarray:
+    """Euclidean distances of all pairs, made a few rows at a time beside the result; what rounding cannot tell from 0 is 0.
+
+    With ``cuts`` the products are taken for each two blocks between them, so that blocks have the same distances to the last
+    bit whatever other blocks they are beside.
+    """
+    x = np.asarray(x, float)
+    s, d, at = (x * x).sum(1), np.empty((len(x), len(x))), [0, *cuts, len(x)]
+    blocks = [slice(i, j) for i, j in zip(at, at[1:], strict=False) if j > i]
+    for k, i in enumerate(blocks):
+        for j in blocks[k:]:
+            d[i, j] = x[i] @ x[j].T
+            d[j, i] = d[i, j].T
+    for k in range(0, len(x), 256):
+        total = s[k : k + 256, None] + s[None, :]
+        square = total - 2 * d[k : k + 256]
+        d[k : k + 256] = np.sqrt(np.where(square > 1e-13 * total, square, 0))
+    np.fill_diagonal(d, 0)
+    return d
+
+
+def reachability_tree(d: np.ndarray, core: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights and ends of a minimum spanning tree of mutual reachability, from distances and core distances; ``d`` is overwritten."""
+    n = len(d)
+    reach = np.maximum(np.maximum(d, core[:, None], out=d), core[None, :], out=d)
     inside, best, near, edges = np.zeros(n, bool), np.full(n, np.inf), np.zeros(n, int), []
     at = 0
     for _ in range(n - 1):
@@ -92,9 +119,18 @@ def hdbscan(x: np.ndarray, min_size: int) -> np.ndarray:
         nxt = int(np.argmin(np.where(inside, np.inf, best)))
         edges.append((float(best[nxt]), int(near[nxt]), nxt))
         at = nxt
-    edges.sort()
-    # Single-linkage tree: nodes n, n + 1, ... join two nodes at a distance.
-    root, node, left, size = list(range(n)), list(range(n)), {}, [1] * n
+    w, a, b = zip(*edges, strict=True) if edges else ((), (), ())
+    return np.array(w, float), np.array(a, int), np.array(b, int)
+
+
+def excess_of_mass(n: int, weight: np.ndarray, a: np.ndarray, b: np.ndarray, min_size: int) -> np.ndarray:
+    """Labels of ``n`` points from edges that hold a minimum spanning tree; of other edges those that close a circle are passed over."""
+    if n < 2:
+        return np.full(n, -1)
+    by = np.lexsort((b, a, weight))
+    edges = zip(weight[by].tolist(), a[by].tolist(), b[by].tolist(), strict=True)
+    # Single-linkage tree: a node from n on joins all that meet at one distance, whichever of equal edges are in the tree.
+    root, node, size, kids, height = list(range(n)), list(range(n)), [1] * n, {}, {}
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -104,35 +140,41 @@ def hdbscan(x: np.ndarray, min_size: int) -> np.ndarray:
 
     for w, a, b in edges:
         a, b = find(a), find(b)
-        left[n + len(left)] = (node[a], node[b], w)
+        if a == b:
+            continue
+        small, big = sorted((node[a], node[b]), key=lambda t: (height.get(t) == w, len(kids.get(t, ()))))
+        if height.get(big) != w:
+            kids[len(size)], height[len(size)] = [small, big], w
+            big = len(size)
+            size.append(size[node[a]] + size[node[b]])
+        else:
+            kids[big] += kids[small] if height.get(small) == w else [small]
+            size[big] += size[small]
         root[b] = a
-        node[a] = n + len(left) - 1
-        size.append(size[left[node[a]][0]] + size[left[node[a]][1]])
-    # Condensed tree: a split counts where both sides have min_size points or more.
-    top = n + len(left) - 1
+        node[a] = big
+    # Condensed tree: a split counts where two or more sides have min_size points or more.
+    top = node[find(0)]
     birth, death_mass, parts, points, stack, fresh = {0: 0.0}, {0: 0.0}, {0: []}, {0: []}, [(top, 0)], 1
     while stack:
         t, c = stack.pop()
         if t < n:
             points[c].append(t)
             continue
-        a, b, w = left[t]
-        level = 1 / w if w > 0 else np.inf
-        big = [s for s in (a, b) if size[s] >= min_size]
-        if len(big) == 2:
-            death_mass[c] += _mass(level, birth[c], size[a] + size[b])
-            for s in (a, b):
+        level = 1 / height[t] if height[t] > 0 else np.inf
+        large = [s for s in kids[t] if size[s] >= min_size]
+        lost = size[t] - (size[large[0]] if len(large) == 1 else 0)
+        if lost:
+            death_mass[c] += _mass(level, birth[c], lost)
+        for s in kids[t]:
+            if size[s] < min_size:
+                points[c] += _leaves(s, n, kids)
+            elif len(large) == 1:
+                stack.append((s, c))
+            else:
                 birth[fresh], death_mass[fresh], parts[fresh], points[fresh] = level, 0.0, [], []
                 parts[c].append(fresh)
                 stack.append((s, fresh))
                 fresh += 1
-            continue
-        for s in (a, b):
-            if s in big:
-                stack.append((s, c))
-            else:
-                death_mass[c] += _mass(level, birth[c], size[s])
-                points[c] += _leaves(s, n, left)
     value, picked = dict(death_mass), {}
     for c in range(fresh - 1, -1, -1):
         below = sum(value[p] for p in parts[c])
@@ -170,5 +212,5 @@ def _leaves(t: int, n: int, tree: dict) -> list[int]:
         if t < n:
             out.append(t)
         else:
-            todo += tree[t][:2]
+            todo += tree[t]
     return out

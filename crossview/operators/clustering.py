@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from ..config import AGGLOMERATIVE, AppConfig, ClusteringConfig
 from ..numerics import cluster as N
@@ -224,16 +224,61 @@ def stitch_clusters(new: list[set[str]], state: dict[int, set[str]], next_id: in
     return out, next_id
 
 
+#: Vectors whose distances are held at a time, by those of another such block: two blocks take 134 MB.
+BLOCK = 2048
+
+
 def cluster_detections(vectors: DataFrame, by: str, key: str, min_size: int) -> DataFrame:
-    """HDBSCAN labels of raw embeddings, all of a value of ``by`` together."""
+    """HDBSCAN labels of raw embeddings, all of a value of ``by`` together.
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(key)
-        labels = N.hdbscan(np.stack(pdf.embedding.to_numpy()).astype(float), min(min_size, len(pdf)))
-        return pd.DataFrame({by: pdf[by].to_numpy(), key: pdf[key].to_numpy(), "label": labels.astype("int64")})
+    A value's vectors are dealt into blocks and each pair of blocks is a unit of work, so all distances are looked at and
+    those of two blocks are held. A first pass finds the core distances. In a second each pair gives its minimum spanning tree of
+    mutual reachability: an edge of the whole tree lies in one of them. The edges of a value meet in one task.
+    """
+    from pyspark.sql import functions as F
+
+    from ..session import fresh_folder, written
 
     kinds = {f.name: f.dataType.simpleString() for f in vectors.schema.fields}
-    return vectors.select(by, key, "embedding").where("embedding is not null").groupBy(by).applyInPandas(run, f"{by} {kinds[by]}, {key} {kinds[key]}, label long")
+    rows = vectors.select(F.col(by).alias("_by"), F.col(key).alias("_key"), F.col("embedding").cast("array<double>").alias("_x")).where("_x is not null")
+    rows = written(rows.withColumn("_row", F.monotonically_increasing_id()), fresh_folder(vectors.sparkSession, "vectors"))
+    sizes = rows.groupBy(F.col("_by").alias("_of")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
+    own = rows.select("_by", "_row", "_x").join(sizes, F.col("_by").eqNullSafe(F.col("_of"))).drop("_of").withColumn("_block", F.pmod(F.xxhash64("_row"), "_blocks").cast("int"))
+
+    def paired(blocks: DataFrame, alone: Column) -> DataFrame:
+        other = F.explode(F.filter(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda o: (o != F.col("_block")) | alone))
+        return blocks.withColumn("_other", other).withColumns({"_a": F.least("_block", "_other"), "_b": F.greatest("_block", "_other")}).drop("_other", "_blocks").groupBy("_by", "_a", "_b")
+
+    def apart(pdf: pd.DataFrame) -> tuple[pd.DataFrame, np.ndarray, int]:
+        pdf = pdf.sort_values(["_block", "_row"])
+        cut = int((pdf["_block"] == pdf["_a"]).sum())
+        return pdf, N.distances(np.stack(pdf["_x"].to_numpy()), (cut,)), cut
+
+    def nearest(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, d, cut = apart(pdf)
+        sides = [(0, d)] if cut == len(pdf) else [(0, d[:cut, cut:]), (cut, d[cut:, :cut])]
+        near = [(at, np.sort(np.partition(x, min(min_size, x.shape[1]) - 1, axis=1)[:, :min_size], axis=1)) for at, x in sides if x.size]
+        return pd.DataFrame({"_row": np.concatenate([pdf["_row"].to_numpy()[at : at + len(x)] for at, x in near] or [[]]).astype("int64"), "_near": [r for _, x in near for r in x]})
+
+    def tree(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf, d, _ = apart(pdf)
+        w, a, b = N.reachability_tree(d, pdf["_core"].to_numpy())
+        at = pdf["_row"].to_numpy()
+        return pd.DataFrame({"_by": pd.Series([pdf["_by"].iloc[0]] * len(w), dtype=pdf["_by"].dtype), "_w": w, "_a": at[a], "_b": at[b]})
+
+    def label(nodes: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+        nodes = nodes.sort_values(["_key", "_row"])
+        rows = nodes["_row"].to_numpy()
+        by_row = np.argsort(rows)
+        place = lambda r: by_row[np.searchsorted(rows, r.to_numpy(), sorter=by_row)]
+        a, b = place(edges["_a"]), place(edges["_b"])
+        labels = N.excess_of_mass(len(rows), edges["_w"].to_numpy(), a, b, min(min_size, len(rows)))
+        return pd.DataFrame({by: nodes["_by"].to_numpy(), key: nodes["_key"].to_numpy(), "label": labels.astype("int64")})
+
+    near = paired(own, F.lit(True)).applyInPandas(nearest, "_row long, _near array<double>").groupBy("_row").agg(F.array_sort(F.flatten(F.collect_list("_near"))).alias("_near"))
+    core = near.select("_row", F.element_at("_near", F.least(F.lit(min_size), F.size("_near"))).alias("_core"))
+    edges = paired(own.join(core, "_row"), F.col("_blocks") == 1).applyInPandas(tree, f"_by {kinds[by]}, _w double, _a long, _b long")
+    return rows.select("_by", "_key", "_row").groupBy("_by").cogroup(edges.groupBy("_by")).applyInPandas(label, f"{by} {kinds[by]}, {key} {kinds[key]}, label long")
 
 
 def appearance_only(rows: list[Behavior], k: int, loose: float) -> np.ndarray:

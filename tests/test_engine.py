@@ -222,6 +222,26 @@ def test_covering_counts_are_those_of_the_pairs(spark):
     assert plan.count("Join ") == 1 and "other_" not in plan  # its one join takes the sums over bins
 
 
+def test_detections_cluster_alike_in_blocks(spark, monkeypatch):
+    from crossview.numerics import cluster as N
+
+    rng = np.random.default_rng(6)
+    spots = rng.normal(0, 1, (4, 6))
+    x = np.float32(np.concatenate([rng.normal(spots[i % 4], 0.2) for i in range(300)]).reshape(300, 6))
+    x[20:40] = x[20]  # exact copies
+    rows = [("a" if i < 200 else "b" if i < 297 else None if i < 299 else "c", int(i * 7 % 300), v.tolist()) for i, v in enumerate(x)] + [("a", 1000, None)]
+    d = spark.createDataFrame(rows, "part string, id long, embedding array<float>")
+    want = {}
+    for part in ("a", "b", None, "c"):
+        own = sorted((r[1], r[2]) for r in rows if r[0] == part and r[2])
+        want |= {(part, k): v for (k, _), v in zip(own, N.hdbscan(np.array([v for _, v in own], np.float32), min(5, len(own))).tolist(), strict=True)}
+    assert len(set(want.values())) > 3
+    for block in (4000, 30):
+        monkeypatch.setattr(G, "BLOCK", block)
+        got = G.cluster_detections(d, "part", "id", 5)
+        assert got.columns == ["part", "id", "label"] and {(r.part, r.id): r.label for r in got.collect()} == want
+
+
 def test_coexisting_groups_are_maximal():
     b = lambda k, s, e, sensor="a": G.Behavior(k, sensor, "1", s, e, np.array([1.0]))
     rows = [b("x", 0, 10), b("y", 5, 15), b("z", 12, 20), b("w", 0, 30, "b")]

@@ -74,6 +74,19 @@ def test_hdbscan_blobs_and_noise():
     assert cluster.hdbscan(np.zeros((1, 2)), 2).tolist() == [-1]
 
 
+def test_hdbscan_does_not_depend_on_order():
+    rng = np.random.default_rng(2)
+    x = rng.normal(0, 1, (300, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[40:60] = x[40]
+    sets = lambda labels: {frozenset(np.flatnonzero(labels == k).tolist()) for k in set(labels.tolist()) - {-1}}
+    want = sets(cluster.hdbscan(x, 4))
+    for seed in range(4):
+        p = np.random.default_rng(seed).permutation(len(x))
+        assert sets(cluster.hdbscan(x[p], 4)[np.argsort(p)]) == want
+    assert cluster.distances(x)[40:60, 40:60].max() == 0
+
+
 def test_paths():
     a = np.array([[0.0, 0.0], [2.0, 0.0]])
     assert paths.resample(a, 3).tolist() == [[0, 0], [1, 0], [2, 0]]
