@@ -5,6 +5,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -192,6 +193,28 @@ def test_maximal_stabbing_with_ties(spark):
     assert sorted((r.k, r.members) for r in got) == sorted((r.k, r.members) for r in want)
 
 
+def test_stabbing_by_bin_is_that_of_all_pairs(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = [(f"k{i % 3}", f"i{i:02d}", ts(int(a)), ts(int(a + b))) for i, (a, b) in enumerate(zip(rng.integers(0, 40, 60), rng.integers(-2, 19, 60), strict=True))]
+    rows += [("open", "r", ts(5), None), (None, "s", ts(5), ts(6)), ("k0", "t", None, ts(6)), ("never", "q", ts(5), ts(4))]
+    iv = spark.createDataFrame(rows, "k string, id string, a timestamp, b timestamp")
+    other = spark.createDataFrame([("k0", ts(x / 2)) for x in range(99)] + [("k9", ts(1)), ("k0", None), (None, ts(5))], "k string, at timestamp")
+    for points in (None, other):
+        want = sorted((r.k, r["at"], tuple(r.members)) for r in R.stabbing(iv, "k", "id", "a", "b", points=points).collect())
+        for most in (1, 50, 10**6):
+            monkeypatch.setattr(R, "MEMBERS", most)
+            for seconds in (1, 7, 1000):
+                got = R.stabbing(iv, "k", "id", "a", "b", seconds, points)
+                assert got.columns == ["k", "at", "members"] and sorted((r.k, r["at"], tuple(r.members)) for r in got.collect()) == want
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" not in plan and "collect_list" not in plan  # a bin's intervals are looked through once for a point
+    table = pa.RecordBatch.from_pylist([{"_key": 1, "_ident": x, "_s": 0, "_e": 99, "_point": False} for x in "ba"] + [{"_key": 1, "_ident": None, "_s": x, "_e": x, "_point": True} for x in range(40)])
+    for most, rows in ((6, 3), (1, 1), (1000, 40)):
+        monkeypatch.setattr(R, "MEMBERS", most)
+        batches = list(R._holding(iter([table])))
+        assert max(x.num_rows for x in batches) == rows and sum((x["members"].to_pylist() for x in batches), []) == [["a", "b"]] * 40
+
+
 def test_largest_stabbing_counts_without_sets(spark):
     rng = np.random.default_rng(4)
     rows = [(f"k{i % 3}", f"i{i:02d}", ts(int(a)), ts(int(a + b))) for i, (a, b) in enumerate(zip(rng.integers(0, 40, 60), rng.integers(-2, 9, 60), strict=True))]
