@@ -215,6 +215,18 @@ def test_stabbing_by_bin_is_that_of_all_pairs(spark, monkeypatch):
         assert max(x.num_rows for x in batches) == rows and sum((x["members"].to_pylist() for x in batches), []) == [["a", "b"]] * 40
 
 
+def test_maximal_stabbing_by_bin(spark):
+    rng = np.random.default_rng(8)
+    rows = [(f"k{i % 2}", f"i{i:02d}", ts(int(a)), ts(int(a + b))) for i, (a, b) in enumerate(zip(rng.integers(0, 30, 50), rng.integers(0, 9, 50), strict=True))]
+    rows += [("k2", "p", ts(0), ts(10)), ("k2", "q", ts(0), ts(4))]
+    iv = spark.createDataFrame(rows, "k string, id string, a timestamp, b timestamp")
+    want = sorted((r.k, tuple(r.members)) for r in R.maximal_sets(R.stabbing(iv, "k", "id", "a", "b"), "k", "members").collect())
+    odd = spark.createDataFrame([("k2", "r", ts(6), ts(-5)), ("k0", "x", ts(9), ts(2)), ("k1", "y", ts(40), ts(-3)), ("k1", "z", None, ts(2))], iv.schema)  # these never hold
+    for seconds in (None, 1, 7, 1000):
+        got = R.maximal_stabbing(iv.unionByName(odd), "k", "id", "a", "b", seconds)
+        assert sorted((r.k, tuple(r.members)) for r in got.collect()) == want
+
+
 def test_largest_stabbing_counts_without_sets(spark):
     rng = np.random.default_rng(4)
     rows = [(f"k{i % 3}", f"i{i:02d}", ts(int(a)), ts(int(a + b))) for i, (a, b) in enumerate(zip(rng.integers(0, 40, 60), rng.integers(-2, 9, 60), strict=True))]
