@@ -215,6 +215,38 @@ def test_stabbing_by_bin_is_that_of_all_pairs(spark, monkeypatch):
         assert max(x.num_rows for x in batches) == rows and sum((x["members"].to_pylist() for x in batches), []) == [["a", "b"]] * 40
 
 
+def test_spans_are_those_of_the_segments(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [(f"k{k}" if k else None, int(o) if o else None, ts(int(t))) for k, o, t in zip(rng.integers(0, 3, 300), rng.integers(0, 3, 300), rng.integers(0, 400, 300), strict=True)]
+    rows += [("k1", 1, None), ("never", 1, None)]
+    d = spark.createDataFrame(rows, "sensor_id string, object_id long, ts timestamp")
+    keys = ["sensor_id", "object_id", "segment"]
+    for gap in (0, 6, 1000):
+        want = sorted(map(str, K.split_by_gap(d, gap).groupBy(*keys).agg(F.min("ts").alias("s"), F.max("ts").alias("e")).where("s is not null").collect()))
+        for most, parts in ((1, 1), (40, 3), (10**6, 2)):
+            monkeypatch.setattr(K, "MERGED", most)
+            found = K.spans(d.repartition(parts), gap)
+            assert found.columns == [*keys, "s", "e"] and sorted(map(str, found.collect())) == want
+    monkeypatch.setattr(K, "MERGED", 4)
+    at = lambda *times: pa.RecordBatch.from_pylist([{"k": "a", "_s": t} for t in times], pa.schema([("k", pa.string()), ("_s", pa.int64())]))
+    merged = [x.to_pylist() for x in K._runs(["k"], 6)(iter([at(9, 1), at(), at(3, 20), at(2)]))]  # runs leave the task, not detections
+    assert merged == [[{"k": "a", "_s": 1, "_e": 9}, {"k": "a", "_s": 20, "_e": 20}], [{"k": "a", "_s": 2, "_e": 2}]]
+
+
+def test_stabbing_shuffles_runs_and_no_points(spark):
+    d = "/root/testdata/sf0.001"
+    plan = Q.q25_interval_stabbing(spark, d)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "MapInArrow" in plan and "array_join" not in plan
+    rows = [("k", f"i{i}", ts(i), ts(i + i % 5 - 1)) for i in range(20)] + [("k", None, ts(0), ts(30))]
+    iv = spark.createDataFrame(rows, "k string, id string, a timestamp, b timestamp")
+    other = spark.createDataFrame([("k", ts(x)) for x in range(9)], "k string, at timestamp")
+    for points in (None, other):
+        want = sorted((r["at"], len(r.members), "+".join(r.members)) for r in R.stabbing(iv, "k", "id", "a", "b", points=points).collect() if r.members)
+        for seconds in (None, 1, 7, 1000):
+            found = R.stabbing(iv, "k", "id", "a", "b", seconds, points, "+")
+            assert found.columns == ["k", "at", "n", "members"] and sorted((r["at"], r.n, r.members) for r in found.where("n > 0").collect()) == want
+
+
 def test_maximal_stabbing_by_bin(spark):
     rng = np.random.default_rng(8)
     rows = [(f"k{i % 2}", f"i{i:02d}", ts(int(a)), ts(int(a + b))) for i, (a, b) in enumerate(zip(rng.integers(0, 30, 50), rng.integers(0, 9, 50), strict=True))]
