@@ -259,6 +259,19 @@ def test_maximal_stabbing_by_bin(spark):
         assert sorted((r.k, tuple(r.members)) for r in got.collect()) == want
 
 
+def test_maximal_stabbing_passes_on_first_starts_only(spark):
+    plan = Q.q26_maximal_groups(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "_end" not in plan and "array_join" not in plan  # starts and ends are put in order within their bin
+    rng = np.random.default_rng(10)
+    starts = [int(x) for x in (*rng.integers(0, 60, 40), *rng.integers(500, 540, 40), *rng.integers(2000, 2400, 40))]
+    rows = [(f"k{i % 2}", f"i{i:03d}", ts(a), ts(a + int(b))) for i, (a, b) in enumerate(zip(starts, rng.integers(0, 40, 120), strict=True))] + [("k0", "long", ts(30), ts(2100))]
+    iv = spark.createDataFrame(rows, "k string, id string, a timestamp, b timestamp")
+    want = sorted((r.k, ",".join(r.members)) for r in R.maximal_sets(R.stabbing(iv, "k", "id", "a", "b"), "k", "members").collect())
+    for seconds in (None, 1, 10, 33, 400, 10**6):
+        found = R.maximal_stabbing(iv, "k", "id", "a", "b", seconds, ",")
+        assert found.columns == ["k", "at", "n", "members"] and sorted((r.k, r.members) for r in found.collect()) == want
+
+
 def test_largest_stabbing_counts_without_sets(spark):
     rng = np.random.default_rng(4)
     rows = [(f"k{i % 3}", f"i{i:02d}", ts(int(a)), ts(int(a + b))) for i, (a, b) in enumerate(zip(rng.integers(0, 40, 60), rng.integers(-2, 9, 60), strict=True))]
